@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, secret_scan, source_mix, warc
+from . import bpe, exact_dedup, secret_scan, source_mix, warc
 
 _MODULES = {
+    "op6_bpe": bpe,
     "op4_secret_scan": secret_scan,
     "op5_source_mix": source_mix,
     "op8_exact_dedup": exact_dedup,
