@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, secret_scan, source_mix, warc
+from . import bpe, edit_counts, exact_dedup, secret_scan, source_mix, warc
 
 _MODULES = {
     "op6_bpe": bpe,
@@ -10,6 +10,7 @@ _MODULES = {
     "op5_source_mix": source_mix,
     "op8_exact_dedup": exact_dedup,
     "op9_warc": warc,
+    "op10_edit_counts": edit_counts,
 }
 
 
