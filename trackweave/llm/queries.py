@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_counts, exact_dedup, fingerprints, secret_scan, source_mix, warc
+from . import bpe, edit_counts, exact_dedup, fingerprints, quality, secret_scan, source_mix, warc
 
 _MODULES = {
+    "op1_quality": quality,
     "op3_fingerprints": fingerprints,
     "op6_bpe": bpe,
     "op4_secret_scan": secret_scan,
