@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_counts, exact_dedup, fingerprints, quality, secret_scan, source_mix, warc
+from . import bpe, edit_counts, exact_dedup, fingerprints, near_join, quality, secret_scan, source_mix, warc
 
 _MODULES = {
     "op1_quality": quality,
@@ -10,6 +10,7 @@ _MODULES = {
     "op6_bpe": bpe,
     "op4_secret_scan": secret_scan,
     "op5_source_mix": source_mix,
+    "op7_near_join": near_join,
     "op8_exact_dedup": exact_dedup,
     "op9_warc": warc,
     "op10_edit_counts": edit_counts,
