@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_counts, exact_dedup, fingerprints, near_join, quality, secret_scan, source_mix, warc
+from . import bpe, edit_counts, exact_dedup, fingerprints, near_join, quality, secret_scan, source_mix, substring_dedup, warc
 
 _MODULES = {
     "op1_quality": quality,
     "op3_fingerprints": fingerprints,
     "op6_bpe": bpe,
+    "op2_substring_dedup": substring_dedup,
     "op4_secret_scan": secret_scan,
     "op5_source_mix": source_mix,
     "op7_near_join": near_join,
