@@ -61,6 +61,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return result
 
 
+def keep_largest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 1 / 1024) -> DataFrame:
+    """The rows that `exact_dedup` keeps, all columns unchanged: they travel with the one shuffle of the text."""
+    norm = normalise(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("key"), norm.alias("norm"), F.xxhash64(norm).alias("h"))
+    least = max(1000, int(docs.count() * hot_share))
+    hot = [r["h"] for r in rows.groupBy("h").count().filter(F.col("count") > least).select("h").limit(int(1 / hot_share) + 1).collect()]
+    cold = rows.filter(~F.col("h").isin(hot)) if hot else rows
+    by_text = ["prefix", "h", "norm"]
+    first = Window.partitionBy(*by_text).orderBy(F.col("key").desc_nulls_last())
+    kept = cold.withColumn("prefix", F.substring("norm", 1, 48)).repartitionByRange("prefix", "h").sortWithinPartitions(*by_text, F.col("key").desc_nulls_last()).withColumn("place", F.row_number().over(first)).filter("place = 1").select("row.*")
+    if hot:  # one row per hot text, combined on the map side
+        kept = kept.unionByName(rows.filter(F.col("h").isin(hot)).groupBy("norm").agg(F.max_by("row", F.coalesce("key", F.lit(-(2**63)))).alias("row")).select("row.*"))
+    return kept
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 

@@ -349,6 +349,13 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
     return members.join(per_set, ["sid", "sid2"]).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of `docs`, all columns unchanged, whose id is the least of their class; ids are taken to be unique."""
+    classes = near_classes(spark, docs, id_col=id_col, **options)
+    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id"))
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
 def _record(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * len(names)
     return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)

@@ -47,9 +47,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     return ranked.select("source", "source_size", F.when(F.col("stops"), most.cast("double")).otherwise(level * F.col("weight")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken, source."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, copies, taken, source; with `carry` also `row`, all its columns."""
+    own = [F.struct(*docs.columns).alias("row")] if carry else []
+    rows = docs.select(*own, F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
     rows = rows.withColumn("name", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn("salt", F.coalesce(F.pmod("doc_id", F.lit(SALTS)), F.lit(0)))
     counts = rows.groupBy("name", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -67,7 +68,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int =
     placed = placed.withColumn("start", start).withColumn("rate", rate).withColumn("rank", rank)
     crossed = F.floor(F.col("rank") * F.col("rate") + F.col("start")) - F.floor((F.col("rank") - 1) * F.col("rate") + F.col("start"))
     placed = placed.withColumn("copies", F.least(crossed.cast("long"), F.lit(cap).cast("long")))
-    return placed.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "source")
+    return placed.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "source", *(["row"] if carry else []))
+
+
+def draw(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: the rows of `docs`, all columns unchanged, each as many times as it was drawn."""
+    drawn = mix_sources(docs, carry=True, **options)
+    return drawn.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
