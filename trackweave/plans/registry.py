@@ -7,7 +7,7 @@ from importlib import import_module
 
 _QUERIES: dict[str, Callable] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("sequences", "coverage", "voting")
+_MODULES = ("sequences", "coverage", "voting", "pooling", "masks")
 
 
 def query(name: str, oracle: str | None = None) -> Callable:
