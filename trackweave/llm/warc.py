@@ -47,8 +47,9 @@ def write_archive(spark: SparkSession, pages: DataFrame, id_col: str = "page_id"
     typed = typed.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("owner")))
     records = written(spark, typed.select("page_id", _header(*map(F.col, ("record_type", "page_id", "url", "digest", "length", "refers_to"))).alias("header")), "warc-records")
     first = owners.select(F.col("owner").alias("page_id"), F.col("digest").alias("owned"))
-    stored = rows.withColumn("digest", F.sha2("payload", 256)).join(first, rows["page_id"].eqNullSafe(first["page_id"]) & (F.col("digest") == F.col("owned"))).select("digest", "payload")
-    payloads = written(spark, stored.groupBy("digest").agg(F.first("payload").alias("payload")), "warc-payloads")
+    stored = rows.withColumn("digest", F.sha2("payload", 256)).join(first, rows["page_id"].eqNullSafe(first["page_id"]) & (F.col("digest") == F.col("owned"))).select(rows["page_id"], "digest", "payload")
+    # rows that repeat an owner's id and payload meet in one task already, as the join dealt them out by id
+    payloads = written(spark, stored.groupBy("page_id", "digest").agg(F.first("payload").alias("payload")).drop("page_id"), "warc-payloads")
     return records, payloads
 
 
@@ -62,16 +63,18 @@ def read_archive(records: DataFrame, payloads: DataFrame) -> DataFrame:
         field("WARC-Payload-Digest", "sha256:([0-9a-f]{64})").alias("digest"), field("WARC-Payload-Length", "([0-9]+)").try_cast("long").alias("length"), field("WARC-Refers-To", "<urn:page:([^>]*)>").try_cast("long").alias("refers_to"), "header",
     )
     end = F.encode(F.lit(EOL + EOL), "UTF-8")
-    return parsed.join(payloads, "digest").select(
-        "page_id", "record_type", "url", "digest", "length", "refers_to", "payload", F.concat("header", F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8")), end).alias("record"),
-        ((F.sha2("payload", 256) == F.col("digest")) & (F.octet_length("payload") == F.col("length"))).alias("verified"),
+    # each stored payload is hashed and measured once, before its records are joined to it
+    checked = payloads.select("digest", "payload", F.sha2("payload", 256).alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
+    return parsed.join(checked, "digest").select(
+        "page_id", "record_type", "url", "refers_to", "payload", "payload_digest", "payload_bytes", F.concat("header", F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8")), end).alias("record"),
+        ((F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("length"))).alias("verified"),
     )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     records, payloads = write_archive(spark, table(spark, sf_dir, "pages"))
     back = read_archive(records, payloads)
-    return back.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"), "record_type", "refers_to", "verified")
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
 
 
 ORACLE_SQL = """
