@@ -46,10 +46,10 @@ def write_archive(spark: SparkSession, pages: DataFrame, id_col: str = "page_id"
     typed = keyed.join(owners, "digest").withColumn("record_type", F.when((F.col("length") < min_revisit) | F.col("page_id").eqNullSafe(F.col("owner")), "response").otherwise("revisit"))
     typed = typed.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("owner")))
     records = written(spark, typed.select("page_id", _header(*map(F.col, ("record_type", "page_id", "url", "digest", "length", "refers_to"))).alias("header")), "warc-records")
-    first = owners.select(F.col("owner").alias("page_id"), F.col("digest").alias("owned"))
-    stored = rows.withColumn("digest", F.sha2("payload", 256)).join(first, rows["page_id"].eqNullSafe(first["page_id"]) & (F.col("digest") == F.col("owned"))).select(rows["page_id"], "digest", "payload")
-    # rows that repeat an owner's id and payload meet in one task already, as the join dealt them out by id
-    payloads = written(spark, stored.groupBy("page_id", "digest").agg(F.first("payload").alias("payload")).drop("page_id"), "warc-payloads")
+    # one key of owner and digest, so that rows which repeat an owner's id and payload meet in the join's task
+    key = lambda ident, digest: F.concat_ws(":", digest, F.coalesce(F.col(ident).cast("string"), F.lit("null"))).alias("key")
+    stored = rows.withColumn("digest", F.sha2("payload", 256)).select(key("page_id", F.col("digest")), "digest", "payload").join(owners.select(key("owner", F.col("digest"))), "key")
+    payloads = written(spark, stored.groupBy("key").agg(F.first("digest").alias("digest"), F.first("payload").alias("payload")).drop("key"), "warc-payloads")
     return records, payloads
 
 
