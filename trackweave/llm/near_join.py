@@ -4,7 +4,7 @@ A text is its set of 5-word shingles.  In each of `RUNS` runs every set chooses,
 a hash all sets share, about 1/threshold of them; each chosen token is a bucket.  Two sets of Jaccard
 similarity >= threshold meet in one bucket more per run on average.  A bucket with more than `SMALL`
 sets is split again by tokens chosen under a hash of the path so far, up to `DEPTH` levels; what is small, or
-left at the last level, is compared within the bucket.  A pair at the threshold meets with probability
+left at the last level, is compared within the bucket (4,096 sketches take a fraction of a second).  A pair at the threshold meets with probability
 >= 0.63, 0.47, 0.37 per run at levels 1, 2, 3; with 16 runs at least 0.9994 of such pairs meet.
 
 Comparing: each set carries a parity sketch (one bit per token hash, about as many bits as tokens).  The
@@ -41,7 +41,7 @@ from .common import documents, table, written
 from .words import BASES, hash_words, mix, slices, windows
 
 SHINGLE, THRESHOLD = 5, 0.8
-RUNS, DEPTH, SMALL, BLOCK = 16, 3, 64, 2048
+RUNS, DEPTH, SMALL, BLOCK = 16, 3, 4096, 2048
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
@@ -272,7 +272,8 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
         keys, below = path_tree(tokens, runs, depth, threshold)
         return [(x, sid, sub) for x, sub in zip(keys.view(np.int64).tolist(), below, strict=True)]
 
-    nodes = emit(nodes_of, "bucket long, sid long, below binary").dropDuplicates(["bucket", "sid"])
+    # written before it is counted and joined: choosing paths is the dearest step and must run once
+    nodes = written(spark, emit(nodes_of, "bucket long, sid long, below binary"), "near-paths").dropDuplicates(["bucket", "sid"])
     closed = []
     for level in range(1, depth + 1):
         sizes = nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
