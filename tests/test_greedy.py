@@ -239,3 +239,30 @@ def test_results_do_not_depend_on_partitions(spark, data):
     for op in (lambda x: gr.nms(x, 0.3), lambda x: gr.drop_duplicates_by_age(x, 0.3), lambda x: gr.greedy_match(x, x, 0.2)):
         a, b = op(df.repartition(5)), op(df.orderBy(F.desc("tid")).coalesce(1))
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_shared_frame_iou_and_lost_objects(spark):
+    o = spark.createDataFrame([(0, "x", 1, 1, 5, 6, 0.4), (0, "x", 2, 1, 5, 6, 0.8), (0, "y", 2, 1, 5, 6, 1.0)], "clip_id int, label string, f int, chunk int, tid_a int, tid_b int, iou double")
+    assert {(r.label, round(r.iou, 9)) for r in gr.shared_frame_iou(o).collect()} == {("x", 0.6), ("y", 1.0)}
+    start = "clip_id int, label string, chunk int, start int, tid int, f int, x1 double, y1 double, x2 double, y2 double"
+    seen = "clip_id int, label string, chunk int, identity int, lf int, x1 double, y1 double, x2 double, y2 double"
+    a, b = (0.0, 0.0, 10.0, 10.0), (0.0, 0.0, 10.0, 9.0)
+    starts = spark.createDataFrame([(0, "x", 1, 100, 1, 110, *a), (0, "x", 1, 100, 2, 120, *b), (0, "x", 1, 100, 3, 160, *a), (0, "y", 1, 100, 4, 110, *a)], start)
+    lost = spark.createDataFrame([(0, "x", 1, 70, 90, *a), (0, "x", 1, 71, 80, 50.0, 50.0, 60.0, 60.0)], seen)
+    # one identity goes to the better of two; late starts and other labels find none
+    assert [(r.tid, r.identity) for r in gr.relink_lost(starts, lost).collect()] == [(1, 70)]
+
+
+def test_chunked_and_stitched_equals_whole(spark):
+    """Ids of chunks, stitched in order, never mix two tracks; a track seen in every overlap keeps one id throughout."""
+    from trackweave.plans import greedy as plans
+    from trackweave.plans import registry
+
+    sf = "/root/testdata/sf0.001"
+    ids = registry.queries()["j11_m05_stitch"](spark, sf)
+    whole = plans._chunked(spark, sf).select("clip_id", "chunk", F.col("local").alias("tid"), F.col("tid").alias("track")).distinct()
+    rows = ids.join(whole, ["clip_id", "chunk", "tid"]).collect()
+    tracks = {}
+    for r in rows:
+        tracks.setdefault((r.clip_id, r.global_id), set()).add(r.track)
+    assert rows and all(len(v) == 1 for k, v in tracks.items() if k[1] is not None)
