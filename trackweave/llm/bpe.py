@@ -8,7 +8,8 @@ vocabulary and aggregates the pieces in order of position.
 
 Scale
 * No shuffle: rows stay in the partition that read them.  The vocabulary (about 1 MB) travels with the
-  task.  Encoded pieces are remembered per Python worker up to `KEEP` entries, so memory is bounded.
+  task.  Encoded pieces are remembered per Python worker in two generations of `KEEP` entries; what was used
+  lately stays, and memory is bounded.
 * Texts are cut at single spaces between non-space characters first.  No pre-token of the pattern spans
   such a place or looks past it, so equal pieces are matched against the pattern once.
 * Words over `LONG` bytes contract all occurrences of the minimum pair in one round where no token made
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-KEEP, LONG, AT_ONCE, ROUNDS = 1_000_000, 96, 100_000, 24
+KEEP, LONG, AT_ONCE, ROUNDS = 300_000, 96, 30_000, 24
 #: A single space between two characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s | \s|^ | $")
@@ -78,11 +79,13 @@ class Codec:
     def __init__(self, vocabulary: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
         self.pattern = regex.compile(pattern)
-        self.packed: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # of pieces at a text's start, and after a space
+        # packed ids of pieces at a text's start and of those after a space, used lately, and the same of the time before
+        self.packed: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.before: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         pairs = [(left, right, rank) for token, rank in self.ranks.items() for i in range(1, len(token)) if (left := self.ranks.get(token[:i])) is not None and (right := self.ranks.get(token[i:])) is not None]
         left, right, made = np.array(pairs, np.int64).T if pairs else np.zeros((3, 0), np.int64)
         unsafe = np.union1d(left[made < left], right[made < right])  # tokens of which a part of lower rank can be made
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "700MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         self._load("merges", {"pair": left << 32 | right, "made": made.astype(np.int32), "safe": ~np.isin(made, unsafe)})
         self._load("vocabulary", {"id": pa.array(self.ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in self.ranks]})
 
@@ -119,10 +122,17 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         if sum(map(len, self.packed)) > KEEP:
-            self.packed = ({}, {})
+            self.before, self.packed = self.packed, ({}, {})
         cut = [_CUT.split(t) if _WIDE.search(t) else t.split(" ") for t in texts]
-        new = ({c[0] for c in cut}, {p for c in cut for p in c[1:]})
-        split = [{p: self.pattern.findall(" " * k + p) for p in new[k] if p not in self.packed[k]} for k in (0, 1)]
+        needed = ({c[0] for c in cut}, {p for c in cut for p in c[1:]})
+        split: list[dict[str, list[str]]] = [{}, {}]
+        for k, (recent, older) in enumerate(zip(self.packed, self.before, strict=True)):
+            for p in needed[k]:
+                if p not in recent:
+                    if (known := older.get(p)) is not None:
+                        recent[p] = known
+                    else:
+                        split[k][p] = self.pattern.findall(" " * k + p)
         ids = self._words({w for part in split for words in part.values() for w in words})
         for k in (0, 1):
             self.packed[k].update((p, b"".join([ids[w] for w in words])) for p, words in split[k].items())
@@ -151,7 +161,7 @@ def codec(vocabulary: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def _slices(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` characters."""
     at = size = 0
     for i, t in enumerate(texts):
@@ -170,7 +180,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             texts = batch.column("text").to_pylist()
             for a, b in _slices(texts):
                 coded = own.encode(texts[a:b])

@@ -77,7 +77,7 @@ def parity_sketch(tokens: np.ndarray) -> np.ndarray:
 def _chosen(tokens: np.ndarray, paths: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Indices into `paths` and the keys of their chosen children."""
     limit = np.uint64(min(2**64 - 1, int(2**64 / (threshold * len(tokens)))))
-    part = max(1, 4_000_000 // max(1, len(paths)))
+    part = max(1, 500_000 // max(1, len(paths)))
     found = []
     for at in range(0, len(tokens), part):
         h = mix(tokens[None, at : at + part] ^ paths[:, None])
@@ -248,7 +248,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
         names = [x.split()[0] for x in schema.split(", ")]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
                 ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
                 rows: list[tuple] = []
                 for doc_id, tokens in zip(ids, shingle_sets(texts, k), strict=True):

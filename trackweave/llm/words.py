@@ -12,7 +12,7 @@ SPACES = b" \t\n\v\f\r"
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
-SLICE = 2_000_000
+SLICE = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
