@@ -115,6 +115,25 @@ def test_likeness_and_positions(spark):
     assert 0.8 < rows[5].x < 1 and all(p.a == p.b for p in rows[5].m)
 
 
+def test_long_texts_keep_all_anchors(spark, tmp_path):
+    rng = random.Random(2)
+    words = [[f"{k}w{rng.randint(0, 10**9)}" for _ in range(3000)] for k in range(2)]
+    words[0][700:760] = words[1][2100:2160] = [f"s{i}" for i in range(60)]  # a passage that both share
+    words[0][2000:2100] = words[0][1000:1100]  # anchors that stand twice
+    # any k-mer by itself says whether it is an anchor
+    short = spark.createDataFrame([(k, " ".join(w[i : i + 5]), i) for k, w in enumerate(words) for i in range(2996)], "d long, text string, i int")
+    want = [set(), set()]
+    for r in fingerprints.add_fingerprint(short, "text", "fp").collect():
+        want[r.d] |= {(a.hash, r.i) for a in r.fp}
+    spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(words)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(fingerprints.query(spark, str(tmp_path)).collect())
+    got = [{(int(h, 16) - (int(h, 16) >> 63 << 64), int(p)) for h, p in (x.split(":") for x in r.fingerprint.split())} for r in rows]
+    assert got == want and min(map(len, got)) > 1000
+    a, b = ({h for h, _ in x} for x in got)
+    assert len(a) < len(got[0]) and len(a & b) > 10
+    assert all(abs(r.near_next - 2 * len(a & b) / (len(a) + len(b))) < 1e-12 for r in rows)
+
+
 def test_edited_texts_of_the_query(spark, tmp_path):
     rows = [(5, "one two three four five six"), (1, "é" * 9), (9, None), (9, "tie"), (None, "null first")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")

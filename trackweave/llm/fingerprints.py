@@ -5,9 +5,8 @@ A text is a row of tokens: runs of non-space characters, cut every 16.  Of every
 hashes lies at the first or the last place.  Whether a k-mer is an anchor depends on nothing but itself,
 so equal passages have equal anchors wherever they stand, and the anchors' positions show how they match.
 
-A fingerprint keeps the `keep` anchors of least hash, each with its first position; for up to `keep`
-distinct anchors it is complete.  Likeness is Dice's share 2|A & B| / (|A| + |B|) of the two anchor
-sets, taken from the least `keep` hashes of their union.
+A fingerprint holds every anchor with every position at which it stands.  Likeness is Dice's share
+2|A & B| / (|A| + |B|) of the two whole sets of anchors.
 
 Scale
 * Fingerprinting is one projection, without a shuffle.
@@ -29,13 +28,13 @@ from pyspark.sql import functions as F
 from .common import documents, table
 
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
-K, S, KEEP = 5, 2, 128
+K, S = 5, 2
 CELLS, BUCKET_MB = 65_536, 16
 
 
-def add_fingerprint(df: DataFrame, text: str, name: str, k: int = K, s: int = S, keep: int = KEEP) -> DataFrame:
-    """Adds `name`: array of (hash, pos), ascending by hash."""
-    h, g, sorted_ = f"{name}_h", f"{name}_g", f"{name}_s"
+def add_fingerprint(df: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
+    """Adds `name`: array of (hash, pos), ascending by hash and position."""
+    h, g = f"{name}_h", f"{name}_g"
     n = F.size(h)
     at = lambda a, i, j: F.get(F.col(a), i + j)
     df = df.withColumn(h, F.transform(F.regexp_extract_all(text, F.lit(TOKEN), 0), lambda t: F.xxhash64(t)))
@@ -47,24 +46,20 @@ def add_fingerprint(df: DataFrame, text: str, name: str, k: int = K, s: int = S,
     chosen = F.filter(starts(k), lambda i: edge(i) <= F.least(*[at(g, i, j) for j in inner]) if len(inner) > 1 else (edge(i) <= at(g, i, 1) if inner else F.lit(True)))
     anchors = F.transform(chosen, lambda i: F.struct(F.xxhash64(*[at(h, i, j) for j in range(k)]).alias("hash"), i.alias("pos")))
     short = F.array(F.struct(F.xxhash64(h).alias("hash"), F.lit(0).alias("pos")))
-    df = df.withColumn(sorted_, F.sort_array(F.when(n >= k, anchors).when(n > 0, short).otherwise(F.slice(short, 1, 0))))
-    first = F.filter(F.col(sorted_), lambda x, i: (i == 0) | (F.get(F.col(sorted_), i - 1)["hash"] != x["hash"]))
-    return df.withColumn(name, F.slice(first, 1, keep)).drop(h, g, sorted_)
+    return df.withColumn(name, F.sort_array(F.when(n >= k, anchors).when(n > 0, short).otherwise(F.slice(short, 1, 0)))).drop(h, g)
 
 
-def likeness(a: Column, b: Column, keep: int = KEEP) -> Column:
+def likeness(a: Column, b: Column) -> Column:
     """0 to 1, of two fingerprints."""
-    left, right = a["hash"], b["hash"]
-    least = F.slice(F.sort_array(F.array_union(left, right)), 1, keep)
-    jaccard = F.size(F.array_intersect(F.array_intersect(left, right), least)) / F.size(least).cast("double")
-    return F.when((F.size(left) == 0) & (F.size(right) == 0), F.lit(1.0)).when((F.size(left) == 0) | (F.size(right) == 0), F.lit(0.0)).otherwise(2 * jaccard / (1 + jaccard))
+    left, right = F.array_distinct(a["hash"]), F.array_distinct(b["hash"])
+    total = F.size(left) + F.size(right)
+    return F.when(total == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(a["hash"], b["hash"])) / total.cast("double"))
 
 
 def matched_positions(a: Column, b: Column) -> Column:
     """Pairs (pos in a, pos in b) of the anchors that both fingerprints hold, by position in a."""
-    other = F.map_from_entries(F.transform(b, lambda x: F.struct(x["hash"], x["pos"])))
-    both = F.filter(a, lambda x: F.array_contains(b["hash"], x["hash"]))
-    return F.sort_array(F.transform(both, lambda x: F.struct(x["pos"].alias("a"), other[x["hash"]].alias("b"))))
+    pairs = lambda x: F.transform(F.filter(b, lambda y: y["hash"] == x["hash"]), lambda y: F.struct(x["pos"].alias("a"), y["pos"].alias("b")))
+    return F.sort_array(F.flatten(F.transform(a, pairs)))
 
 
 def as_text(fingerprint: Column) -> Column:
