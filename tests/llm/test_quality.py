@@ -38,3 +38,20 @@ def test_nulls_ties_and_empty_tables(spark):
     assert len(rows) == 3 and all(0 <= r.p_quality <= 1 for r in rows)
     assert q.keep_good(docs, model).schema == docs.schema
     assert q.score(docs.limit(0), model).count() == 0 and q.keep_good(docs.limit(0), model).count() == 0
+
+
+def test_all_unlabelled_documents_teach(spark):
+    rng = np.random.default_rng(3)
+    y = rng.random(27_000) < 0.5
+    texts = [" ".join(rng.choice(["good", "words", "here", "and", "there"] if g else ["BAD", "|||", "###", "99", "x"], 12)) for g in y]
+    docs = spark.createDataFrame([(k, t, "en", f"s{int(g) * 3 + k % 3}" if k % 5 else "mixed", len(t)) for k, (t, g) in enumerate(zip(texts, y.tolist(), strict=True))], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, int(y[k])) for k in range(4000)], "doc_id long, quality int")
+    model = q.train(docs, labels)
+    rows = sorted(docs.collect())
+    x = (q.text_features([r.text for r in rows]), q.metadata_features(q.metadata_codes([r.lang for r in rows], [r.source for r in rows], [r.n_chars for r in rows])))
+    first = sorted(range(4000), key=lambda k: (q.zlib.crc32(str(k).encode()), k))
+    whole = q.co_train(tuple(v[first] for v in x), y[first].astype(float), tuple(v[4000:] for v in x))
+    for a, b in zip(model.views, whole.views, strict=True):
+        np.testing.assert_allclose(a.model.weights, b.model.weights, atol=1e-5)
+    told = q.given_labels([whole.views], q.SURE, tuple(v[4000:] for v in x))
+    assert (~np.isnan(told[1])).sum() > 20_000
