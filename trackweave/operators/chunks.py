@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,13 @@ def schedule(clips: DataFrame, chunk: int, overlap: int) -> DataFrame:
     return df.select("clip_id", "chunk", (F.col("chunk") * step).alias("start"), F.least(F.col("chunk") * step + chunk, F.col("n_frames")).alias("stop"))
 
 
+def boundaries(bounds: DataFrame) -> DataFrame:
+    """(clip_id, f, boundary): every frame that a chunk shares with the next one; `boundary` is the earlier chunk."""
+    following = F.lead("start").over(Window.partitionBy("clip_id").orderBy("chunk"))
+    b = bounds.withColumn("first", following).filter(F.col("first") < F.col("stop"))
+    return b.select("clip_id", F.explode(F.sequence("first", F.col("stop") - 1)).alias("f"), F.col("chunk").alias("boundary"))
+
+
 def with_halo(frames: DataFrame, bounds: DataFrame, halo: int) -> DataFrame:
     """Each frame in every chunk that reads it; `warm_up` marks frames read before a chunk's start and not emitted."""
     b = bounds.withColumn("first", F.greatest(F.lit(0), F.col("start") - halo)).withColumn("f", F.explode(F.sequence("first", F.col("stop") - 1)))

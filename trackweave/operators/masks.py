@@ -86,11 +86,13 @@ def mask_iou(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_id
     return out.withColumn("iou", F.col("inter") / (F.col("area_a") + F.col("area_b") - F.col("inter")))
 
 
-def boundary_iou(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Per pair of tracks of a clip: sum of intersections over sum of unions, over frames in which EITHER has a mask."""
-    inter = overlaps(exploded(a, "clip_id", "f", "tid_a"), exploded(b, "clip_id", "f", "tid_b"), ["clip_id", "f"], ["tid_a"], ["tid_b"]).groupBy("clip_id", "tid_a", "tid_b").agg(F.sum("inter").alias("inter"))
-    total = lambda df, t, n: df.groupBy("clip_id", t).agg(F.sum(area(F.col("intervals"))).alias(n))
-    out = inter.join(total(a, "tid_a", "area_a"), ["clip_id", "tid_a"]).join(total(b, "tid_b", "area_b"), ["clip_id", "tid_b"])
+def boundary_iou(a: DataFrame, b: DataFrame, *more: str) -> DataFrame:
+    """Per pair of tracks of a clip (and of `more` columns): sum of intersections over sum of unions, over frames in which
+    EITHER has a mask."""
+    keys = ["clip_id", *more]
+    inter = overlaps(exploded(a, *keys, "f", "tid_a"), exploded(b, *keys, "f", "tid_b"), [*keys, "f"], ["tid_a"], ["tid_b"]).groupBy(*keys, "tid_a", "tid_b").agg(F.sum("inter").alias("inter"))
+    total = lambda df, t, n: df.groupBy(*keys, t).agg(F.sum(area(F.col("intervals"))).alias(n))
+    out = inter.join(total(a, "tid_a", "area_a"), [*keys, "tid_a"]).join(total(b, "tid_b", "area_b"), [*keys, "tid_b"])
     return out.withColumn("iou", F.col("inter") / (F.col("area_a") + F.col("area_b") - F.col("inter")))
 
 

@@ -109,6 +109,11 @@ def _(spark, d):
     return tr.tiles(1300, 800, 440, 40, relation(spark, d, "obs").filter("f < 20").select("clip_id", "f").distinct())
 
 
+@query("g08_tiles_all", f"{O} select distinct clip_id, f, ox::int ox, oy::int oy from obs, (select unnest([0, 400, 800, 860]) ox), (select unnest([0, 360]) oy)")
+def _(spark, d):
+    return tr.tiles(1300, 800, 440, 40, relation(spark, d, "obs").select("clip_id", "f").distinct())
+
+
 @query("g08_tile_to_frame", f"{O} select clip_id, f, tid, x1 + 400 x1, y1 + 360 y1, x2 + 400 x2, y2 + 360 y2 from obs")
 def _(spark, d):
     return tr.tile_to_frame(relation(spark, d, "obs").select("clip_id", "f", "tid", *_BOX, F.lit(400).alias("ox"), F.lit(360).alias("oy")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
+from ..operators import chunks as ch
 from ..operators import masks as mk
 from .fixtures import ctes, relation
 from .registry import query
@@ -43,6 +44,13 @@ def _(spark, d):
     return mk.boundary_iou(_masks(spark, d, "obs", "tid_a").filter(near), _masks(spark, d, "run_b", "tid_b").filter(near))
 
 
+@query("j10_boundary_iou_all")
+def _(spark, d):
+    """Over every overlap of a schedule of chunks of 30 frames that share 5."""
+    at = ch.boundaries(ch.schedule(relation(spark, d, "obs").groupBy("clip_id").agg((F.max("f") + 1).alias("n_frames")), 30, 5))
+    return mk.boundary_iou(_masks(spark, d, "obs", "tid_a").join(at, ["clip_id", "f"]), _masks(spark, d, "run_b", "tid_b").join(at, ["clip_id", "f"]), "boundary")
+
+
 @query("w08_temporal_union", f"{O}, {_CA}, s as (select distinct clip_id, cell, g from ca, range(greatest(0, f - 2), least(99, f + 2) + 1) t(g)) select clip_id, g::int f, count(*) area from s group by 1, 2")
 def _(spark, d):
     return mk.temporal_union(_masks(spark, d), 2, 100)

@@ -143,12 +143,23 @@ _DIST = "dd as (select clip_id, tid, f, (eid % 60)::double age, (3 + eid % 5)::d
 
 @query("p25_p26_age_distribution", f"{O}, {_DIST}, m as (select clip_id, tid, f, sum(p * a) mean, sum(p * a * a) sq from p group by 1, 2, 3) select clip_id, tid, f, round(mean, 6) mean, round(sqrt(greatest(1.0, sq - mean * mean)), 6) std from m")
 def _(spark, d):
-    obs = relation(spark, d, "obs").filter("f % 10 = 0")
+    return _age_distribution(relation(spark, d, "obs").filter("f % 10 = 0"))
+
+
+_STATS = "m as (select clip_id, tid, f, sum(p * a) mean, sum(p * a * a) sq from p group by 1, 2, 3) select clip_id, tid, f, round(mean, 6) mean, round(sqrt(greatest(1.0, sq - mean * mean)), 6) std from m"
+
+
+def _age_distribution(obs):
     p = sc.gaussian_target((F.col("eid") % 60).cast("double"), (3 + F.col("eid") % 5).cast("double"))
     out = obs.select("clip_id", "tid", "f", p.alias("p")).select("clip_id", "tid", "f", sc.distribution_stats(F.col("p")).alias("s"))
     return _round(out.select("clip_id", "tid", "f", F.col("s.mean").alias("mean"), F.col("s.std").alias("std")), "mean", "std")
 
 
+@query("p25_p26_age_distribution_all", f"{O}, {_DIST.replace(' where f % 10 = 0', '')}, {_STATS}")
+def _(spark, d):
+    return _age_distribution(relation(spark, d, "obs"))
+
+
 @query("p27_p30_softmax_entropy", f"{O}, z as (select clip_id, tid, f, unnest([eid % 7, eid % 5, eid % 3]::double[]) z, unnest([0, 1, 2]) k from obs), e as (select *, exp(z - max(z) over (partition by clip_id, tid, f)) e from z), p as (select *, e / sum(e) over (partition by clip_id, tid, f) p from e) select clip_id, tid, f, round(max(case when k = 0 then p end), 6) p0, round(-sum(p * ln(p)) / ln(3.0), 6) entropy from p group by 1, 2, 3")
 def _(spark, d):
     e = F.col("eid")
