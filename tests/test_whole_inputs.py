@@ -41,3 +41,15 @@ def test_all_frames_have_ages_and_tiles(spark):
     assert sorted(ages) == sorted(obs)
     tiles = registry.queries()["g08_tiles_all"](spark, SF).collect()
     assert len(tiles) == len(set(tiles)) == 8 * len({(r.clip_id, r.f) for r in obs})
+
+
+def test_pairs_of_distant_ids(spark):
+    sf = "/root/testdata/sf0.01"
+    tids = {}
+    for r in relation(spark, sf, "obs").select("clip_id", "f", "tid").collect():
+        tids.setdefault(r.clip_id, {}).setdefault(r.f, set()).add(r.tid)
+    got = sorted((r.clip_id, r.f, r.tid, r.other) for r in registry.queries()["p01_p04_pair_geometry_all"](spark, sf).select("clip_id", "f", "tid", "other").collect())
+    assert got == sorted((c, f, a, b) for c, frames in tids.items() for f, ids in frames.items() for a in ids for b in ids if a < b)
+    assert max(b - a for _, _, a, b in got) > 100
+    got = sorted((r.clip_id, r.tid, r.other) for r in registry.queries()["p23_compatible_classes_all"](spark, sf).collect())
+    assert got == sorted((c, a, b) for c, frames in tids.items() for all_ids in [set().union(*frames.values())] for a in all_ids for b in all_ids if a < b)

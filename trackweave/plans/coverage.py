@@ -19,9 +19,19 @@ _CROSS = f"p as (select a.clip_id, a.f, a.tid, b.tid other, {q.iou('a.', 'b.')}
 @query("p01_p04_pair_geometry", f"""{O} select a.clip_id, a.f, a.tid, b.tid other, {q.iou('a.', 'b.')} iou, {q.cover('a.', 'b.')} cover, {q.dist('a.', 'b.')} dist, {q.near('a.', 'b.')} near
   from obs a join obs b on a.clip_id = b.clip_id and a.f = b.f and a.tid < b.tid where b.tid - a.tid <= 16""")
 def _(spark, d):
-    obs = relation(spark, d, "obs")
+    return _pair_geometry(relation(spark, d, "obs")).filter("other - tid <= 16")
+
+
+@query("p01_p04_pair_geometry_all", f"""{O} select a.clip_id, a.f, a.tid, b.tid other, {q.iou('a.', 'b.')} iou, {q.cover('a.', 'b.')} cover, {q.dist('a.', 'b.')} dist, {q.near('a.', 'b.')} near
+  from obs a join obs b on a.clip_id = b.clip_id and a.f = b.f and a.tid < b.tid""")
+def _(spark, d):
+    return _pair_geometry(relation(spark, d, "obs"))
+
+
+def _pair_geometry(obs):
+    """All pairs of a frame."""
     a, b = geo.box("a_"), geo.box("b_")
-    p = pr.side(obs, "a_").join(pr.side(obs, "b_"), pr.FRAME).filter("a_tid < b_tid and b_tid - a_tid <= 16")
+    p = pr.side(obs, "a_").join(pr.side(obs, "b_"), pr.FRAME).filter("a_tid < b_tid")
     return p.select("clip_id", "f", F.col("a_tid").alias("tid"), F.col("b_tid").alias("other"), geo.iou(a, b).alias("iou"), geo.coverage(a, b).alias("cover"), geo.distance(a, b).alias("dist"), geo.near(a, b).alias("near"))
 
 

@@ -142,6 +142,15 @@ def _(spark, d):
 
 @query("p23_compatible_classes", f"{V}, {_A05} select a.clip_id, a.tid, b.tid other, (a.label is null or b.label is null or a.label = b.label) compatible from a05 a join a05 b on a.clip_id = b.clip_id and a.tid < b.tid and b.tid - a.tid <= 24")
 def _(spark, d):
-    dec = vt.decide(relation(spark, d, "votes"))
+    return _compatible_classes(vt.decide(relation(spark, d, "votes"))).filter("other - tid <= 24")
+
+
+@query("p23_compatible_classes_all", f"{V}, {_A05} select a.clip_id, a.tid, b.tid other, (a.label is null or b.label is null or a.label = b.label) compatible from a05 a join a05 b on a.clip_id = b.clip_id and a.tid < b.tid")
+def _(spark, d):
+    return _compatible_classes(vt.decide(relation(spark, d, "votes")))
+
+
+def _compatible_classes(dec):
+    """All pairs of a clip's tracks."""
     a, b = dec.select("clip_id", "tid", "label"), dec.select("clip_id", F.col("tid").alias("other"), F.col("label").alias("other_label"))
-    return a.join(b, "clip_id").filter("tid < other and other - tid <= 24").select("clip_id", "tid", "other", sc.compatible(F.col("label"), F.col("other_label")).alias("compatible"))
+    return a.join(b, "clip_id").filter("tid < other").select("clip_id", "tid", "other", sc.compatible(F.col("label"), F.col("other_label")).alias("compatible"))
