@@ -180,6 +180,17 @@ def test_archive_keeps_records_exactly(spark):
     assert warc.read_archive(*empty).count() == 0
 
 
+def test_query_puts_records_together(spark):
+    import contextlib
+    import io
+
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        warc.query(spark, SF).explain(True)
+    joins = said.getvalue().split("Optimized Logical Plan")[1].split("Physical Plan")[0]
+    assert "payload#" in joins.split("Join Inner")[0] or "concat(header#" in joins.split("Join Inner")[0]
+
+
 def test_registered_sql_agrees(spark):
     db = duckdb.connect()
     for t in ("documents", "pages"):

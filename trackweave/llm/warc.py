@@ -4,7 +4,7 @@ Writing makes two tables in the shared folder: `payloads` (digest, payload), whe
 is stored once under its SHA-256, and `records` (page_id, header), the exact WARC/1.1 header bytes of
 every record in their own order and spelling.  Reading joins the two on the digest named in the header,
 hashes each payload again and compares it and its length with the header, and puts the original record
-(header, blank line, payload, two line ends) together again.
+(header, blank line, payload, two line ends) together again; `verified` also hashes the body of each record so made.
 
 Scale
 * Owners of a digest are found by a map-side combined minimum over (digest, id) rows, without payloads.
@@ -65,9 +65,15 @@ def read_archive(records: DataFrame, payloads: DataFrame) -> DataFrame:
     end = F.encode(F.lit(EOL + EOL), "UTF-8")
     # each stored payload is hashed and measured once, before its records are joined to it
     checked = payloads.select("digest", "payload", F.sha2("payload", 256).alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
-    return parsed.join(checked, "digest").select(
-        "page_id", "record_type", "url", "refers_to", "payload", "payload_digest", "payload_bytes", F.concat("header", F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8")), end).alias("record"),
-        ((F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("length"))).alias("verified"),
+    is_response = F.col("record_type") == "response"
+    back = parsed.join(checked, "digest").withColumn("record", F.concat("header", F.when(is_response, F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8")), end))
+    # what was put together is taken apart again: its header, its body by the length that the header states, its end
+    at, n = F.octet_length("header"), F.when(is_response, F.col("length")).otherwise(F.lit(0)).cast("int")
+    body = F.substring("record", at + 1, n)
+    whole = (F.substring("record", F.lit(1), at) == F.col("header")) & (F.substring("record", at + n + 1, F.octet_length("record")) == end)
+    return back.select(
+        "page_id", "record_type", "url", "refers_to", "payload", "payload_digest", "payload_bytes", "record",
+        ((F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("length")) & whole & (~is_response | (F.sha2(body, 256) == F.col("digest")))).alias("verified"),
     )
 
 
