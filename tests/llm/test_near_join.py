@@ -93,14 +93,47 @@ def test_sketch_bits_never_exceed_the_difference():
         assert h <= len(np.setxor1d(a, b))
 
 
-@pytest.mark.parametrize("runs", [nj.RUNS])
-def test_recall_of_pairs_at_the_threshold(runs):
-    rng = np.random.default_rng(3)
-    met = total = 0
-    for _ in range(150):
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_recall_of_pairs_at_the_threshold(depth):
+    """Pairs of similarity exactly 0.8 meet at every level as often as the target recall and `meeting` say."""
+    rng = np.random.default_rng(depth)
+    runs, met, once, total = nj.runs_for(), 0, 0, 300
+    for _ in range(total):
         common = rng.integers(0, 2**63, 400, dtype=np.uint64)
-        a, b = (np.unique(np.concatenate([common, rng.integers(0, 2**63, 50, dtype=np.uint64)])) for _ in range(2))
-        paths = [nj.path_tree(x, runs, 1, 0.8)[0] for x in (a, b)]
+        paths = [nj._SEEDS[:runs], nj._SEEDS[:runs]]
+        sets = [np.unique(np.concatenate([common, rng.integers(0, 2**63, 50, dtype=np.uint64)])) for _ in range(2)]
+        for _ in range(depth):
+            paths = [nj.chosen(x, p, 0.8) for x, p in zip(sets, paths)]
         met += bool(len(np.intersect1d(*paths)))
-        total += 1
-    assert met >= 0.99 * total
+        paths = [nj._SEEDS[:1], nj._SEEDS[:1]]
+        for _ in range(depth):
+            paths = [nj.chosen(x, p, 0.8) for x, p in zip(sets, paths)]
+        once += bool(len(np.intersect1d(*paths)))
+    assert met >= 0.99 * total and once / total >= nj.meeting(depth) - 0.08
+
+
+def test_runs_follow_the_target_recall():
+    assert 0.63 < nj.meeting(1) < 0.64 and 0.37 < nj.meeting(3) < 0.38
+    for recall in (0.9, 0.99, 0.999):
+        for depth in (1, 2, 3):
+            runs = nj.runs_for(recall, depth)
+            assert 1 - (1 - nj.meeting(depth)) ** runs >= recall > 1 - (1 - nj.meeting(depth)) ** (runs - 1)
+
+
+def test_every_bucket_split_to_the_last_level(spark):
+    rng = random.Random(6)
+    texts = [t for _ in range(10) for t in family(rng, 4, rng.choice([40, 150]), 2)]
+    compare(spark, list(range(len(texts))), texts, small=1)
+
+
+def test_words_that_polynomials_confuse(spark):
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    texts = [f"{w} p q r s" for w in (one, one.translate(str.maketrans("ab", "ba")))]
+    compare(spark, [1, 2], texts)
+
+
+def test_very_long_text_and_many_repeats_of_one_row(spark):
+    rng = random.Random(5)
+    long = [f"w{rng.randint(0, 10**6)}" for _ in range(150_000)]
+    texts = [" ".join(long), " ".join([*long[:-3], "x", "y"]), *["same five words in here"] * 300]
+    compare(spark, [1, 2, *[3] * 300], texts)

@@ -59,3 +59,26 @@ def test_empty_table_and_kept_text(spark):
     assert r[0].kept == "a b"
     with pytest.raises(ValueError):
         sd.remove_repeats(spark.createDataFrame([], "doc_id long, text string"), window=12)
+
+
+def thue_morse(bits):
+    """A word of 2**bits letters a and b, and the same with a and b exchanged: polynomial hashes modulo 2**64 cannot tell them apart."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1 << bits))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomials_confuse(spark):
+    ends = [" ".join(f"{side}{i}" for i in range(6)) for side in "lr"]
+    for bits in (3, 5, 10):
+        compare(spark, [(k, f"{ends[0]} {word} {ends[1]}") for k, word in enumerate(thue_morse(bits))])
+
+
+def test_very_long_text(spark):
+    rng = random.Random(3)
+    long = " ".join(f"w{rng.randint(0, 5000)}" for _ in range(300_000))
+    compare(spark, [(1, "x" * 200_000 + " " + long[:2000]), (2, long), (3, long[1000:3000])], group_mb=0.5)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    base = " ".join(f"w{i}" for i in range(40))
+    compare(spark, [(None, base + f" n{i}") for i in range(50)] + [(4, base)] * 30, group_mb=0.0005)

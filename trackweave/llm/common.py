@@ -20,9 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir; where it is unset and all runs on one machine (tests),
+    a new local one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -32,7 +35,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """`df` as a table written once to the shared folder: later jobs read files and do not repeat the work."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes a table that `written` made, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

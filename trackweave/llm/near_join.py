@@ -1,11 +1,12 @@
 """N-gram Jaccard self-join by chosen paths.
 
-A text is its set of 5-word shingles.  In each of `RUNS` runs every set chooses, from its own tokens and by
+A text is its set of 5-word shingles.  In each of the runs every set chooses, from its own tokens and by
 a hash all sets share, about 1/threshold of them; each chosen token is a bucket.  Two sets of Jaccard
-similarity >= threshold meet in one bucket more per run on average.  A bucket with more than `SMALL`
-sets is split again by tokens chosen under a hash of the path so far, up to `DEPTH` levels; what is small, or
-left at the last level, is compared within the bucket (4,096 sketches take a fraction of a second).  A pair at the threshold meets with probability
->= 0.63, 0.47, 0.37 per run at levels 1, 2, 3; with 16 runs at least 0.9994 of such pairs meet.
+similarity >= threshold meet in one bucket more per run on average.  A bucket with more than `small`
+sets is split again by tokens chosen under a hash of the path so far, up to `depth` levels; what is small, or
+left at the last level, is compared within the bucket.  A pair at the threshold meets with probability
+>= 0.63, 0.47, 0.37 per run at levels 1, 2, 3; `runs_for` repeats runs until the target recall holds for a pair
+that is split all the way down (16 runs and 0.999 at 0.8 and three levels).
 
 Comparing: each set carries a parity sketch (one bit per token hash, about as many bits as tokens).  The
 number of bits in which two sketches differ never exceeds the number of tokens in which the sets differ,
@@ -13,58 +14,77 @@ so the sketch rejects pairs without losing any; the rest are compared exactly, o
 
 Scale
 * Texts with equal shingle sets collapse to one before anything is compared (map-side combined).
+* One pass over the texts makes first-level buckets and sketches.  Deeper paths are chosen only for sets in buckets
+  that are too large, and whole sets are made again only where a sketch allows a pair.
 * Buckets of one set, nearly all, are dropped by a count.  No pairs are emitted: a bucket returns one row per
   member (number of links, label of the linked component inside the bucket), and a pair that meets in
   several buckets counts in the first one they share.
-* A bucket left with more than `BLOCK` sets is compared in pairs of blocks, each a task of its own, so no group
-  is gathered in one task; nothing is capped or dropped.
+* A bucket left with more than `2 * block` sets is compared in pairs of blocks, each a task of its own, so no group
+  is gathered in one task; nothing is capped or dropped.  Inside one family of n different texts that all are near
+  copies of each other this takes n * n / 2 comparisons of sketches, as every text's links are counted.
 * Classes are connected components of the links, found by label propagation with shortcuts over tables in
-  the shared folder.
+  the shared folder; tables that are no longer needed are deleted.
 
 Defined cases: a null text is empty.  Texts of 1 to 4 words have one shingle, all their words; all texts without
 words form one class.  class_id is the least id of the class (null ids only count if there is no
 other).  n_links counts the different shingle sets linked to the document's own, n_copies the other rows
-with the same set.  Repeated rows are copies.  An empty table gives an empty result; other columns are
-ignored.
+with the same set.  Repeated rows are copies.  Very long texts are read in blocks and are one set.  An empty table
+gives an empty result; other columns, whatever their names, are ignored.  A shingle is a 64-bit hash of its words
+that no relation between words makes collide, a set's identity is 128 bits of BLAKE2b over its shingles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, table, written
-from .words import BASES, hash_words, mix, slices, windows
+from .common import documents, drop, table, written
+from .words import BASES, SLICE, hash_words, mix, slices, windows
 
-SHINGLE, THRESHOLD = 5, 0.8
-RUNS, DEPTH, SMALL, BLOCK = 16, 3, 4096, 2048
+SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.999
+#: Buckets of up to `SMALL` sets are compared as they are: splitting would cost more than comparing sketches.
+DEPTH, SMALL, BLOCK = 3, 256, 1024
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
+def meeting(depth: int) -> float:
+    """The least probability that a pair at the threshold meets at this level in one run."""
+    p = 1.0
+    for _ in range(depth):
+        p = 1 - math.exp(-p)
+    return p
+
+
+def runs_for(recall: float = RECALL, depth: int = DEPTH) -> int:
+    """How many runs make a pair at the threshold meet with probability `recall`, however deep its buckets are split."""
+    return min(200, math.ceil(math.log(1 - recall) / math.log(1 - meeting(depth))))
+
+
 def shingle_sets(texts: list[str], k: int = SHINGLE) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     raw = [t.encode() for t in texts]
     for a, b in slices(raw):
         (hashes,), offsets = hash_words(raw[a:b])
-        grams = windows(hashes, k)
+        (grams,) = windows(hashes, k)
         for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             if e - s >= k:
                 yield np.unique(grams[s : e - k + 1])
             elif e > s:
-                yield windows(hashes[s:e], e - s, BASES[1] + 2 * (e - s))
+                yield windows(hashes[s:e], e - s, base=BASES[1])[0]
             else:
                 yield hashes[:0]
 
 
 def set_ids(tokens: np.ndarray) -> tuple[int, int]:
     """Two 64-bit numbers that only equal sets share."""
-    n = np.uint64(len(tokens))
-    both = mix(np.array([np.add.reduce(mix(tokens ^ s)) + n for s in _SEEDS[-2:]], np.uint64)).view(np.int64)
-    return int(both[0]), int(both[1])
+    return tuple(np.frombuffer(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), "<i8").tolist())
 
 
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
@@ -74,43 +94,18 @@ def parity_sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def _chosen(tokens: np.ndarray, paths: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Indices into `paths` and the keys of their chosen children."""
+def chosen(tokens: np.ndarray, paths: np.ndarray, threshold: float) -> np.ndarray:
+    """The keys of the children that a set chooses below each of `paths`."""
+    if not len(tokens) or not len(paths):
+        return tokens[:0]
     limit = np.uint64(min(2**64 - 1, int(2**64 / (threshold * len(tokens)))))
-    part = max(1, 500_000 // max(1, len(paths)))
+    part = max(1, 100_000 // len(paths))
     found = []
     for at in range(0, len(tokens), part):
         h = mix(tokens[None, at : at + part] ^ paths[:, None])
         i, j = np.nonzero(h <= limit)
-        found.append((i, mix(h[i, j] + paths[i])))
-    i, keys = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
-    order = np.argsort(i, kind="stable")
-    return i[order], keys[order]
-
-
-def path_tree(tokens: np.ndarray, runs: int, depth: int, threshold: float) -> tuple[np.ndarray, list[bytes]]:
-    """Level-1 keys, and for each its subtree: (key, bytes of its own subtree, subtree) again and again, as 64-bit numbers."""
-    levels = [_chosen(tokens, _SEEDS[:runs], threshold)[1]]
-    parents = []
-    for _ in range(depth - 1):
-        i, keys = _chosen(tokens, levels[-1], threshold) if len(levels[-1]) else (np.zeros(0, np.int64), levels[-1])
-        parents.append(i)
-        levels.append(keys)
-    below = [b""] * len(levels[-1])
-    for level in range(depth - 2, -1, -1):
-        own = [b""] * len(levels[level])
-        for p, key, sub in zip(parents[level].tolist(), levels[level + 1], below, strict=True):
-            own[p] += key.tobytes() + np.uint64(len(sub)).tobytes() + sub
-        below = own
-    return levels[0], below
-
-
-def _children(subtree: bytes) -> Iterator[tuple[int, bytes]]:
-    at = 0
-    while at < len(subtree):
-        key, size = np.frombuffer(subtree, np.int64, 2, at).tolist()
-        yield key, subtree[at + 16 : at + 16 + size]
-        at += 16 + size
+        found.append(mix(h[i, j] + paths[i]))
+    return np.concatenate(found)
 
 
 def _batches(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[list[pa.RecordBatch]]:
@@ -159,7 +154,7 @@ def _pairs(rows: dict, threshold: float) -> tuple[np.ndarray, np.ndarray]:
                 out_i.append(np.minimum(i, j)[ok])
                 out_j.append(np.maximum(i, j)[ok])
     i, j = np.concatenate(out_i), np.concatenate(out_j)
-    ok = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9) & (rows["sid"][i] != rows["sid"][j])
+    ok = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9) & (rows["no"][i] != rows["no"][j])
     if rows["part"] is not None:  # a block pair: only across its two blocks, or within the one
         first, second = rows["pair"]
         ok &= (rows["part"][i] != rows["part"][j]) if first != second else True
@@ -195,9 +190,9 @@ def _verified(tokens: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold:
         inter = np.zeros(len(i), np.int64)
         order = np.argsort(column, kind="stable")
         owner, column = owner[order], column[order]
-        for at in range(0, width, 8192):
-            lo, hi = np.searchsorted(column, [at, at + 8192])
-            block = np.zeros((len(tokens), min(8192, width - at)), np.float32)
+        for at in range(0, width, 2048):
+            lo, hi = np.searchsorted(column, [at, at + 2048])
+            block = np.zeros((len(tokens), min(2048, width - at)), np.float32)
             block[owner[lo:hi], column[lo:hi] - at] = 1
             for a in range(0, len(tokens), 1024):
                 s = np.flatnonzero((i >= a) & (i < a + 1024))
@@ -218,7 +213,7 @@ def _components(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = low
 
 
-_GROUP = ["group", "bucket", "first", "second", "part", "sid", "n", "sketch", "buckets"]
+_GROUP = ["group", "bucket", "first", "second", "part", "no", "n", "sketch", "buckets"]
 
 
 def _groups(held: list[pa.RecordBatch]) -> Iterator[dict]:
@@ -226,7 +221,7 @@ def _groups(held: list[pa.RecordBatch]) -> Iterator[dict]:
     t = pa.Table.from_batches(held)
     keys = t["group"].to_numpy()
     cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-    cols = {c: t[c].to_numpy() for c in ("bucket", "first", "second", "part", "sid", "n")}
+    cols = {c: t[c].to_numpy() for c in ("bucket", "first", "second", "part", "no", "n")}
     lists = {c: t[c].to_pylist() for c in ("sketch", "buckets", *(x for x in ("tokens",) if x in t.column_names))}
     for s, e in zip(cuts[:-1], cuts[1:], strict=True):
         # a 64-bit group number could stand for two groups: take them apart
@@ -235,83 +230,97 @@ def _groups(held: list[pa.RecordBatch]) -> Iterator[dict]:
             at = np.arange(s, e)
             if len(names) > 1:
                 at = at[(cols["bucket"][s:e] == bucket) & (cols["first"][s:e] == first) & (cols["second"][s:e] == second)]
-            _, once = np.unique(cols["sid"][at], return_index=True)
+            _, once = np.unique(cols["no"][at], return_index=True)
             at = at[once]
-            yield {c: cols[c][at] for c in ("sid", "n")} | {c: [v[x] for x in at] for c, v in lists.items()} | {"bucket": bucket, "pair": (first, second), "part": cols["part"][at] if first >= 0 else None, "rows": at, "table": t}
+            yield {c: cols[c][at] for c in ("no", "n")} | {c: [v[x] for x in at] for c, v in lists.items()} | {"bucket": bucket, "pair": (first, second), "part": cols["part"][at] if first >= 0 else None, "rows": at, "table": t}
+
+
+def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most 512 rows and, but for single rows, about `SLICE` bytes of text."""
+    for whole in batches:
+        sizes = np.cumsum(pc.binary_length(whole.column("text")).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < whole.num_rows:
+            end = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE))
+            end = min(max(end, at + 1), at + 512, whole.num_rows)
+            yield whole.slice(at, end - at)
+            at = end
 
 
-def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, runs: int = RUNS, depth: int = DEPTH, small: int = SMALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, runs: int | None = None, depth: int = DEPTH, small: int = SMALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, n_links, n_copies."""
     plain = documents(docs, id_col, text_col)
-
-    def emit(make, schema: str) -> DataFrame:
+    seeds = _SEEDS[: runs or runs_for(depth=depth)]
+
+    # 1. one pass over the texts; those with equal sets are one, numbered in a written table
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small_batches(batches):
+            sets = list(shingle_sets(batch.column("text").to_pylist(), k))
+            ids = [set_ids(t) for t in sets]
+            keys = [chosen(t, seeds, threshold).view(np.int64) for t in sets]
+            columns = [batch.column("doc_id"), *(pa.array([x[j] for x in ids], pa.int64()) for j in (0, 1)), pa.array([len(t) for t in sets], pa.int64()), pa.array([parity_sketch(t).tobytes() if len(t) else b"" for t in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["doc_id", "sid", "sid2", "n", "sketch", "keys"])
+
+    rows = written(spark, plain.mapInArrow(first_pass, "doc_id long, sid long, sid2 long, n long, sketch binary, keys array<long>"), "near-rows")
+    sets = rows.groupBy("sid", "sid2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("n", "sketch", "keys")))
+    sets = written(spark, sets.withColumn("no", F.monotonically_increasing_id()), "near-sets")
+
+    def of_sets(wanted: DataFrame, make: Callable[[int, np.ndarray, dict], list[tuple]], extra: list[str], schema: str) -> DataFrame:
+        """Rows that `make` gives for the numbered sets in `wanted`, from one text of each."""
         names = [x.split()[0] for x in schema.split(", ")]
+        kinds = [{"long": pa.int64(), "binary": pa.binary()}[x.split()[1]] for x in schema.split(", ")]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
-                ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                rows: list[tuple] = []
-                for doc_id, tokens in zip(ids, shingle_sets(texts, k), strict=True):
-                    rows += make(doc_id, tokens)
-                    if len(rows) >= 20_000:
-                        yield _record(rows, names, kinds)
-                        rows = []
-                yield _record(rows, names, kinds)
-        kinds = [{"long": pa.int64(), "binary": pa.binary()}[x.split()[1]] for x in schema.split(", ")]
-        return plain.mapInArrow(run, schema)
-
-    # 1. texts with equal sets are one
-    members = written(spark, emit(lambda d, t: [(d, *set_ids(t), len(t))], "doc_id long, sid long, sid2 long, n long"), "near-members")
-    sets = members.groupBy("sid", "sid2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
-
-    # 2. chosen paths, level by level; only buckets that are too large are split again
-    def nodes_of(d, tokens):
-        if not len(tokens):
-            return []
-        sid = set_ids(tokens)[0]
-        keys, below = path_tree(tokens, runs, depth, threshold)
-        return [(x, sid, sub) for x, sub in zip(keys.view(np.int64).tolist(), below, strict=True)]
-
-    # written before it is counted and joined: choosing paths is the dearest step and must run once
-    nodes = written(spark, emit(nodes_of, "bucket long, sid long, below binary"), "near-paths").dropDuplicates(["bucket", "sid"])
-    closed = []
+            seen: set[int] = set()  # rows that repeat id and text come to one partition
+            for batch in _small_batches(batches):
+                cols = {c: batch.column(c).to_pylist() for c in ("no", "sid", "sid2", *extra)}
+                out: list[tuple] = []
+                for i, tokens in enumerate(shingle_sets(batch.column("text").to_pylist(), k)):
+                    no = cols["no"][i]
+                    if no not in seen and set_ids(tokens) == (cols["sid"][i], cols["sid2"][i]):
+                        seen.add(no)
+                        out += make(no, tokens, {c: cols[c][i] for c in extra})
+                yield _record(out, names, kinds)
+
+        own = wanted.join(sets.select("no", "least", "sid", "sid2"), "no")
+        return own.join(plain, own["least"].eqNullSafe(plain["doc_id"])).select("no", "sid", "sid2", *extra, "text").mapInArrow(run, schema)
+
+    # 2. buckets, level by level; only those that are too large are split again
+    nodes, closed, scratch = sets.select("no", F.explode("keys").alias("bucket")), [], []
     for level in range(1, depth + 1):
         sizes = nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         sized = written(spark, nodes.join(sizes, "bucket"), f"near-level{level}")
-        done = sized.filter(F.col("size") <= small) if level < depth else sized
-        closed.append(done.select("bucket", "sid", "size"))
-        if level < depth:
-
-            def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    rows = [(key, sid, sub) for sid, below in zip(batch.column("sid").to_pylist(), batch.column("below").to_pylist(), strict=True) for key, sub in _children(below)]
-                    yield _record(rows, ["bucket", "sid", "below"], [pa.int64(), pa.int64(), pa.binary()])
-
-            nodes = sized.filter(F.col("size") > small).select("sid", "below").mapInArrow(split, "bucket long, sid long, below binary").dropDuplicates(["bucket", "sid"])
-    entries = closed[0]
+        scratch.append(sized)
+        large = sized.filter(F.col("size") > small)
+        if level == depth or large.isEmpty():
+            closed.append(sized)
+            break
+        closed.append(sized.filter(F.col("size") <= small))
+        paths = large.groupBy("no").agg(F.collect_list("bucket").alias("paths"))  # about 5/4 per run and level
+        split = lambda no, tokens, row: [(no, key) for key in chosen(tokens, np.array(row["paths"], np.int64).view(np.uint64), threshold).view(np.int64).tolist()]
+        nodes = written(spark, of_sets(paths, split, ["paths"], "no long, bucket long"), f"near-paths{level + 1}")
+        scratch.append(nodes)
+    entries = closed[0].select("bucket", "no", "size")
     for more in closed[1:]:
-        entries = entries.unionByName(more)
-
-    # 3. sketches of the sets in buckets, and the list of each set's buckets (at most a few per run)
-    lists = entries.groupBy("sid").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-    sketches = emit(lambda d, t: [(d, set_ids(t)[0], parity_sketch(t).tobytes())] if len(t) else [], "doc_id long, sid long, sketch binary")
-    one = sets.select("sid", F.col("least").alias("doc_id"), "n")
-    known = lists.join(one, "sid").join(sketches, "sid").filter(sketches["doc_id"].eqNullSafe(one["doc_id"])).select("sid", "n", "sketch", "buckets").dropDuplicates(["sid"])
-    known = written(spark, known, "near-sketches")
+        entries = entries.unionByName(more.select("bucket", "no", "size"))
+
+    # 3. what is compared: each member with its sketch and the list of its buckets (at most a few per run)
+    lists = entries.groupBy("no").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
+    known = written(spark, lists.join(sets.select("no", "n", "sketch"), "no").select("no", "n", "sketch", "buckets"), "near-sketches")
     parts = F.ceil(F.col("size") / block).cast("int")
-    whole = entries.filter(F.col("size") <= 2 * block).select("bucket", F.lit(-1).alias("first"), F.lit(-1).alias("second"), F.lit(-1).alias("part"), "sid")
-    cut = entries.filter(F.col("size") > 2 * block).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bucket", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "sid")
-    grouped = whole.unionByName(cut).join(known, "sid").withColumn("group", F.xxhash64("bucket", "first", "second")).select(*_GROUP)
+    whole = entries.filter(F.col("size") <= 2 * block).select("bucket", F.lit(-1).alias("first"), F.lit(-1).alias("second"), F.lit(-1).alias("part"), "no")
+    cut = entries.filter(F.col("size") > 2 * block).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("no"), F.col("parts")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bucket", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "no")
+    grouped = whole.unionByName(cut).join(known, "no").withColumn("group", F.xxhash64("bucket", "first", "second")).select(*_GROUP)
 
     # 4. in each bucket: the members with a pair that it owns and that the sketches allow
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _batches(batches, "group"):
             take, t = [], None
-            for rows in _groups(held):
-                i, j = _pairs(rows, threshold)
-                t = rows["table"]
-                take += rows["rows"][np.union1d(i, j)].tolist()
+            for group in _groups(held):
+                i, j = _pairs(group, threshold)
+                t = group["table"]
+                take += group["rows"][np.union1d(i, j)].tolist()
             if take:
                 yield from t.take(pa.array(take)).combine_chunks().to_batches()
 
@@ -319,35 +328,35 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
     wanted = written(spark, by_group(grouped).mapInArrow(filtered, grouped.schema), "near-wanted")
 
     # 5. their whole sets; exact comparison; one row per member
-    needed = wanted.select("sid").distinct().join(one.select("sid", "doc_id"), "sid")
-    tokens = emit(lambda d, t: [(d, set_ids(t)[0], t.tobytes())] if len(t) else [], "own_id long, own_sid long, tokens binary")
-    tokens = needed.join(tokens, (F.col("sid") == F.col("own_sid")) & F.col("doc_id").eqNullSafe(F.col("own_id"))).select("sid", "tokens")
-    full = by_group(wanted.join(tokens, "sid"))
+    tokens = of_sets(wanted.select("no").distinct(), lambda no, tokens, _: [(no, tokens.tobytes())], [], "no long, tokens binary")
+    full = by_group(wanted.join(tokens, "no"))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _batches(batches, "group"):
             out = []
-            for rows in _groups(held):
-                i, j = _pairs(rows, threshold)
+            for group in _groups(held):
+                i, j = _pairs(group, threshold)
                 if len(i):
-                    ok = _verified([np.frombuffer(x, np.uint64) for x in rows["tokens"]], i, j, threshold)
+                    ok = _verified([np.frombuffer(x, np.uint64) for x in group["tokens"]], i, j, threshold)
                     i, j = i[ok], j[ok]
                 if len(i):
-                    sid = rows["sid"]
-                    degree = np.bincount(np.concatenate([i, j]), minlength=len(sid))
-                    label = _components(len(sid), i, j)
-                    out += [(int(sid[x]), int(sid[label[x]]), int(degree[x])) for x in np.flatnonzero(degree)]
-            yield _record(out, ["sid", "hub", "links"], [pa.int64()] * 3)
+                    no = group["no"]
+                    degree = np.bincount(np.concatenate([i, j]), minlength=len(no))
+                    label = _components(len(no), i, j)
+                    out += [(int(no[x]), int(no[label[x]]), int(degree[x])) for x in np.flatnonzero(degree)]
+            yield _record(out, ["no", "hub", "links"], [pa.int64()] * 3)
 
-    found = written(spark, full.mapInArrow(linked, "sid long, hub long, links long"), "near-links")
+    found = written(spark, full.mapInArrow(linked, "no long, hub long, links long"), "near-links")
+    for used in (*scratch, known, wanted):
+        drop(used)
 
     # 6. classes
-    labels = connected(spark, found.select(F.col("sid").alias("a"), F.col("hub").alias("b")))
-    links = found.groupBy("sid").agg(F.sum("links").alias("n_links"))
-    classed = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").join(links, "sid", "left").select("sid", "sid2", "least", "copies", F.coalesce("label", "sid").alias("label"), F.when(F.col("label").isNull(), F.col("sid2")).alias("label2"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    heads = classed.groupBy("label", "label2").agg(F.min("least").alias("class_id"))
-    per_set = classed.join(heads, (classed["label"] == heads["label"]) & classed["label2"].eqNullSafe(heads["label2"])).select("sid", "sid2", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"))
-    return members.join(per_set, ["sid", "sid2"]).select("doc_id", "class_id", "n_links", "n_copies")
+    labels = connected(spark, found.select(F.col("no").alias("a"), F.col("hub").alias("b")))
+    links = found.groupBy("no").agg(F.sum("links").alias("n_links"))
+    classed = sets.select("no", "sid", "sid2", "least", "copies").join(labels.withColumnRenamed("node", "no"), "no", "left").join(links, "no", "left").select("sid", "sid2", "least", "copies", F.coalesce("label", "no").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    heads = classed.groupBy("label").agg(F.min("least").alias("class_id"))
+    per_set = classed.join(heads, "label").select("sid", "sid2", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"))
+    return rows.select("doc_id", "sid", "sid2").join(per_set, ["sid", "sid2"]).select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -364,18 +373,20 @@ def _record(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
 
 def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each node's component; edges (a, b) of longs.  Each round takes the least label
-    among neighbours and then the label of that label; the tables of a round are written to the shared folder."""
+    among neighbours and then the label of that label; a round's table in the shared folder replaces the one before."""
     both = written(spark, edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label"))
-    labels = written(spark, labels, "cc-labels")
+    now = written(spark, both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "cc-labels")
     while True:
+        labels = now.select("node", "label")
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         roots = labels.select(F.col("node").alias("root"), F.col("label").alias("up"))
         new = written(spark, step.join(roots, step["label"] == roots["root"], "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")), "cc-labels")
-        labels = new.select("node", "label")
+        drop(now)
+        now = new
         if new.filter("old <> label").isEmpty():
-            return labels
+            drop(both)
+            return new.select("node", "label")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

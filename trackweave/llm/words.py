@@ -2,37 +2,31 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 
-#: The bytes between words; multipliers of the polynomial and of the final mixing.
+#: The bytes between words; odd multipliers.
 SPACES = b" \t\n\v\f\r"
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
-SLICE = 500_000
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes hashed at a time; words longer than `LONG` bytes are hashed by BLAKE2b instead of eight bytes at a time.
+SLICE, LONG = 500_000, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose bits all depend on all bits."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-@cache
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """base ** i and base ** -i modulo 2 ** 64 (base is odd, so it has an inverse)."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        p = np.full(size, b, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
-    return out[0], out[1]
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
@@ -47,32 +41,67 @@ def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def _blocks(data: bytes, most: int) -> Iterator[bytes]:
+    """`data` in blocks of about `most` bytes that end between words."""
+    at = 0
+    while at < len(data):
+        gap = _GAP.search(data, at + most) if at + most < len(data) else None
+        end = gap.end() if gap else len(data)
+        yield data[at:end]
+        at = end
+
+
+def _hash_block(data: bytes, lanes: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    n = len(data)
+    padded = data + bytes(8)
+    gap = _IS_SPACE[np.frombuffer(padded, np.uint8, n)]
+    turn = np.flatnonzero(np.diff(gap, prepend=True, append=True))  # begins and ends of words alternate
+    begins, ends = turn[0::2], turn[1::2]
+    sizes = ends - begins
+    eight = np.ndarray((n + 1,), "<u8", padded, strides=(1,))  # the eight bytes from every place on
+    out = [mix(sizes.astype(np.uint64) * np.uint64(base) + np.uint64(base >> 7)) for base in BASES[:lanes]]
+    live = np.flatnonzero(sizes <= LONG) if len(sizes) and sizes.max() > LONG else np.arange(len(sizes))
+    step = 0
+    while len(live):
+        at = begins[live] + 8 * step
+        value = eight[at] & _MASKS[np.minimum(ends[live] - at, 8)]
+        for h, base in zip(out, BASES, strict=False):
+            h[live] = mix((h[live] ^ value) * np.uint64(base))
+        step += 1
+        live = live[sizes[live] > 8 * step]
+    for k in np.flatnonzero(sizes > LONG):
+        digest = hashlib.blake2b(data[begins[k] : ends[k]], digest_size=8 * lanes).digest()
+        for h, value in zip(out, np.frombuffer(digest, "<u8"), strict=True):
+            h[k] = value
+    return begins, ends, out
+
+
 def hash_words(texts: list[bytes], lanes: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashes of all words of all texts in order, once per lane, and where each text's words begin (one more at the end)."""
+    """Hashes of all words of all texts in order, once per lane, and where each text's words begin (one more at the end).
+
+    Eight bytes at a time go through a bijection that mixes all bits, so no algebraic relation between words makes
+    them collide; long words go through a cryptographic digest.  Memory is bounded by the block, not by the text."""
     data = b"\n".join([*texts, b""])
-    buf = np.frombuffer(data, np.uint8)
-    gap = _IS_SPACE[buf]
-    turn = np.flatnonzero(np.diff(gap, prepend=True))  # begins and ends alternate, as the data ends in a space
-    begins, ends = turn[0::2], turn[1::2]
     firsts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-    offsets = np.searchsorted(begins, firsts)
-    size = 1 << max(16, (len(buf)).bit_length())
+    begins, hashes, at = [], [[] for _ in range(lanes)], 0
+    for block in _blocks(data, SLICE):
+        b, _, found = _hash_block(block, lanes)
+        begins.append(b + at)
+        for k in range(lanes):
+            hashes[k].append(found[k])
+        at += len(block)
+    begin = np.concatenate([np.zeros(0, np.int64), *begins])
+    return [np.concatenate([np.zeros(0, np.uint64), *h]) for h in hashes], np.searchsorted(begin, firsts)
+
+
+def windows(hashes: np.ndarray, *sizes: int, base: int = BASES[0]) -> list[np.ndarray]:
+    """For each of the ascending `sizes`, the hash of every so many consecutive words (also across texts; callers leave
+    those out).  Words are taken in one after another, each through the bijection."""
     out = []
-    for base in BASES[:lanes]:
-        up, down = _powers(base, size)
-        total = np.concatenate([[np.uint64(0)], np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], dtype=np.uint64)])
-        out.append(mix((total[ends] - total[begins]) * down[begins] + (ends - begins).astype(np.uint64)))
-    return out, offsets
-
-
-def windows(hashes: np.ndarray, k: int, base: int = BASES[0]) -> np.ndarray:
-    """The hash of every k consecutive words (also across texts; callers leave those out)."""
-    n = len(hashes) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    factor = np.uint64(1)
-    for j in range(k):
-        total += hashes[j : j + n] * factor
-        factor = np.uint64(int(factor) * base % (1 << 64))
-    return mix(total)
+    total = np.full(len(hashes), base, np.uint64)
+    for j in range(max(sizes)):
+        n = max(0, len(hashes) - j)
+        total = mix((total[:n] ^ hashes[j : j + n]) * np.uint64(base))
+        if j + 1 in sizes:
+            out.append(mix(total + np.uint64(j + 1)))
+    return out
