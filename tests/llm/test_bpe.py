@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -48,3 +49,29 @@ def test_table(spark):
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert r.ids_sha256 == hashlib.sha256(np.array(r.ids, "<u4").tobytes()).hexdigest()
     assert bpe.encode_documents(df.limit(0), PATH, P.PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["random", "one", "two", "three letters", "syllables", "characters", "marks"])
+def test_very_long_words(codec, kind):
+    rng = random.Random(2)
+    n = 100_000
+    make = {"random": lambda: rng.choices("abcdefghijklmnopqrstuvwxyz", k=n), "one": lambda: "a" * n, "two": lambda: "ab" * (n // 2), "three letters": lambda: rng.choices("aes", k=n), "syllables": lambda: rng.choices(["the", "ing", "tion", "er", "s"], k=n // 3), "characters": lambda: map(chr, (rng.randint(0x4E00, 0x9FFF) for _ in range(n // 3))), "marks": lambda: rng.choices("-=_/.", k=n)}
+    began = time.perf_counter()
+    text = "".join(make[kind]())
+    codec.encode([text])
+    assert time.perf_counter() - began < 10
+    check(codec, [text, "short words too"])
+
+
+def test_both_forms_of_the_rule_agree(codec, monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("etaoinshrdlu'é日", k=rng.randint(2, 60))) for _ in range(300)]
+    for longest in (1, 10**6):
+        monkeypatch.setattr(bpe, "LONG", longest)
+        codec.forget()
+        check(codec, words)
+
+
+def test_very_long_text_of_words(codec):
+    rng = random.Random(5)
+    check(codec, [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(200_000))])

@@ -8,12 +8,13 @@ vocabulary and aggregates the pieces in order of position.
 
 Scale
 * No shuffle: rows stay in the partition that read them.  The vocabulary (about 1 MB) travels with the
-  task.  Encoded pieces are remembered per Python worker in two generations of `KEEP` entries; what was used
-  lately stays, and memory is bounded.
+  task.  Encoded pieces are remembered during a partition in two generations of about `KEEP` bytes; what was used
+  lately stays, and all is let go at the partition's end.
 * Texts are cut at single spaces between non-space characters first.  No pre-token of the pattern spans
   such a place or looks past it, so equal pieces are matched against the pattern once.
-* Words over `LONG` bytes contract all occurrences of the minimum pair in one round where no token made
-  from the new one has a lower rank (then one by one would do the same); else only the leftmost.
+* A word is contracted pair by pair in the order of ranks.  In words over `LONG` bytes a round contracts at once all
+  pairs that this order would contract as they stand, and words are cut where no token spans the place, so that long
+  words take few rounds.  A very long text is cut at spaces like any other; what remains is one long word.
 
 Defined cases: a null text is empty and has no ids; a null id is returned as null; repeated rows give
 repeated results; an empty table gives an empty result; other columns are ignored.
@@ -33,10 +34,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, table
+from .common import documents, give_back, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-KEEP, LONG, AT_ONCE, ROUNDS = 300_000, 96, 30_000, 24
+#: Bytes remembered in a generation, of which `ENTRY` for each piece beside its text; longest word contracted as one list;
+#: words, and tokens of long words, in a query at once; rounds of a query on long words.
+KEEP, ENTRY, LONG, AT_ONCE, ROWS, ROUNDS = 40_000_000, 200, 96, 30_000, 200_000, 4
+MOST = 2**31 - 1
 #: A single space between two characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s | \s|^ | $")
@@ -54,23 +58,39 @@ with recursive step(round, word, ids) as (
 select word, arg_max(ids, round) ids from step group by word
 """
 
+# Longer words: in one round, every pair is contracted that the order of ranks would contract as it stands.  `base` is at
+# most the least rank of any token that may come to span the boundary after a row: while a pair's rank is below that of the
+# boundary before it and not above that of the boundary after it, nothing can take its tokens away first.  Runs of one
+# pair take every second; the word's leftmost pair of minimum rank is always due.
 _LONG = """
-with recursive step(round, word, pos, id) as (
-  select 0, word, pos, id from seed_rows
+with recursive step(round, word, pos, id, base) as (
+  select 0, word, pos, id, base from seed
   union all
-  select round + 1, word, row_number() over (partition by word order by pos), id from (
-    select round, word, pos, case when here then made else id end id, lag(here, 1, false) over (partition by word order by pos) gone from (
-      select *, coalesce(hit and case when safe then (row_number() over (partition by word, hit, run order by pos)) % 2 = 1 else pos = min(case when hit then pos end) over (partition by word) end, false) here from (
-        select *, pos - row_number() over (partition by word, hit order by pos) run from (
-          select *, coalesce(made = best, false) hit from (
-            select *, min(made) over (partition by word) best from (
-              select t.*, m.made, m.safe from (select *, lead(id) over (partition by word order by pos) r from step) t left join merges m on m.pair = (t.id::bigint << 32 | t.r)))
-          where best is not null and round < {rounds}))))
+  select round + 1, word, pos, case when here then made else id end, case when here then after else base end from (
+    select *, lag(here, 1, false) over (partition by word order by pos) gone from (
+      select *, made is not null and (pos = best & 4294967295 or (made <= after and run & 4294967295 > made and (place - (run >> 32)) % 2 = 0)) here from (
+        select *, max(case when new_run then place << 32 | before end) over (partition by word order by pos rows unbounded preceding) run from (
+          select *, made is distinct from lag(made) over w or before <> made new_run from (
+            select *, lag(base, 1, {most}) over w before, min(made::bigint << 32 | pos) over (partition by word) best from (
+              select t.*, made from (
+                select *, lead(id) over w r, lead(base, 1, {most}) over w after, row_number() over w place from step window w as (partition by word order by pos)) t
+              left join merges m on m.pair = (t.id::bigint << 32 | t.r))
+            window w as (partition by word order by pos))
+          window w as (partition by word order by pos))))
+    where best is not null and round < {rounds})
   where not gone)
-select word, list(id order by pos) ids, max(round) rounds from (select *, max(round) over (partition by word) last from step) where round = last group by word
+select word, pos, id, last from (select *, max(round) over (partition by word) as last from step) where round = last order by pos
 """
 
-_DECODE = "select doc, string_agg(piece, '' order by pos) as decoded from tokens join vocabulary using (id) group by doc"
+_DECODE = "select doc, array_to_string(list(piece order by pos), '') as decoded from tokens join vocabulary using (id) group by doc"
+
+
+def _cut(text: str) -> list[str]:
+    """A text cut at single spaces between characters that are not white space."""
+    words = text.split()
+    if words and " ".join(words) == text:
+        return words
+    return _CUT.split(text) if _WIDE.search(text) else text.split(" ")
 
 
 class Codec:
@@ -79,65 +99,120 @@ class Codec:
     def __init__(self, vocabulary: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
         self.pattern = regex.compile(pattern)
-        # packed ids of pieces at a text's start and of those after a space, used lately, and the same of the time before
-        self.packed: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.before: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.bytes_ = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.forget()
+        tokens = list(self.ranks)
         pairs = [(left, right, rank) for token, rank in self.ranks.items() for i in range(1, len(token)) if (left := self.ranks.get(token[:i])) is not None and (right := self.ranks.get(token[i:])) is not None]
         left, right, made = np.array(pairs, np.int64).T if pairs else np.zeros((3, 0), np.int64)
-        unsafe = np.union1d(left[made < left], right[made < right])  # tokens of which a part of lower rank can be made
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
-        self._load("merges", {"pair": left << 32 | right, "made": made.astype(np.int32), "safe": ~np.isin(made, unsafe)})
-        self._load("vocabulary", {"id": pa.array(self.ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in self.ranks]})
+        self.longest = max(map(len, tokens), default=0)
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self._load("merges", {"pair": left << 32 | right, "made": made.astype(np.int32)})
+        self._load("vocabulary", {"id": pa.array(self.ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in tokens]})
+
+    def forget(self) -> None:
+        """Lets go of what was remembered: packed ids of pieces at a text's start and of those after a space, used lately,
+        and the same of the time before; `size` is an estimate of the former's bytes."""
+        self.packed: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.before: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.size, self.prefixes = 0, set()
 
     def _load(self, name: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
-        self.db.execute(f"create or replace table {name} as select * from given")
+        self.db.execute(f"create or replace table {name} as select * from given" + (" order by id" if name == "vocabulary" else ""))
         self.db.unregister("given")
 
     def _words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of distinct pre-tokens."""
-        out, short, long = {}, [], []
+        out, short = {}, []
         for w in words:
             data = w.encode()
             if (whole := self.ranks.get(data)) is not None:
                 out[w] = whole.to_bytes(4, "little")
+            elif len(data) > LONG:
+                out[w] = self._long(data)
             else:
-                (short if len(data) <= LONG else long).append((w, [self.ranks[data[i : i + 1]] for i in range(len(data))]))
+                short.append((w, data))
         it = iter(short)
         while part := list(islice(it, AT_ONCE)):
-            self._load("seed", {"word": pa.array(range(len(part)), pa.int32()), "ids": pa.array([x[1] for x in part], pa.list_(pa.int32()))})
+            ends = np.cumsum([0, *(len(x[1]) for x in part)]).astype(np.int32)
+            ids = self.bytes_[np.frombuffer(b"".join([x[1] for x in part]), np.uint8)]
+            self._load("seed", {"word": np.arange(len(part), dtype=np.int32), "ids": pa.ListArray.from_arrays(ends, ids)})
             found = self.db.sql(_SHORT).to_arrow_table()
             flat = found["ids"].combine_chunks()
-            values, ends = flat.flatten().to_numpy().astype("<u4").tobytes(), flat.offsets.to_numpy() - flat.offsets[0].as_py()
-            for k, word in enumerate(found["word"].to_pylist()):
-                out[part[word][0]] = values[4 * ends[k] : 4 * ends[k + 1]]
-        for w, ids in long:
-            rounds = ROUNDS
-            while rounds == ROUNDS:  # a few rounds at a time, so that their rows do not pile up
-                self._load("seed_rows", {"word": pa.array(np.zeros(len(ids)), pa.int32()), "pos": pa.array(np.arange(1, len(ids) + 1), pa.int64()), "id": pa.array(ids, pa.int32())})
-                _, ids, rounds = self.db.execute(_LONG.format(rounds=ROUNDS)).fetchall()[0]
-            out[w] = np.array(ids, "<u4").tobytes()
+            values, ends = flat.flatten().to_numpy().astype("<u4").tobytes(), (4 * (flat.offsets.to_numpy() - flat.offsets[0].as_py())).tolist()
+            out.update(zip([part[k][0] for k in found["word"].to_pylist()], [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], strict=True))
         return out
 
+    def _spanned(self, data: bytes, pos: list[int], base: np.ndarray) -> np.ndarray:
+        """For the boundary after each token, the least rank of the vocabulary's tokens that stand in the word, begin and
+        end where tokens do, and span it; nothing else can ever be made across it."""
+        if not self.prefixes:
+            self.prefixes = {t[:i] for t in self.ranks for i in range(1, len(t))}
+        out, last, ends = [MOST] * len(pos), (base == MOST).tolist(), [*pos[1:], len(data)]
+        for i, at in enumerate(pos):
+            j = i
+            while not last[j] and ends[j + 1] - at <= self.longest:
+                j += 1
+                piece = data[at : ends[j]]
+                rank = self.ranks.get(piece)
+                if rank is not None:
+                    for k in range(i, j):
+                        if rank < out[k]:
+                            out[k] = rank
+                if piece not in self.prefixes:
+                    break
+        return np.array(out, np.int64)
+
+    def _long(self, data: bytes) -> bytes:
+        """Packed ids of a long word.  After every few rounds it is cut wherever no token can come to span the place, so
+        that its stretches contract side by side."""
+        ids, pos = self.bytes_[np.frombuffer(data, np.uint8)].astype(np.int64), np.arange(len(data))
+        base = np.zeros(len(data), np.int64)
+        base[-1] = MOST
+        live = np.ones(len(data), bool)  # tokens of stretches that may still change
+        while True:
+            base = np.where(live, self._spanned(data, pos.tolist(), np.where(live, base, MOST)), MOST)
+            word = np.concatenate([[0], np.cumsum(base == MOST)[:-1]])
+            live = np.bincount(word)[word] > 1
+            if not live.any():
+                return ids.astype("<u4").tobytes()
+            at = np.flatnonzero(live)
+            gone, more = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+            firsts = np.flatnonzero(np.diff(word[at], prepend=-1))
+            for rows in np.split(at, firsts[np.flatnonzero(np.diff(firsts // ROWS)) + 1]):  # whole stretches, about ROWS tokens at a time
+                self._load("seed", {"word": word[rows].astype(np.int32), "pos": rows.astype(np.int32), "id": ids[rows].astype(np.int32), "base": base[rows].astype(np.int32)})
+                left = self.db.sql(_LONG.format(rounds=ROUNDS, most=MOST)).to_arrow_table()
+                keep = left["pos"].to_numpy()
+                gone[rows], gone[keep] = True, False
+                ids[keep], more[keep] = left["id"].to_numpy(), left["last"].to_numpy() == ROUNDS
+            stays = np.flatnonzero(~gone)
+            base = base[np.append(stays[1:], len(ids)) - 1]
+            ids, pos, live = ids[stays], pos[stays], more[stays]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        if sum(map(len, self.packed)) > KEEP:
-            self.before, self.packed = self.packed, ({}, {})
-        cut = [_CUT.split(t) if _WIDE.search(t) else t.split(" ") for t in texts]
-        needed = ({c[0] for c in cut}, {p for c in cut for p in c[1:]})
+        if self.size > KEEP:
+            self.before, self.packed, self.size = self.packed, ({}, {}), 0
+        cut = [_cut(t) for t in texts]
+        needed: tuple[set[str], set[str]] = ({c[0] for c in cut}, set())
+        for c in cut:
+            needed[1].update(islice(c, 1, None))
         split: list[dict[str, list[str]]] = [{}, {}]
         for k, (recent, older) in enumerate(zip(self.packed, self.before, strict=True)):
             for p in needed[k]:
                 if p not in recent:
                     if (known := older.get(p)) is not None:
                         recent[p] = known
+                        self.size += ENTRY + len(p) + len(known)
                     else:
                         split[k][p] = self.pattern.findall(" " * k + p)
         ids = self._words({w for part in split for words in part.values() for w in words})
         for k in (0, 1):
-            self.packed[k].update((p, b"".join([ids[w] for w in words])) for p, words in split[k].items())
+            made = {p: b"".join([ids[w] for w in words]) for p, words in split[k].items()}
+            self.packed[k].update(made)
+            self.size += sum(map(len, made)) + sum(map(len, made.values())) + ENTRY * len(made)
         first, rest = self.packed
-        return [b"".join([first[c[0]], *[rest[p] for p in c[1:]]]) for c in cut]
+        return [b"".join([first[c[0]], *map(rest.__getitem__, islice(c, 1, None))]) for c in cut]
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
         """The bytes that each text's ids stand for."""
@@ -161,7 +236,7 @@ def codec(vocabulary: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def _slices(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` characters."""
     at = size = 0
     for i, t in enumerate(texts):
@@ -180,7 +255,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
-        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
+        own.forget()
+        for batch in (whole.slice(at, 2048) for whole in batches for at in range(0, whole.num_rows, 2048)):
             texts = batch.column("text").to_pylist()
             for a, b in _slices(texts):
                 coded = own.encode(texts[a:b])
@@ -192,6 +268,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col
                     columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in coded], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.record_batch(columns, names=names)
+        own.forget()
+        give_back()
 
     return documents(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
 
