@@ -8,8 +8,8 @@ vocabulary and aggregates the pieces in order of position.
 
 Scale
 * No shuffle: rows stay in the partition that read them.  The vocabulary (about 1 MB) travels with the
-  task.  Encoded pieces are remembered during a partition in two generations of about `KEEP` bytes; what was used
-  lately stays, and all is let go at the partition's end.
+  task.  Encoded pieces are remembered per Python worker in two generations of about `KEEP` bytes; what was used
+  lately stays, and memory is bounded.
 * Texts are cut at single spaces between non-space characters first.  No pre-token of the pattern spans
   such a place or looks past it, so equal pieces are matched against the pattern once.
 * A word is contracted pair by pair in the order of ranks.  In words over `LONG` bytes a round contracts at once all
@@ -39,7 +39,7 @@ from .common import documents, give_back, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes remembered in a generation, of which `ENTRY` for each piece beside its text; longest word contracted as one list;
 #: words, and tokens of long words, in a query at once; rounds of a query on long words.
-KEEP, ENTRY, LONG, AT_ONCE, ROWS, ROUNDS = 40_000_000, 200, 96, 30_000, 200_000, 4
+KEEP, ENTRY, LONG, AT_ONCE, ROWS, ROUNDS = 60_000_000, 200, 96, 30_000, 200_000, 4
 MOST = 2**31 - 1
 #: A single space between two characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -55,7 +55,7 @@ with recursive step(round, word, ids) as (
     select word, min((m.made::bigint << 32) | pos) best
     from (select word, unnest(ids) l, unnest(ids[2:]) r, generate_subscripts(ids, 1) pos from step) t join merges m on m.pair = (t.l::bigint << 32 | t.r)
     where r is not null group by word) b on b.word = s.word)
-select word, arg_max(ids, round) ids from step group by word
+select word, ids from (select word, ids, round, max(round) over (partition by word) last from step) where round = last
 """
 
 # Longer words: in one round, every pair is contracted that the order of ranks would contract as it stands.  `base` is at
@@ -136,8 +136,9 @@ class Codec:
         while part := list(islice(it, AT_ONCE)):
             ends = np.cumsum([0, *(len(x[1]) for x in part)]).astype(np.int32)
             ids = self.bytes_[np.frombuffer(b"".join([x[1] for x in part]), np.uint8)]
-            self._load("seed", {"word": np.arange(len(part), dtype=np.int32), "ids": pa.ListArray.from_arrays(ends, ids)})
+            self.db.register("seed", pa.table({"word": np.arange(len(part), dtype=np.int32), "ids": pa.ListArray.from_arrays(ends, ids)}))
             found = self.db.sql(_SHORT).to_arrow_table()
+            self.db.unregister("seed")
             flat = found["ids"].combine_chunks()
             values, ends = flat.flatten().to_numpy().astype("<u4").tobytes(), (4 * (flat.offsets.to_numpy() - flat.offsets[0].as_py())).tolist()
             out.update(zip([part[k][0] for k in found["word"].to_pylist()], [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], strict=True))
@@ -180,8 +181,9 @@ class Codec:
             gone, more = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
             firsts = np.flatnonzero(np.diff(word[at], prepend=-1))
             for rows in np.split(at, firsts[np.flatnonzero(np.diff(firsts // ROWS)) + 1]):  # whole stretches, about ROWS tokens at a time
-                self._load("seed", {"word": word[rows].astype(np.int32), "pos": rows.astype(np.int32), "id": ids[rows].astype(np.int32), "base": base[rows].astype(np.int32)})
+                self.db.register("seed", pa.table({"word": word[rows].astype(np.int32), "pos": rows.astype(np.int32), "id": ids[rows].astype(np.int32), "base": base[rows].astype(np.int32)}))
                 left = self.db.sql(_LONG.format(rounds=ROUNDS, most=MOST)).to_arrow_table()
+                self.db.unregister("seed")
                 keep = left["pos"].to_numpy()
                 gone[rows], gone[keep] = True, False
                 ids[keep], more[keep] = left["id"].to_numpy(), left["last"].to_numpy() == ROUNDS
@@ -255,7 +257,6 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
-        own.forget()
         for batch in (whole.slice(at, 2048) for whole in batches for at in range(0, whole.num_rows, 2048)):
             texts = batch.column("text").to_pylist()
             for a, b in _slices(texts):
@@ -268,7 +269,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col
                     columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in coded], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.record_batch(columns, names=names)
-        own.forget()
+        own.prefixes = set()
         give_back()
 
     return documents(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
