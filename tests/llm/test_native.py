@@ -48,11 +48,11 @@ def test_copies_cases(spark):
     assert copies(df.limit(0)) == [] and exact_dedup.keep_largest(df.limit(0)).count() == 0
 
 
-def test_hot_text_takes_the_other_way_to_the_same_result(spark):
+def test_hot_text_is_cut_into_runs(spark):
     rows = [(k, "Hot" if k % 3 else "hot") for k in range(3000)] + [(2999, "hot"), (5000, "cold"), (5001, "COLD")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert copies(df, hot_share=0.1) == brute_copies(rows)
-    assert sorted(r.doc_id for r in exact_dedup.keep_largest(df, hot_share=0.1).collect()) == [2999, 5001]
+    assert copies(df, group_rows=200) == brute_copies(rows)
+    assert sorted(r.doc_id for r in exact_dedup.keep_largest(df, group_rows=200).collect()) == [2999, 5001]
 
 
 # source mix
@@ -80,6 +80,12 @@ def test_mix_hits_targets_and_repeats_itself(spark):
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
+def test_mix_of_ids_that_share_a_divisor_is_spread(spark):
+    df = spark.range(2000).selectExpr("id * 64 as doc_id", "'a b' as text", "'s' as source")
+    rows = source_mix.mix_sources(df).collect()
+    assert sum(r.copies for r in rows) == 2000 and len({r.doc_id for r in rows}) == 2000
+
+
 def test_mix_cases(spark):
     df = spark.createDataFrame([(1, None, None, 1), (2, "a b", "s", 1), (None, "c", "s", 2), (2, "a b", "s", 1), (3, "", "t", 1)], "doc_id long, text string, source string, size int")
     assert source_mix.mix_sources(df).count() == 5
@@ -173,13 +179,40 @@ def test_archive_keeps_records_exactly(spark):
     assert kinds == sorted([("3", "revisit", "1"), ("1", "response", "None"), ("1", "response", "None"), ("2", "response", "None"), ("4", "response", "None"), ("5", "response", "None"), ("None", "revisit", "1"), ("6", "response", "None")])
     for r in back:
         head, body = bytes(r.record).split(b"\r\n\r\n", 1)
-        assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and head.count(b"\r\n") == 8 + (r.refers_to is not None)
+        assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and head.count(b"\r\n") == 8 + 2 * (r.refers_to is not None)
         assert body == (bytes(r.payload) if r.record_type == "response" else b"") + b"\r\n\r\n"
         assert hashlib.sha256(bytes(r.payload)).hexdigest() == r.payload_digest
     empty = warc.write_archive(spark, df.limit(0))
     assert warc.read_archive(*empty).count() == 0
 
 
+def test_line_ends_in_addresses_forge_nothing(spark):
+    ends = ["\n", "\r", "\r\n", "\x0b", "\x0c", "\x85", "\u2028", "\u2029"]
+    urls = [f"http://a/{end}{line}" for end in ends for line in ("WARC-Payload-Digest: sha256:" + "0" * 64, "WARC-Refers-To: <urn:page:77>", "WARC-Type: revisit", "WARC-Record-ID: <urn:page:5>")]
+    df = spark.createDataFrame([(k, u, f"page {k}" * 20) for k, u in enumerate(urls)], "page_id long, url string, html string")
+    back = warc.read_archive(*warc.write_archive(spark, df)).collect()
+    assert sorted(r.page_id for r in back) == list(range(len(urls)))
+    assert all(r.verified and r.refers_to is None and r.record_type == "response" for r in back)
+    assert all(len(r.url.splitlines()) == 1 and r.url.startswith("http://a/%") for r in back)
+
+
+def test_exported_files_are_records_one_after_another(spark, tmp_path):
+    df = spark.createDataFrame([(k, f"http://a/{k}", ("é\r\n\r\n" * 30 + str(k % 4)) if k % 5 else None) for k in range(20)], "page_id long, url string, html string")
+    records, payloads = warc.write_archive(spark, df)
+    want = sorted(bytes(r.record) for r in warc.read_archive(records, payloads).collect())
+    warc.export(records, payloads, f"{tmp_path}/out")
+    got = []
+    for part in tmp_path.glob("out/part-*"):
+        data = part.read_bytes()
+        while data:
+            head, rest = data.split(b"\r\n\r\n", 1)
+            size = int(head.rsplit(b"Content-Length: ", 1)[1])
+            assert rest[size : size + 4] == b"\r\n\r\n"
+            got.append(head + b"\r\n\r\n" + rest[: size + 4])
+            data = rest[size + 4 :]
+    assert sorted(got) == want and any(b"WARC-Profile: http" in r for r in got)
+
+
 def test_query_puts_records_together(spark):
     import contextlib
     import io

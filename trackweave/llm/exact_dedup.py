@@ -2,18 +2,20 @@
 
 Rows are range-partitioned on the leading bytes of the normalised text (Spark samples the splitters),
 sorted externally on the whole text, and each row is compared with its neighbour in full: the window
-below starts a new group where the complete texts differ, so no digest decides equality.
+below starts a new group where the complete texts differ, so no digest decides what is adjacent and equal.
 
 Scale
-* One shuffle of the text.  The sampled splitter keys are 48 characters and a 64-bit hash, so what the
+* One shuffle of the text.  The sampled splitter keys are 48 characters, a 64-bit hash and a salt, so what the
   driver receives while sampling is bounded whatever the texts' length.
-* A text held by more than `hot_share` of all rows would fill one task.  There are at most 1/hot_share
-  such texts; they are found by counting 64-bit hashes (combined on the map side), aggregated by full
-  text with map-side combining, and joined back by digest as a table of at most 1/hot_share rows.
+* All rows go through the same sort.  A text held by more than `group_rows` rows (more, if over 65,536 times that many
+  rows are given) is salted by id, so that ranges may cut its rows into several runs and no task gets them all.
+  There are at most 65,536 such texts; each of their runs gives its largest id and its length, these are added up by
+  full text, and come back to the rows as a table of at most 65,536 rows of fixed width.
 
 Defined cases: a null text is empty, and all empty texts are one group.  A null id sorts below every id.
-Of repeated rows (same id, same text) exactly one is kept.  An empty table gives an empty result.  Extra
-columns are ignored by `exact_dedup` and returned untouched by `keep_largest`.
+Of repeated rows (same id, same text) exactly one is kept; they are one run.  A very long text is one row, compared in
+full.  An empty table gives an empty result.  Extra columns, whatever their names, are ignored by `exact_dedup` and
+returned untouched by `keep_largest`.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import documents, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+GROUP_ROWS, MOST_HOT = 4096, 65_536
 
 
 def normalise(text: Column) -> Column:
@@ -31,49 +34,38 @@ def normalise(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 1 / 1024) -> DataFrame:
+def _runs(rows: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """`rows` (key, norm, ...) in content order with what their run holds (seg_keep, seg_size, place) and `salts`, null for
+    texts in one run; and (text_sha256, keep, size) of the texts in several."""
+    rows = rows.withColumn("h", F.xxhash64("norm"))
+    least = max(group_rows, rows.count() // MOST_HOT)
+    hot = rows.groupBy("h").count().filter(F.col("count") > least).select("h", F.ceil(F.col("count") / least).alias("salts"))
+    rows = rows.join(F.broadcast(hot), "h", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("key"), "salts"), F.lit(0)))
+    by_text = ["prefix", "h", "salt", "salts", "norm"]
+    latest = F.col("key").desc_nulls_last()
+    run = Window.partitionBy(*by_text).orderBy(latest)
+    every = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sort = rows.withColumn("prefix", F.substring("norm", 1, 48)).repartitionByRange("prefix", "h", "salt").sortWithinPartitions(*by_text, latest)
+    runs = sort.withColumn("seg_keep", F.first("key").over(every)).withColumn("seg_size", F.count(F.lit(1)).over(every)).withColumn("place", F.row_number().over(run)).withColumn("text_sha256", F.sha2("norm", 256))
+    heads = runs.filter("salts is not null and place = 1").groupBy("norm").agg(F.max("seg_keep").alias("keep"), F.sum("seg_size").alias("size"))
+    return runs, heads.select(F.sha2("norm", 256).alias("text_sha256"), "keep", "size")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.  The largest id of equal texts is kept."""
-    rows = documents(docs, id_col, text_col).select("doc_id", normalise(F.col("text")).alias("norm")).withColumn("h", F.xxhash64("norm"))
-    counts = rows.groupBy("h").count()
-    total = docs.count()
-    least = max(1000, int(total * hot_share))
-    hot = [r["h"] for r in counts.filter(F.col("count") > least).select("h").limit(int(1 / hot_share) + 1).collect()]
-    cold_rows = rows.filter(~F.col("h").isin(hot)) if hot else rows
-    by_text = ["prefix", "h", "norm"]
-    whole = Window.partitionBy(*by_text).orderBy(F.col("doc_id").desc_nulls_last())
-    every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    result = (
-        cold_rows.withColumn("prefix", F.substring("norm", 1, 48))
-        .repartitionByRange("prefix", "h")
-        .sortWithinPartitions(*by_text, F.col("doc_id").desc_nulls_last())
-        .select("doc_id", F.first("doc_id").over(every).alias("keep_id"), F.count(F.lit(1)).over(every).alias("group_size"), (F.row_number().over(whole) == 1).alias("kept"), "norm")
-        .select("doc_id", "keep_id", "group_size", "kept", F.sha2("norm", 256).alias("text_sha256"))
-    )
-    if hot:
-        hot_rows = rows.filter(F.col("h").isin(hot))
-        heads = hot_rows.groupBy("norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
-        repeated = Window.partitionBy("text_sha256", "doc_id").orderBy("doc_id")
-        result = result.unionByName(
-            hot_rows.select("doc_id", F.sha2("norm", 256).alias("text_sha256"))
-            .join(F.broadcast(heads), "text_sha256")  # at most 1/hot_share rows of fixed width
-            .select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.row_number().over(repeated) == 1)).alias("kept"), "text_sha256")
-        )
-    return result
-
-
-def keep_largest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 1 / 1024) -> DataFrame:
+    runs, heads = _runs(documents(docs, id_col, text_col).select(F.col("doc_id").alias("key"), normalise(F.col("text")).alias("norm")), group_rows)
+    runs = runs.select("key", "seg_keep", "seg_size", "place", "salts", "text_sha256").join(F.broadcast(heads), "text_sha256", "left")
+    keep = F.when(F.col("salts").isNull(), F.col("seg_keep")).otherwise(F.col("keep"))
+    kept = (F.col("place") == 1) & F.col("seg_keep").eqNullSafe(keep)
+    return runs.select(F.col("key").alias("doc_id"), keep.alias("keep_id"), F.coalesce("size", "seg_size").alias("group_size"), kept.alias("kept"), "text_sha256")
+
+
+def keep_largest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
     """The rows that `exact_dedup` keeps, all columns unchanged: they travel with the one shuffle of the text."""
     norm = normalise(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("key"), norm.alias("norm"), F.xxhash64(norm).alias("h"))
-    least = max(1000, int(docs.count() * hot_share))
-    hot = [r["h"] for r in rows.groupBy("h").count().filter(F.col("count") > least).select("h").limit(int(1 / hot_share) + 1).collect()]
-    cold = rows.filter(~F.col("h").isin(hot)) if hot else rows
-    by_text = ["prefix", "h", "norm"]
-    first = Window.partitionBy(*by_text).orderBy(F.col("key").desc_nulls_last())
-    kept = cold.withColumn("prefix", F.substring("norm", 1, 48)).repartitionByRange("prefix", "h").sortWithinPartitions(*by_text, F.col("key").desc_nulls_last()).withColumn("place", F.row_number().over(first)).filter("place = 1").select("row.*")
-    if hot:  # one row per hot text, combined on the map side
-        kept = kept.unionByName(rows.filter(F.col("h").isin(hot)).groupBy("norm").agg(F.max_by("row", F.coalesce("key", F.lit(-(2**63)))).alias("row")).select("row.*"))
-    return kept
+    runs, heads = _runs(docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("key"), norm.alias("norm")), group_rows)
+    kept = runs.filter("place = 1").select("row", "seg_keep", "salts", "text_sha256").join(F.broadcast(heads), "text_sha256", "left")
+    return kept.filter(F.col("salts").isNull() | F.col("seg_keep").eqNullSafe(F.col("keep"))).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,12 +12,13 @@ at `cap` times its source's words, and the excess is shared out again by weight
 Scale
 * No window runs over a whole source.  The rank of a document is (documents of smaller sizes) + (documents
   of the same size in earlier salts) + (row number within source, size and salt); only the last needs
-  the rows, in groups 1/64 of the documents of one size.  The first two come from map-side combined
+  the rows, in groups of 1/64 of the documents of one size or, beyond 64 million documents, a million at most.  The first two come from map-side combined
   counts, whose windows have one row per distinct size, or per salt.
 * Sources are a dimension: one row each in a single window that sets the targets.
 
 Defined cases: a null text has size 0; null sources are one source, sorted last.  Documents of size 0 have
-copies but take no words.  Rows that repeat an id are drawn each for itself.  If there are no words, all
+copies but take no words.  Rows that repeat an id are drawn each for itself, in the order of a hash of their text.  A very long text counts whole;
+other columns, whatever their names, are carried or ignored.  If there are no words, all
 targets are 0.  An empty table gives an empty result.
 """
 
@@ -30,7 +31,7 @@ from .common import WORD, WORD_SQL, table
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
-SALTS = 64
+SALTS, SALT_ROWS = 64, 1_000_000
 SEED = "mix-1"
 
 
@@ -50,8 +51,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, taken, source; with `carry` also `row`, all its columns."""
     own = [F.struct(*docs.columns).alias("row")] if carry else []
-    rows = docs.select(*own, F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
-    rows = rows.withColumn("name", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn("salt", F.coalesce(F.pmod("doc_id", F.lit(SALTS)), F.lit(0)))
+    rows = docs.select(*own, F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text_col).alias("tie"))
+    salts = max(SALTS, -(-docs.count() // SALT_ROWS))
+    salt = F.coalesce(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long") % salts, F.lit(0))
+    rows = rows.withColumn("name", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn("salt", salt)
     counts = rows.groupBy("name", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     by_size = counts.groupBy("name", "size").agg(F.sum("n").alias("n")).select("name", "size", before(Window.partitionBy("name").orderBy("size")).alias("smaller"))
@@ -59,7 +62,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int =
     offsets = by_salt.join(by_size, ["name", "size"]).select("name", "size", "salt", (F.col("smaller") + F.col("earlier")).alias("skip"))
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     targets = targets.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name"), "source_size", "target")
-    within = Window.partitionBy("name", "size", "salt").orderBy("doc_id")
+    within = Window.partitionBy("name", "size", "salt").orderBy("doc_id", "tie")
     placed = rows.withColumn("within", F.row_number().over(within)).join(offsets, ["name", "size", "salt"]).join(targets, "name")
     # 16 random bits and a half: sums of whole copies and the offset are exact in a double
     start = (F.conv(F.substring(F.md5(F.concat(F.lit(seed), "name")), 1, 4), 16, 10).cast("long") + F.lit(0.5)) / F.lit(65536.0)
@@ -92,7 +95,7 @@ f as (select *, coalesce(sum(3 * source_size) over (order by 3 * source_size / w
   sum(weight) over (order by 3 * source_size / weight, k rows between current row and unbounded following) rest, sum(source_size) over ()::double total from w),
 l as (select *, (total - full_) / rest as level_, (total - full_) / rest > 3 * source_size / weight stops from f),
 t as (select coalesce('=' || source, '') as name, source_size, case when stops then (3 * source_size)::double else max(case when not stops then level_ end) over () * weight end target from l),
-p as (select r.doc_id, r.size, r.source, t.source_size, t.target, row_number() over (partition by name order by size, ((doc_id % 64) + 64) % 64, doc_id) as rank_,
+p as (select r.doc_id, r.size, r.source, t.source_size, t.target, row_number() over (partition by name order by size, ('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint % (select greatest({SALTS}, ceil(count(*) / {SALT_ROWS})::bigint) from {documents}), doc_id) as rank_,
   case when source_size > 0 then target / source_size else 0.0::double end rate, (('0x' || substr(md5('{SEED}' || name), 1, 4))::bigint + 0.5::double) / 65536.0::double as start_ from rows_ r join t using (name)),
 c as (select *, least((floor(rank_ * rate + start_) - floor((rank_ - 1) * rate + start_))::bigint, 3) copies from p)
 select doc_id, size, source_size, target, copies, copies * size as taken, source from c
