@@ -1,5 +1,6 @@
 """Order-dependent operators against independent plain-Python versions, on random inputs and under reordering."""
 
+import math
 import random
 
 import pytest
@@ -217,6 +218,34 @@ def test_handoff(spark):
     assert got[4] == 4 and got[5] == 5 and got[1] == 1
 
 
+def test_handoff_takes_the_boxes_that_touch(spark):
+    schema = "clip_id int, identity int, first_f int, last_f int, frames int, lean string, a1 double, a2 double, a3 double, a4 double, b1 double, b2 double, b3 double, b4 double"
+    small, tall = (0.0, 0.0, 10.0, 10.0), (0.0, 0.0, 10.0, 100.0)
+    rows = [(0, 1, 0, 20, 20, None, *tall, *small), (0, 2, 22, 200, 179, "a", *small, *small)]  # the end of 1 is the start of 2
+    rows += [(1, 1, 0, 20, 20, None, *small, *tall), (1, 2, 22, 200, 179, "a", *small, *small)]  # its start is, its end is not
+    rows += [(2, 1, 0, 20, 20, None, *small, *small), (2, 2, 40, 200, 161, "a", *small, *small)]  # too long a gap
+    got = {(r.clip_id, r.identity): r.merged for r in gr.handoff(spark.createDataFrame(rows, schema), 25.0).collect()}
+    assert got == {(0, 1): 2, (0, 2): 2, (1, 1): 1, (1, 2): 2, (2, 1): 1, (2, 2): 2}
+
+
+def test_relink_candidates_keep_the_gap(spark):
+    rng = random.Random(9)
+    rows = []
+    for t in range(60):
+        first, angle = rng.randint(0, 300), rng.random() * 6
+        rows.append((t % 2, t, first, first + rng.randint(0, 40), [math.cos(angle), math.sin(angle)]))
+    got = {(r.clip_id, r.sid_a, r.sid_b) for r in gr.relink_candidates(spark.createDataFrame(rows, "clip_id int, tid int, first_f int, last_f int, vec array<double>"), 0.4, 25).collect()}
+    want = {(a[0], a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and 0 < b[2] - a[3] <= 25 and a[4][0] * b[4][0] + a[4][1] * b[4][1] >= 0.4}
+    assert got == want and got
+
+
+def test_stitch_labels_counts_frames_without_overlap(spark):
+    schema = "clip_id int, label string, f int, chunk int, tid_a int, tid_b int, iou double"
+    rows = [(0, "x", 1, 1, 5, 6, 0.9), (0, "x", 2, 1, 5, 6, 0.0), (0, "x", 1, 1, 7, 6, 0.6), (0, "x", 1, 1, 7, 8, 0.5), (0, "y", 1, 1, 7, 6, 0.7)]
+    got = {(r.label, r.tid_a, r.tid_b) for r in gr.stitch_labels(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {("x", 7, 6), ("y", 7, 6)}
+
+
 def test_stitch_is_one_to_one_and_carries_ids(spark):
     pairs = [(0, 1, 1, 5, 0.9), (0, 1, 2, 5, 0.95), (0, 1, 1, 6, 0.6), (0, 2, 5, 7, 0.8), (0, 2, 6, 8, 0.4)]
     tracks = [(0, 0, 1, 10), (0, 0, 2, 10), (0, 1, 5, 10), (0, 1, 6, 10), (0, 2, 7, 10), (0, 2, 8, 10), (0, 2, 9, 0)]

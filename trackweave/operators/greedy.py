@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as geo
+from ..functions import scalars as sc
 from . import pairs as pr
 
 
@@ -253,16 +255,39 @@ def relink(tracks: DataFrame, candidates: DataFrame) -> DataFrame:
     return link(plain, candidates.withColumn("how", F.lit("body"))).select("clip_id", F.col("sid").alias("tid"), F.col("identity_sid").alias("identity"))
 
 
+def relink_candidates(tracks: DataFrame, least: float, max_gap: int) -> DataFrame:
+    """Pairs of a clip's tracks (clip_id, tid, first_f, last_f, vec), the earlier as sid_a, that share no frame, lie at most
+    `max_gap` frames apart and whose vectors have at least this cosine, as score.  Joined on buckets of max_gap frames, so
+    the pairs grow with the tracks that begin soon after one ends and not with all tracks of a clip."""
+    if max_gap < 1:
+        raise ValueError("max_gap is at least one frame")
+    a, b = (tracks.select("clip_id", F.col("tid").alias(f"sid_{x}"), F.col(f).alias(f"{x}_f"), F.col("vec").alias(f"{x}_vec")) for x, f in (("a", "last_f"), ("b", "first_f")))
+    a = a.withColumn("_bucket", F.explode(F.sequence(F.floor((F.col("a_f") + 1) / max_gap), F.floor((F.col("a_f") + max_gap) / max_gap))))
+    met = a.join(b.withColumn("_bucket", F.floor(F.col("b_f") / max_gap)), ["clip_id", "_bucket"]).filter((F.col("b_f") - F.col("a_f")).between(1, max_gap))
+    return met.withColumn("score", sc.dot(F.col("a_vec"), F.col("b_vec"))).filter(F.col("score") >= least).select("clip_id", "sid_a", "sid_b", "score")
+
+
 def handoff(groups: DataFrame, fps: float, short_s: float = 2.0, least_iou: float = 0.3, slack: int = 3) -> DataFrame:
     """Short groups without any leaning are handed to a longer one that ends where they begin or begins where they end;
     repeated, best overlap first, until none is left.  groups: clip_id, identity, first_f, last_f, frames, lean, first box
-    (a1..a4) and last box (b1..b4).  Candidates are found by a join; each component of them is settled alone."""
-    cols = ["identity", "first_f", "last_f", "frames", "lean", *(f"a{k}" for k in range(1, 5)), *(f"b{k}" for k in range(1, 5))]
-    g, p = (groups.select("clip_id", *[F.col(c).alias(f"{x}_{c}") for c in cols]) for x in "gp")
+    (a1..a4) and last box (b1..b4); heights and overlap are those of the two boxes that touch.
+
+    A merged group's ends are the ends of two of its members, so two groups can only ever be joined where a short member
+    without leaning touches another member in time and place.  Those pairs come from two joins on buckets of frames, and
+    each component of them is settled alone."""
     gap = round(0.3 * fps)
-    reach = 4 * (gap + slack)  # members of a growing group stay within reach of a neighbour
-    near = g.join(p, "clip_id").filter((F.col("g_identity") != F.col("p_identity")) & (F.col("g_first_f") - F.col("p_last_f") <= reach) & (F.col("p_first_f") - F.col("g_last_f") <= reach) & (F.col("g_frames") / fps <= short_s) & F.col("g_lean").isNull())
-    comp = components(near.select("clip_id", F.col("g_identity").alias("a"), F.col("p_identity").alias("b")))
+    width = gap + slack + 1
+    box = lambda c: [F.col(f"{c}{k}") for k in range(1, 5)]
+    end = lambda f, b, who: groups.select("clip_id", F.col("identity").alias(f"{who}_id"), F.col(f).alias(f"{who}_f"), *[c.alias(f"{who}_{x}") for c, x in zip(box(b), ("x1", "y1", "x2", "y2"), strict=True)], *(["frames", "lean"] if who == "g" else []))
+
+    def touching(g_end: tuple[str, str], p_end: tuple[str, str], before: int, after: int) -> DataFrame:
+        g = end(*g_end, "g").filter((F.col("frames") / fps <= short_s) & F.col("lean").isNull()).drop("frames", "lean").withColumn("_bucket", F.floor(F.col("g_f") / width))
+        p = end(*p_end, "p").withColumn("_bucket", F.explode(F.sequence(F.floor((F.col("p_f") - before) / width), F.floor((F.col("p_f") + after) / width))))
+        met = g.join(p, ["clip_id", "_bucket"]).filter((F.col("g_id") != F.col("p_id")) & (F.col("g_f") - F.col("p_f")).between(-before, after))
+        ratio = (F.col("g_y2") - F.col("g_y1")) / F.greatest(F.col("p_y2") - F.col("p_y1"), F.lit(1e-6))
+        return met.filter(ratio.between(0.39, 2.51) & (geo.iou(geo.box("g_"), geo.box("p_")) >= 0.99 * least_iou)).select("clip_id", F.col("g_id").alias("a"), F.col("p_id").alias("b"))
+
+    comp = components(touching(("first_f", "a"), ("last_f", "b"), slack, gap).unionByName(touching(("last_f", "b"), ("first_f", "a"), gap, slack)))
     rows = groups.join(comp.withColumnRenamed("node", "identity"), ["clip_id", "identity"], "left").withColumn("component", F.coalesce("component", "identity"))
 
     def settle(df: pd.DataFrame) -> pd.DataFrame:
@@ -279,7 +304,7 @@ def handoff(groups: DataFrame, fps: float, short_s: float = 2.0, least_iou: floa
                 a, b = yb, xe
             else:
                 return None
-            ratio = (x["first"][1][3] - x["first"][1][1]) / max(1e-6, a[3] - a[1])
+            ratio = (b[3] - b[1]) / max(1e-6, a[3] - a[1])
             iou = float(iou_matrix(np.array([a], float), np.array([b], float))[0, 0])
             return iou if 0.4 <= ratio <= 2.5 and iou >= least_iou and _meets(x["spans"], y["spans"]) <= slack else None
 
@@ -323,11 +348,17 @@ def shared_frame_iou(overlap: DataFrame) -> DataFrame:
     return overlap.groupBy("clip_id", "chunk", "label", "tid_a", "tid_b").agg(F.avg("iou").alias("iou"))
 
 
+def stitch_labels(overlap: DataFrame, least: float = 0.5) -> DataFrame:
+    """Objects of one chunk matched to those of the chunk before, within one label: mean overlap over all shared frames of
+    at least `least`, then one to one, best first.  overlap as in `shared_frame_iou`, with a row for every shared frame,
+    those without overlap too.  Every boundary of a label is settled alone."""
+    mean = shared_frame_iou(overlap).filter(F.col("iou") >= least)
+    return mean.groupBy("clip_id", "chunk", "label").applyInPandas(lambda rows: one_to_one(rows, "tid_a", "tid_b", "iou"), mean.schema)
+
+
 def relink_lost(starts: DataFrame, last_seen: DataFrame, window: int = 60, least: float = 0.3) -> DataFrame:
     """Objects first seen within `window` frames of their chunk's start, matched to ids last seen before it and not taken
     in this chunk, by their boxes there.  starts: clip_id, label, chunk, start, tid, f, box; last_seen: clip_id, label, chunk, identity, lf, box."""
-    from ..functions import geometry as geo
-
     s = starts.select("clip_id", "label", "chunk", "start", "tid", "f", *[F.col(c).alias(f"s_{c}") for c in ("x1", "y1", "x2", "y2")])
     o = last_seen.select("clip_id", "label", "chunk", "identity", "lf", *[F.col(c).alias(f"o_{c}") for c in ("x1", "y1", "x2", "y2")])
     c = s.join(o, ["clip_id", "label", "chunk"]).filter((F.col("f") - F.col("start") < window)).withColumn("iou", geo.iou(geo.box("s_"), geo.box("o_"))).filter(F.col("iou") >= least)
