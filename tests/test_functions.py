@@ -154,7 +154,7 @@ def test_files_round_trip(spark, tmp_path):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    rows = [(0, t, f, 1_700_000_000 + 2 * f, float(f % 7)) for t in range(4) for f in range(0, 60) if not 20 <= f < 20 + 6 * t]
+    rows = [(0, t, f, 1_700_000_000 + 2 * f, float(f % 7)) for t in range(4) for f in range(0, 60) if not 20 <= f < 20 + 6 * t] + [(0, 9, f, 1_700_000_000 + 2 * f, 1.0) for f in range(10)]
     df = spark.createDataFrame(rows, "clip_id int, tid int, f int, s long, score double").select("clip_id", "tid", "f", F.timestamp_seconds("s").alias("ts"), "score")
     for k in range(3):
         df.filter(f"f >= {20 * k} and f < {20 * (k + 1)}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
@@ -167,8 +167,10 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = {tuple(r) for r in st.window_best(df, "20 seconds").collect()}
     streamed = {tuple(r) for r in run(st.window_best(st.read_observations(spark, f"{tmp_path}/in", 100), "20 seconds"), "complete", "tops").collect()}
     assert streamed == batch
-    lives = {(r.tid, r.life, r.first_f, r.last_f, r.n) for r in run(st.lost_tracks(st.read_observations(spark, f"{tmp_path}/in", 100), 8), "append", "lives").collect()}
-    assert lives == {(2, 0, 0, 19, 20), (3, 0, 0, 19, 20)}
+    every = {tuple(r) for r in st.lost_tracks(df, 8).collect()}
+    lives = {tuple(r) for r in run(st.lost_tracks(st.read_observations(spark, f"{tmp_path}/in", 1), 8, 0.5), "append", "lives").collect()}
+    # track 9 is never seen again: only the timer can end it; lives that the watermark has not passed are not given yet
+    assert lives == {(0, 2, 0, 19, 20), (0, 3, 0, 19, 20), (0, 9, 0, 9, 10)} and lives == {r for r in every if r[3] < 40}
     attrs = st.read_observations(spark, f"{tmp_path}/in", 100).select("clip_id", "tid", "f", F.lit(1.0).alias("p"), F.lit(1.0).alias("w"))
     last = run(st.locked_profiles(attrs), "update", "profiles").groupBy("tid").agg(F.max("alpha").alias("alpha"), F.max("side").alias("side")).collect()
     assert all(r.side == 1 for r in last) and {r.tid: r.alpha for r in last}[0] == 61

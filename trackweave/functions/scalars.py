@@ -30,6 +30,11 @@ def crop_weight(fill: Column, height: Column, face: Column, min_fill: float = 0.
     return F.when((fill < min_fill) | (height < min_height), F.lit(0.0)).otherwise(w)
 
 
+def sharpness(variance: Column, pixels: Column) -> Column:
+    """Variance of a crop's Laplacian as a share of 100, at most 1; 0 for crops of fewer than 64 pixels."""
+    return F.when(pixels < 64, F.lit(0.0)).otherwise(F.least(F.lit(1.0), variance / 100.0))
+
+
 def compatible(a: Column, b: Column) -> Column:
     """A missing class goes with every class."""
     return a.isNull() | b.isNull() | (a == b)

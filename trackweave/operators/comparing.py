@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MOST_SETTINGS = 10_000
+
 
 def carry_labels(matches: DataFrame, labels: DataFrame) -> DataFrame:
     """Labels of reference tracks carried to matched tracks by counted votes.  A track matched to references of more than
@@ -90,13 +94,21 @@ def switch_lags(switch: DataFrame, at: list[int]) -> DataFrame:
     return switch.groupBy((F.col("f") - last).alias("lag")).agg(F.count(F.lit(1)).alias("switches"))
 
 
-def sweep(obs: DataFrame, settings: DataFrame, measure) -> DataFrame:
-    """Every setting (a row with `setting_id` and parameters) on the same observations: one row per setting and clip.
-    Settings are few and broadcast; the observations are read once."""
-    return measure(obs.crossJoin(F.broadcast(settings)))
+def sweep(detections: DataFrame, settings: DataFrame, replay: Callable[[DataFrame], DataFrame], measure: Callable[[DataFrame], DataFrame], valid: Column | None = None) -> DataFrame:
+    """Every setting (a row with `setting_id` and parameters) on the same detections: what `measure` says of each clip, per
+    setting.  `replay` makes tracks of detections that carry a setting's parameters; settings that are not `valid` are left
+    out.  While measured, a setting's clip is a clip of its own, so any measure by clip will do.  The detections are read
+    once; settings are broadcast, so there may be at most MOST_SETTINGS."""
+    chosen = settings if valid is None else settings.filter(valid)
+    if chosen.limit(MOST_SETTINGS + 1).count() > MOST_SETTINGS:
+        raise ValueError(f"more than {MOST_SETTINGS} settings")
+    tracks = replay(detections.crossJoin(F.broadcast(chosen))).withColumn("clip_id", F.struct("setting_id", "clip_id"))
+    return measure(tracks).withColumnRenamed("clip_id", "run").select("run.*", "*").drop("run")
 
 
-def rank_settings(results: DataFrame, cost: Column) -> DataFrame:
+def rank_settings(results: DataFrame) -> DataFrame:
+    """Settings of each clip in order of fragments and twice the swaps, then of tracks, then of id."""
+    cost = F.col("fragments") + 2 * F.col("swaps")
     return results.withColumn("place", F.row_number().over(Window.partitionBy("clip_id").orderBy(cost, "tracks", "setting_id")))
 
 

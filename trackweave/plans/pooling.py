@@ -36,6 +36,12 @@ def _(spark, d):
     return pl.weighted(relation(spark, d, "attrs")).select("clip_id", "tid", "f", "base", "w")
 
 
+@query("p12_sharpness", f"{O} select clip_id, tid, f, case when eid % 130 < 64 then 0.0::double else least(1.0::double, (eid % 250) / 100.0::double) end sharp from obs")
+def _(spark, d):
+    e = F.col("eid")
+    return relation(spark, d, "obs").select("clip_id", "tid", "f", sc.sharpness((e % 250).cast("double"), e % 130).alias("sharp"))
+
+
 @query("a08_pool", f"{A}, {_POOL} select clip_id, tid, {_r('alpha', 'beta', 'prec', 'pm', 'age_w')}, n from pool")
 def _(spark, d):
     return _round(pl.pool(relation(spark, d, "attrs")), "alpha", "beta", "prec", "pm", "age_w")
@@ -91,7 +97,7 @@ def _(spark, d):
     return _long(pl.mean_vector(_vecs(spark, d), ("clip_id", "label"), "w"))
 
 
-@query("p14_cosine_pairs", f"with {_VECS}, s as (select * from v where tid < 400) select a.clip_id, a.tid tid_a, b.tid tid_b, round(list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: z[1]::double * z[2]::double)), 6) cos from s a join s b on a.clip_id = b.clip_id and a.tid < b.tid where list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: z[1]::double * z[2]::double)) >= 0.3".replace("s as (select * from v where tid < 400)", "s as (select * from v)"))
+@query("p14_cosine_pairs", f"with {_VECS} select a.clip_id, a.tid tid_a, b.tid tid_b, round(list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: z[1]::double * z[2]::double)), 6) cos from v a join v b on a.clip_id = b.clip_id and a.tid < b.tid where list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: z[1]::double * z[2]::double)) >= 0.3")
 def _(spark, d):
     return _round(pl.similar_pairs(_vecs(spark, d).select("clip_id", "tid", "vec"), 0.3), "cos")
 
@@ -173,8 +179,17 @@ def _(spark, d):
     return s.groupBy("clip_id").agg(F.count(F.lit(1)).alias("n"), F.percentile("s", F.lit(0.05)).alias("p05"), F.percentile("s", F.lit(0.5)).alias("p50"))
 
 
-@query("a08_pool_locked")
+_LOCKED = """v as materialized (select clip_id, tid, row_number() over (partition by clip_id, tid order by f) k, p, age_mean, age_std, w from ww where base > 1e-4),
+  fold as (select clip_id, tid, 0::bigint k, 1.0::double alpha, 1.0::double beta, 0.0::double prec, 0.0::double pm, 0.0::double age_w, 0 locked from v where k = 1
+    union all select clip_id, tid, k, alpha, beta, prec, pm, age_w, case when locked <> 0 or alpha + beta - 2 < 8 then locked when alpha / (alpha + beta) >= 0.9 then 1 when alpha / (alpha + beta) <= 1 - 0.9::double then 2 else 0 end
+    from (select clip_id, tid, k, locked, alpha + u * p alpha, beta + u * (1 - p) beta, prec + coalesce(iv, 0) prec, pm + coalesce(iv * age_mean, 0) pm, age_w + case when age_mean is null then 0 else u end age_w
+      from (select *, case when age_mean is not null then u / (greatest(1.0, age_std) * greatest(1.0, age_std)) end iv
+        from (select o.* exclude (k), v.k, v.p, v.age_mean, v.age_std, v.w * case when locked <> 0 and case when v.p >= 0.5 then 1 else 2 end <> locked and v.w < 0.8 then 0.2::double else 1.0::double end u
+          from fold o join v on o.clip_id = v.clip_id and o.tid = v.tid and v.k = o.k + 1))))"""
+
+
+@query("a08_pool_locked", f"{A}, {_W}, {_LOCKED} select clip_id, tid, {_r('alpha', 'beta', 'prec', 'pm', 'age_w')}, k n, locked from fold where k > 0 qualify row_number() over (partition by clip_id, tid order by k desc) = 1")
 def _(spark, d):
-    return pl.pool_locked(relation(spark, d, "attrs"))
+    return _round(pl.pool_locked(relation(spark, d, "attrs")), "alpha", "beta", "prec", "pm", "age_w")
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..streaming import tracks as st
-from .fixtures import relation
+from .fixtures import ctes, relation
 from .registry import query
 
+O = ctes("obs")  # noqa: E741
 _EV = "e as (select (user_id % 8)::int clip_id, user_id::int tid, (event_id % 100)::int f, epoch_us(ts) us, ts, value score from events)"
 
 
@@ -26,3 +27,11 @@ def _(spark, d):
 def _(spark, d):
     b = st.window_best(timed(spark, d), "1 hour")
     return b.select("clip_id", "tid", F.unix_micros("begin").alias("begin_us"), "score", "f", "n")
+
+
+_LIVES = "l as (select *, coalesce(f - lag(f) over (partition by clip_id, tid order by f) > 6, true)::int begins from obs), s as (select *, sum(begins) over (partition by clip_id, tid order by f) life from l)"
+
+
+@query("st1_lost_tracks", f"{O}, {_LIVES} select clip_id, tid, min(f) first_f, max(f) last_f, count(*) n from s group by clip_id, tid, life")
+def _(spark, d):
+    return st.lost_tracks(relation(spark, d, "obs"), 6)

@@ -1,4 +1,4 @@
-"""Track state over streams of observations: sessions, lost-track timeouts, windowed tops, append-only stitching.
+"""Track state over streams of observations: sessions, lost-track timeouts, windowed tops, locked profiles.
 
 The batch result is the truth; a stream emits the same rows once its watermark has passed them.
 """
@@ -9,7 +9,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -42,27 +42,50 @@ def window_best(obs: DataFrame, width: str = "5 seconds", late: str = "10 second
     return b.select("clip_id", "tid", F.col("w.start").alias("begin"), F.col("b.score").alias("score"), (-F.col("b.nf")).alias("f"), "n")
 
 
-LOST = "clip_id int, tid int, life int, first_f int, last_f int, n long"
+LOST = "clip_id int, tid int, first_f int, last_f int, n long"
+OPEN = "firsts array<int>, lasts array<int>, counts array<int>, ends array<long>"
 
 
-def lost_tracks(obs: DataFrame, lost_frames: int) -> DataFrame:
-    """Lives of tracks by frame number: a gap of more than lost_frames ends a life and the next observation begins another.
-    State per track: first and last frame, count and number of the life; nothing else is kept."""
+def _joined(lives: list[tuple[int, int, int, int]], lost_frames: int) -> list[tuple[int, int, int, int]]:
+    """Lives (first frame, last frame, count, time of the last frame), those at most lost_frames apart made one."""
+    out: list[tuple[int, int, int, int]] = []
+    for first, last, n, end in sorted(lives):
+        if out and first - out[-1][1] <= lost_frames:
+            begin, before, m, until = out.pop()
+            first, last, n, end = begin, max(last, before), n + m, max(end, until)
+        out.append((first, last, n, end))
+    return out
+
+
+def lost_tracks(obs: DataFrame, lost_frames: int, fps: float = 25.0, late: str = "10 seconds") -> DataFrame:
+    """Lives of tracks by frame number: a track not seen for more than lost_frames is lost, and the next observation begins
+    another life.  A batch gives all lives.  A stream gives a life once its watermark says that no row can prolong it, which
+    a timer notices even if the track is never seen again; the state of a track is its lives not given yet and goes with
+    the last of them."""
+    if not obs.isStreaming:
+        w = Window.partitionBy("clip_id", "tid").orderBy("f")
+        begins = F.coalesce(F.col("f") - F.lag("f").over(w) > lost_frames, F.lit(True))
+        lives = obs.select("clip_id", "tid", "f", begins.cast("int").alias("begins")).withColumn("life", F.sum("begins").over(w))
+        return lives.groupBy("clip_id", "tid", "life").agg(F.min("f").alias("first_f"), F.max("f").alias("last_f"), F.count(F.lit(1)).alias("n")).drop("life")
+    patience = math.ceil(lost_frames / fps * 1000)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        life, first, last, n = state.get if state.exists else (0, -1, -1, 0)
-        out = []
-        rows = pd.concat(list(frames)).sort_values("f", kind="stable")
-        for f in rows["f"]:
-            if n and f - last > lost_frames:
-                out.append((*key, life, first, last, n))
-                life, first, n = life + 1, f, 0
-            first, last, n = (first if n else f), max(last, f), n + 1
-        state.update((int(life), int(first), int(last), int(n)))
-        if out:
-            yield pd.DataFrame(out, columns=["clip_id", "tid", "life", "first_f", "last_f", "n"])
-
-    return obs.groupBy("clip_id", "tid").applyInPandasWithState(step, LOST, "life int, first int, last int, n long", "append", GroupStateTimeout.NoTimeout)
+        lives = list(zip(*state.get, strict=True)) if state.exists else []
+        for rows in frames:
+            lives += [(f, f, 1, ms) for f, ms in zip(rows["f"].tolist(), rows["ms"].tolist(), strict=True)]
+        lives, now = _joined(lives, lost_frames), state.getCurrentWatermarkMs()
+        over = [(*key, first, last, n) for first, last, n, end in lives if end + patience < now]
+        kept = [x for x in lives if x[3] + patience >= now]
+        if kept:
+            state.update(tuple(list(c) for c in zip(*kept, strict=True)))
+            state.setTimeoutTimestamp(min(x[3] for x in kept) + patience + 1)
+        elif state.exists:
+            state.remove()
+        if over:
+            yield pd.DataFrame(over, columns=["clip_id", "tid", "first_f", "last_f", "n"])
+
+    timed = obs.withWatermark("ts", late).select("clip_id", "tid", "f", "ts", F.unix_millis("ts").alias("ms"))
+    return timed.groupBy("clip_id", "tid").applyInPandasWithState(step, LOST, OPEN, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 PROFILE = "clip_id int, tid int, alpha double, beta double, side int"
