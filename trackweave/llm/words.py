@@ -41,7 +41,7 @@ def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-def _blocks(data: bytes, most: int) -> Iterator[bytes]:
+def blocks(data: bytes, most: int) -> Iterator[bytes]:
     """`data` in blocks of about `most` bytes that end between words."""
     at = 0
     while at < len(data):
@@ -84,7 +84,7 @@ def hash_words(texts: list[bytes], lanes: int = 1) -> tuple[list[np.ndarray], np
     data = b"\n".join([*texts, b""])
     firsts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     begins, hashes, at = [], [[] for _ in range(lanes)], 0
-    for block in _blocks(data, SLICE):
+    for block in blocks(data, SLICE):
         b, _, found = _hash_block(block, lanes)
         begins.append(b + at)
         for k in range(lanes):
