@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_counts, exact_dedup, fingerprints, near_join, quality, secret_scan, simhash, source_mix, substring_dedup, warc
+from . import bpe, edit_counts, exact_dedup, fingerprints, lexical_search, near_join, quality, secret_scan, simhash, source_mix, substring_dedup, warc
 
 _MODULES = {
     "op1_quality": quality,
@@ -15,6 +15,7 @@ _MODULES = {
     "op8_exact_dedup": exact_dedup,
     "op9_warc": warc,
     "op10_edit_counts": edit_counts,
+    "op11_lexical_search": lexical_search,
     "op13_simhash": simhash,
 }
 
