@@ -34,10 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table written once to the shared folder: later jobs read files and do not repeat the work."""
+def written(spark: SparkSession, df: DataFrame, name: str, *by: str) -> DataFrame:
+    """`df` as a table written once to the shared folder, in folders by the columns `by`: later jobs read files and do not
+    repeat the work."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_counts, exact_dedup, fingerprints, lexical_search, near_join, quality, secret_scan, simhash, source_mix, substring_dedup, warc
+from . import bpe, collocations, edit_counts, exact_dedup, fingerprints, lexical_search, near_join, quality, secret_scan, simhash, source_mix, substring_dedup, warc
 
 _MODULES = {
     "op1_quality": quality,
@@ -16,6 +16,7 @@ _MODULES = {
     "op9_warc": warc,
     "op10_edit_counts": edit_counts,
     "op11_lexical_search": lexical_search,
+    "op12_collocations": collocations,
     "op13_simhash": simhash,
 }
 

@@ -51,7 +51,8 @@ def blocks(data: bytes, most: int) -> Iterator[bytes]:
         at = end
 
 
-def _hash_block(data: bytes, lanes: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def hash_block(data: bytes, lanes: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Begins and ends of the words of a block, and their hashes once per lane."""
     n = len(data)
     padded = data + bytes(8)
     gap = _IS_SPACE[np.frombuffer(padded, np.uint8, n)]
@@ -85,7 +86,7 @@ def hash_words(texts: list[bytes], lanes: int = 1) -> tuple[list[np.ndarray], np
     firsts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     begins, hashes, at = [], [[] for _ in range(lanes)], 0
     for block in blocks(data, SLICE):
-        b, _, found = _hash_block(block, lanes)
+        b, _, found = hash_block(block, lanes)
         begins.append(b + at)
         for k in range(lanes):
             hashes[k].append(found[k])
