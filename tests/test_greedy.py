@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackweave.operators import greedy as gr
+from trackweave.operators import identity as idn
 from trackweave.operators import pooling as pl
 
 BOX = ("x1", "y1", "x2", "y2")
@@ -249,7 +250,7 @@ def test_stitch_labels_counts_frames_without_overlap(spark):
 def test_stitch_is_one_to_one_and_carries_ids(spark):
     pairs = [(0, 1, 1, 5, 0.9), (0, 1, 2, 5, 0.95), (0, 1, 1, 6, 0.6), (0, 2, 5, 7, 0.8), (0, 2, 6, 8, 0.4)]
     tracks = [(0, 0, 1, 10), (0, 0, 2, 10), (0, 1, 5, 10), (0, 1, 6, 10), (0, 2, 7, 10), (0, 2, 8, 10), (0, 2, 9, 0)]
-    got = {(r.chunk, r.tid): r.global_id for r in gr.stitch(spark.createDataFrame(pairs, "clip_id int, chunk int, tid_a int, tid_b int, iou double"), spark.createDataFrame(tracks, "clip_id int, chunk int, tid int, own_frames int")).collect()}
+    got = {(r.chunk, r.tid): r.global_id for r in idn.stitch_in_order(spark.createDataFrame(pairs, "clip_id int, chunk int, tid_a int, tid_b int, iou double"), spark.createDataFrame(tracks, "clip_id int, chunk int, tid int, own_frames int")).collect()}
     assert got[(1, 5)] == got[(0, 2)] == got[(2, 7)] and got[(1, 6)] == got[(0, 1)]
     assert got[(2, 8)] == 2_000_008 and got[(2, 9)] is None
 
@@ -270,26 +271,19 @@ def test_results_do_not_depend_on_partitions(spark, data):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
-def test_shared_frame_iou_and_lost_objects(spark):
+def test_shared_frame_iou(spark):
     o = spark.createDataFrame([(0, "x", 1, 1, 5, 6, 0.4), (0, "x", 2, 1, 5, 6, 0.8), (0, "y", 2, 1, 5, 6, 1.0)], "clip_id int, label string, f int, chunk int, tid_a int, tid_b int, iou double")
     assert {(r.label, round(r.iou, 9)) for r in gr.shared_frame_iou(o).collect()} == {("x", 0.6), ("y", 1.0)}
-    start = "clip_id int, label string, chunk int, start int, tid int, f int, x1 double, y1 double, x2 double, y2 double"
-    seen = "clip_id int, label string, chunk int, identity int, lf int, x1 double, y1 double, x2 double, y2 double"
-    a, b = (0.0, 0.0, 10.0, 10.0), (0.0, 0.0, 10.0, 9.0)
-    starts = spark.createDataFrame([(0, "x", 1, 100, 1, 110, *a), (0, "x", 1, 100, 2, 120, *b), (0, "x", 1, 100, 3, 160, *a), (0, "y", 1, 100, 4, 110, *a)], start)
-    lost = spark.createDataFrame([(0, "x", 1, 70, 90, *a), (0, "x", 1, 71, 80, 50.0, 50.0, 60.0, 60.0)], seen)
-    # one identity goes to the better of two; late starts and other labels find none
-    assert [(r.tid, r.identity) for r in gr.relink_lost(starts, lost).collect()] == [(1, 70)]
 
 
 def test_chunked_and_stitched_equals_whole(spark):
     """Ids of chunks, stitched in order, never mix two tracks; a track seen in every overlap keeps one id throughout."""
-    from trackweave.plans import greedy as plans
+    from trackweave.plans import identity as plans
     from trackweave.plans import registry
 
     sf = "/root/testdata/sf0.001"
     ids = registry.queries()["j11_m05_stitch"](spark, sf)
-    whole = plans._chunked(spark, sf).select("clip_id", "chunk", F.col("local").alias("tid"), F.col("tid").alias("track")).distinct()
+    whole = plans.chunked_masks(spark, sf).select("clip_id", "chunk", F.col("oid").alias("tid"), F.col("tid").alias("track")).distinct()
     rows = ids.join(whole, ["clip_id", "chunk", "tid"]).collect()
     tracks = {}
     for r in rows:

@@ -326,23 +326,6 @@ def handoff(groups: DataFrame, fps: float, short_s: float = 2.0, least_iou: floa
 # chunks
 
 
-def stitch(chunk_pairs: DataFrame, tracks: DataFrame, least: float = 0.5) -> DataFrame:
-    """Global ids over chunks in order.  chunk_pairs: clip_id, chunk, tid_a (chunk - 1), tid_b (chunk), iou; tracks: clip_id,
-    chunk, tid, own_frames.  Per boundary the one-to-one choice needs only that boundary's pairs and runs in parallel; a
-    track takes the id of the chain it continues, and tracks without own frames begin none.  A chain's id is its first
-    (chunk, tid), as chunk * 1_000_000 + tid."""
-    chosen = chunk_pairs.filter(F.col("iou") >= least).groupBy("clip_id", "chunk").applyInPandas(lambda rows: one_to_one(rows, "tid_a", "tid_b", "iou"), chunk_pairs.schema)
-    key = lambda c, t: (F.col(c) * 1_000_000 + F.col(t)).cast("long")
-    node = tracks.withColumn("node", key("chunk", "tid"))
-    edges = chosen.select("clip_id", (key("chunk", "tid_a") - 1_000_000).alias("a"), key("chunk", "tid_b").alias("b"))
-    # a link only counts if the earlier side has an id: a chain is broken where its head owns no frames
-    comp = components(edges).join(node.select("clip_id", "node", "own_frames"), ["clip_id", "node"])
-    first_own = comp.filter("own_frames > 0").groupBy("clip_id", "component").agg(F.min("node").alias("global_id"))
-    linked = comp.join(first_own, ["clip_id", "component"]).filter("node >= global_id").select("clip_id", "node", "global_id")
-    out = node.join(linked, ["clip_id", "node"], "left")
-    return out.select("clip_id", "chunk", "tid", F.coalesce("global_id", F.when(F.col("own_frames") > 0, F.col("node"))).alias("global_id"))
-
-
 def shared_frame_iou(overlap: DataFrame) -> DataFrame:
     """Mean overlap over frames that both chunks' tracks have, within one label: overlap: clip_id, label, f, chunk, tid_a, tid_b, iou."""
     return overlap.groupBy("clip_id", "chunk", "label", "tid_a", "tid_b").agg(F.avg("iou").alias("iou"))
@@ -354,13 +337,3 @@ def stitch_labels(overlap: DataFrame, least: float = 0.5) -> DataFrame:
     those without overlap too.  Every boundary of a label is settled alone."""
     mean = shared_frame_iou(overlap).filter(F.col("iou") >= least)
     return mean.groupBy("clip_id", "chunk", "label").applyInPandas(lambda rows: one_to_one(rows, "tid_a", "tid_b", "iou"), mean.schema)
-
-
-def relink_lost(starts: DataFrame, last_seen: DataFrame, window: int = 60, least: float = 0.3) -> DataFrame:
-    """Objects first seen within `window` frames of their chunk's start, matched to ids last seen before it and not taken
-    in this chunk, by their boxes there.  starts: clip_id, label, chunk, start, tid, f, box; last_seen: clip_id, label, chunk, identity, lf, box."""
-    s = starts.select("clip_id", "label", "chunk", "start", "tid", "f", *[F.col(c).alias(f"s_{c}") for c in ("x1", "y1", "x2", "y2")])
-    o = last_seen.select("clip_id", "label", "chunk", "identity", "lf", *[F.col(c).alias(f"o_{c}") for c in ("x1", "y1", "x2", "y2")])
-    c = s.join(o, ["clip_id", "label", "chunk"]).filter((F.col("f") - F.col("start") < window)).withColumn("iou", geo.iou(geo.box("s_"), geo.box("o_"))).filter(F.col("iou") >= least)
-    c = c.select("clip_id", "label", "chunk", "tid", "identity", "iou")
-    return c.groupBy("clip_id", "label", "chunk").applyInPandas(lambda rows: one_to_one(rows, "tid", "identity", "iou"), c.schema)

@@ -69,18 +69,20 @@ def union_area(masks: DataFrame, keys: list[str]) -> DataFrame:
     return union(masks, keys).groupBy(*keys).agg(F.sum(F.col("e") - F.col("s")).cast("long").alias("area"))
 
 
-def overlaps(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], width: int = 64) -> DataFrame:
-    """Shared cells of every meeting pair of masks; both sides are rows (keys, ids, s, e) of disjoint intervals."""
+def overlaps(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], width: int = 64, where: Column | None = None) -> DataFrame:
+    """Shared cells of every meeting pair of masks; both sides are rows (keys, ids, s, e) of disjoint intervals.  `where` says
+    which pairs of ids may meet."""
     deal = lambda df, s, e: df.withColumn("_b", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor((F.col(e) - 1) / width))))
     left = deal(a.withColumnsRenamed({"s": "as", "e": "ae"}), "as", "ae")
     right = deal(b.withColumnsRenamed({"s": "bs", "e": "be"}), "bs", "be")
     met = left.join(right, [*keys, "_b"]).filter((F.col("as") < F.col("be")) & (F.col("bs") < F.col("ae")) & (F.col("_b") == F.floor(F.greatest("as", "bs") / width)))
+    met = met if where is None else met.filter(where)
     return met.groupBy(*keys, *a_ids, *b_ids).agg(F.sum(F.least("ae", "be") - F.greatest("as", "bs")).cast("long").alias("inter"))
 
 
-def mask_iou(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str]) -> DataFrame:
-    """inter, both areas and IoU of meeting pairs.  a and b: keys, ids, intervals."""
-    inter = overlaps(exploded(a, *keys, *a_ids), exploded(b, *keys, *b_ids), keys, a_ids, b_ids)
+def mask_iou(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], where: Column | None = None) -> DataFrame:
+    """inter, both areas and IoU of meeting pairs (those that `where` allows).  a and b: keys, ids, intervals."""
+    inter = overlaps(exploded(a, *keys, *a_ids), exploded(b, *keys, *b_ids), keys, a_ids, b_ids, where=where)
     sized = lambda df, ids, n: df.select(*keys, *ids, area(F.col("intervals")).alias(n))
     out = inter.join(sized(a, a_ids, "area_a"), [*keys, *a_ids]).join(sized(b, b_ids, "area_b"), [*keys, *b_ids])
     return out.withColumn("iou", F.col("inter") / (F.col("area_a") + F.col("area_b") - F.col("inter")))

@@ -7,7 +7,7 @@ from importlib import import_module
 
 _QUERIES: dict[str, Callable] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("sequences", "coverage", "voting", "pooling", "comparing", "masks", "chunks", "ingest", "greedy", "streams")
+_MODULES = ("sequences", "coverage", "voting", "pooling", "comparing", "masks", "chunks", "ingest", "greedy", "identity", "streams")
 
 
 def query(name: str, oracle: str | None = None) -> Callable:
