@@ -7,8 +7,8 @@ each shard once; its count is then exact.  A phrase is never more frequent than
 occurs `least` times is activated, and rare ones mostly are not counted at all.  The scan ends a full cycle after the last
 step in which some phrase reached the threshold.
 
-When a phrase was reached stands in an array of step numbers, one byte a slot; a phrase's slot is a hash of it.  Phrases
-that share a slot may activate longer phrases that need not be counted.  Those are counted over a full cycle like all others, as
+When a phrase was reached stands in an array of step numbers, one byte a slot; a phrase's slot is a hash of it, within a part
+of the array for its length.  Phrases that share a slot may activate longer phrases that need not be counted.  Those are counted over a full cycle like all others, as
 the array decides alike in each step, and fall short of the threshold; the result does not depend on the array's size.
 
 Scale
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import drop, table, written
 from .words import blocks, hash_block, hash_words, mix, slices, windows
 
-MOST, LEAST, TOP, SHARDS = 5, 100, 2000, 4
+MOST, LEAST, TOP, SHARDS = 5, 100, 2000, 3
 CHUNK, SLOTS_MIN, SLOTS_MAX = 2_000_000, 1 << 16, 1 << 26
 NEVER = 255
 #: What ends a piece becomes a line end, what ends a word a space; A-Z are lower-cased.
@@ -51,16 +51,18 @@ _ENDS = b".,;:!?\n\v\f\r"
 _PLAIN = bytes(10 if c in _ENDS else 32 if c == 9 else c for c in range(256)).translate(bytes(range(256)).lower())
 
 
-def slots_of(grams: np.ndarray, lang: str, size: int) -> np.ndarray:
-    """The slots of phrases, given by their hashes, in an array of `size` slots, a power of two."""
-    return (mix(grams ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))) & np.uint64(size - 1)).astype(np.int64)
+def slots_of(grams: np.ndarray, lang: str, k: int, size: int, most: int) -> np.ndarray:
+    """The slots of phrases of k words, given by their hashes, in an array of `size` slots; every length has a part of its
+    own, a power of two."""
+    part = 1 << ((size // max(1, most - 1)).bit_length() - 1)
+    return (mix(grams ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))) & np.uint64(part - 1)).astype(np.int64) + (k - 1) * part
 
 
 class _Scan:
     """Counts the active phrases of one lang in one step."""
 
-    def __init__(self, lang: str, step: int, shards: int, most: int, reached: np.ndarray):
-        self.lang, self.step, self.shards, self.most, self.reached = lang, step, shards, most, reached
+    def __init__(self, lang: str, step: int, shards: int, most: int, reached: np.ndarray, lengths: set[int]):
+        self.lang, self.step, self.shards, self.most, self.reached, self.lengths = lang, step, shards, most, reached, lengths
 
     def rows(self, texts: list[bytes]) -> Iterator[tuple[Counter, dict, int]]:
         """For each block: how often each active phrase occurs, in which step it became active (words: 0), how many words."""
@@ -83,13 +85,13 @@ class _Scan:
         counts: Counter = Counter(words[held:]) if self.step < self.shards else Counter()
         starts: dict = {}
         piece = np.searchsorted(np.flatnonzero(np.frombuffer(data, np.uint8) == 10), begins)
-        grams = windows(hashes, *range(1, self.most))
+        grams = windows(hashes, *range(1, self.most)) if self.lengths else []
         join = b" ".join
-        for k in range(2, self.most + 1):
+        for k in sorted(self.lengths):
             n = len(words) - k + 1
             if n <= 0:
                 break
-            at = self.reached[slots_of(grams[k - 2], self.lang, len(self.reached))]
+            at = self.reached[slots_of(grams[k - 2], self.lang, k - 1, len(self.reached), self.most)]
             start = np.maximum(at[:n], at[1 : n + 1]).astype(np.int32) + 1
             live = (start <= self.step) & (self.step < start + self.shards) & (piece[:n] == piece[k - 1 :])
             live[: max(0, held - k + 1)] = False
@@ -98,13 +100,12 @@ class _Scan:
                 found = [join(words[i : i + k]) for i in where.tolist()]
                 counts.update(found)
                 starts |= zip(found, start[where].tolist(), strict=True)
-            elif not (at != NEVER).any():
-                break  # longer phrases need reached ones of this length
         return counts, starts, len(words) - held, begins
 
 
-def _scan(shard: DataFrame, step: int, shards: int, most: int, reached: np.ndarray) -> DataFrame:
-    """(lang, phrase, k, start, count): active phrases of a shard, counted by block; k = 0 has the number of words."""
+def _scan(shard: DataFrame, step: int, shards: int, most: int, reached: np.ndarray, lengths: set[int]) -> DataFrame:
+    """(key, mark, count): active phrases of a shard, counted by block.  A key is the lang, a line end and the phrase, the empty
+    phrase having the number of words; a mark is twice the step in which the phrase became active."""
     shared = shard.sparkSession.sparkContext.broadcast(reached)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,39 +114,41 @@ def _scan(shard: DataFrame, step: int, shards: int, most: int, reached: np.ndarr
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
                 by_lang.setdefault(lang, []).append(text.as_py())
             for lang, texts in by_lang.items():
-                for counts, starts, n in _Scan(lang, step, shards, most, shared.value).rows(texts):
+                head = lang.encode() + b"\n"
+                for counts, starts, n in _Scan(lang, step, shards, most, shared.value, lengths).rows(texts):
                     if step < shards:
                         counts[b""] = n
-                    phrases = list(counts)
-                    ks = [p.count(b" ") + 1 if p else 0 for p in phrases]
-                    columns = [pa.array(repeat(lang, len(phrases)), pa.string(), size=len(phrases)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(ks, pa.int32()), pa.array([starts.get(p, 0) for p in phrases], pa.int32()), pa.array(counts.values(), pa.int64(), size=len(phrases))]
-                    yield pa.record_batch(columns, names=["lang", "phrase", "k", "start", "count"])
+                    keys = pa.array([head + p for p in counts], pa.binary()).cast(pa.string())
+                    marks = pa.array([2 * starts.get(p, 0) for p in counts], pa.int32())
+                    yield pa.record_batch([keys, marks, pa.array(counts.values(), pa.int64(), size=len(counts))], names=["key", "mark", "count"])
 
-    return shard.mapInArrow(run, "lang string, phrase string, k int, start int, count long")
+    return shard.mapInArrow(run, "key string, mark int, count long")
 
 
-def _mark(reached: np.ndarray, new: DataFrame, step: int) -> int:
+def _mark(reached: np.ndarray, new: DataFrame, step: int, most: int) -> set[int]:
     """Notes `step` at the slots of phrases that are newly reached; they come to the driver as a bit map of the slots.
-    Returns how many slots are new."""
+    Returns the lengths of phrases with new slots."""
     size = len(reached)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            (hashes,), first = hash_words([p.encode() for p in batch.column("phrase").to_pylist()])
-            ks, langs = np.diff(first), np.array(batch.column("lang").to_pylist(), object)
+            langs, _, phrases = zip(*(key.rpartition("\n") for key in batch.column("key").to_pylist()), strict=True)
+            (hashes,), first = hash_words([p.encode() for p in phrases])
+            ks, langs = np.diff(first), np.array(langs, object)
             for k in np.unique(ks).tolist():
                 grams = windows(hashes, k)[0]
                 for lang in set(langs[ks == k]):
                     at = first[:-1][(ks == k) & (langs == lang)]
-                    yield pa.record_batch([pa.array(slots_of(grams[at], lang, size))], names=["slot"])
+                    yield pa.record_batch([pa.array(slots_of(grams[at], lang, k, size, most))], names=["slot"])
 
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    words = new.select("lang", "phrase").mapInArrow(run, "slot long").groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = new.select("key").mapInArrow(run, "slot long").groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     bits = np.zeros(size // 64, np.uint64)
     bits[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    fresh = np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool) & (reached == NEVER)
+    fresh = np.flatnonzero(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool) & (reached == NEVER))
     reached[fresh] = step
-    return int(fresh.sum())
+    part = 1 << ((size // max(1, most - 1)).bit_length() - 1)
+    return set((np.unique(fresh // part) + 1).tolist())
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST, shards: int = SHARDS, lang_col: str = "lang", text_col: str = "text", slots: int | None = None) -> DataFrame:
@@ -153,30 +156,35 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST, shar
     number of words of the lang."""
     spark = docs.sparkSession
     plain = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text")).filter("text is not null")
-    dealt = [written(spark, plain.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "phrase-shards", "shard")]
+    dealt = written(spark, plain.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "phrase-shards", "shard")
     if slots is None:
-        size = dealt[0].agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        size = dealt.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         slots = min(SLOTS_MAX, max(SLOTS_MIN, 1 << (int(size) // 64).bit_length()))
     reached = np.full(slots, NEVER, np.uint8)
-    state, done, last, step = None, [], -1, 0
-    while step < shards or step <= last + shards:
+    news: dict[int, set[int]] = {}  # the lengths of phrases that each step reached
+    state, done, step = None, [], 0
+    while step < shards or any(news.get(s) for s in range(step - shards, step)):
         if step >= NEVER:
             raise ValueError("so many shards do not fit into a byte a slot")
-        found = _scan(dealt[0].filter(F.col("shard") == step % shards).select("lang", "text"), step, shards, most, reached).withColumn("told", F.lit(False))
-        rows = found if state is None else found.unionByName(state)
-        rows = rows.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.max("start").alias("start"), F.sum("count").alias("count"), F.max("told").alias("told"))
-        now = written(spark, rows, "phrase-counts")
-        full = F.col("start") + shards - 1 <= step
-        news = now.filter((F.col("count") >= least) & ~F.col("told") & F.col("k").between(1, most - 1))
-        if _mark(reached, news, step):
-            last = step
-        done.append(written(spark, now.filter(full & (F.col("count") >= least)).select("lang", "phrase", "k", "count"), "phrases"))
+        # a phrase is active up to a cycle after the later of its subphrases was reached
+        lengths = {k + 1 for s in range(step - shards, step) for k in news.get(s, ())}
+        rows = _scan(dealt.filter(F.col("shard") == step % shards).select("lang", "text"), step, shards, most, reached, lengths)
+        rows = rows if state is None else rows.unionByName(state)
+        now = written(spark, rows.groupBy("key").agg(F.max("mark").alias("mark"), F.sum("count").alias("count")), "phrase-counts")
+        phrase = F.substring_index("key", "\n", -1)
+        size = F.when(phrase == "", 0).otherwise(F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "))) + 1)
+        named = now.withColumn("phrase", phrase).withColumn("k", size)
+        told, full = F.col("mark") % 2 == 1, F.floor(F.col("mark") / 2) + shards - 1 <= step
+        news[step] = _mark(reached, named.filter((F.col("count") >= least) & ~told & F.col("k").between(1, most - 1)), step, most)
+        lang = F.expr("substring(key, 1, char_length(key) - char_length(phrase) - 1)")
+        done.append(written(spark, named.filter(full & (F.col("count") >= least)).select(lang.alias("lang"), "phrase", "k", "count"), "phrases"))
         if state is not None:
             drop(former)
-        former, state = now, now.filter(~full).withColumn("told", F.col("count") >= least)
+        # an odd mark: the phrase has been told to the array
+        former, state = now, now.filter(~full).withColumn("mark", F.when((F.col("count") >= least) & ~told, F.col("mark") + 1).otherwise(F.col("mark")))
         step += 1
     drop(former)
-    drop(dealt[0])
+    drop(dealt)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
