@@ -75,7 +75,7 @@ def suspect_swaps(obs: DataFrame, filled: Column | None = None) -> DataFrame:
     """Consecutive observations at most 3 frames apart whose boxes hardly overlap and are far from each other."""
     df = with_previous(obs)
     a, b = geo.box("p"), geo.box()
-    far = geo.distance(a, b) > 0.75 * F.greatest(geo.height(a), F.lit(1.0))
+    far = geo.distance(a, b) > 0.75 * F.greatest(geo.height(a), geo.height(b), F.lit(1.0))
     ok = (F.col("f") - F.col("pf") <= 3) & (geo.iou(a, b) < 0.1) & far
     return df.filter(ok if filled is None else ok & ~filled).select(*TRACK, "pf", "f")
 

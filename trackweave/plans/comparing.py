@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import association as asc
 from ..operators import comparing as cm
 from ..operators import pairs as pr
 from ..operators import sequences as seq
@@ -145,7 +146,7 @@ _REPLAYED = O.replace("with recursive obs as", "with recursive whole as") + f"""
   obs as (select clip_id * 10 + setting_id clip_id, tid + 1000 * (f // 25) tid, f, eid, x1, y1, x2, y2, score from whole, st where least <= 100 and score * 100 >= least)"""
 
 
-@query("g11_t04_sweep", f"""{_REPLAYED}, {_LAG}, {_SWAPS}, {_ENDS}, {_FRAG.replace("<= 60", "<= 100")}, h as (select clip_id, tid, max(f)-min(f)+1 life, count(*) n from obs group by 1, 2),
+@query("t04_setting_order", f"""{_REPLAYED}, {_LAG}, {_SWAPS}, {_ENDS}, {_FRAG.replace("<= 60", "<= 100")}, h as (select clip_id, tid, max(f)-min(f)+1 life, count(*) n from obs group by 1, 2),
   r as (select clip_id, count(*) tracks, sum(life - n)::bigint holes, (select count(*) from swaps s where s.clip_id = h.clip_id) swaps, (select count(*) from frags g where g.clip_id = h.clip_id) fragments from h group by clip_id)
   select clip_id % 10 setting_id, clip_id // 10 as clip_id, tracks, holes, swaps, fragments, row_number() over (partition by clip_id // 10 order by fragments + 2 * swaps, tracks, clip_id % 10) place from r""")
 def _(spark, d):
@@ -153,3 +154,10 @@ def _(spark, d):
     replay = lambda df: df.filter(F.col("score") * 100 >= F.col("least")).withColumn("tid", (F.col("tid") + 1000 * F.floor(F.col("f") / 25)).cast("int"))
     out = cm.sweep(relation(spark, d, "obs"), settings, replay, lambda tracks: seq.stability(tracks, window=100), F.col("least").between(0, 100))
     return cm.rank_settings(out).select("setting_id", "clip_id", "tracks", "holes", "swaps", "fragments", F.col("place").cast("long").alias("place"))
+
+
+@query("g11_t04_sweep")
+def _(spark, d):
+    """Detections without their tracks, replayed under six settings, of which the last is none."""
+    settings = {1: {}, 2: {"match_iou": 0.5}, 3: {"match_iou": 0.5, "motion": 1.0}, 4: {"new_score": 0.8, "lost_frames": 10}, 5: {"dup_iou": 0.3, "cover": 0.9}, 6: {"match_iou": 1.5}}
+    return asc.sweep(relation(spark, d, "obs").select("clip_id", "f", F.col("eid").alias("det"), "x1", "y1", "x2", "y2", "score"), settings)

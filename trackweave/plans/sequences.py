@@ -51,7 +51,7 @@ def _(spark, d):
 
 
 _LAG = f"lagged as (select *, {q.lag_box(_W)} from obs)"
-_SWAPS = f"swaps as (select clip_id, tid, pf, f from lagged where f - pf <= 3 and {q.iou('p', '')} < 0.1 and {q.dist('p', '')} > 0.75 * greatest(py2 - py1, 1))"
+_SWAPS = f"swaps as (select clip_id, tid, pf, f from lagged where f - pf <= 3 and {q.iou('p', '')} < 0.1 and {q.dist('p', '')} > 0.75 * greatest(py2 - py1, y2 - y1, 1))"
 
 
 @query("w13_suspect_swaps", f"{O}, {_LAG}, {_SWAPS} select * from swaps")
