@@ -116,3 +116,18 @@ def colour_slot(name: Column, n: int) -> Column:
 def display_frame(t: Column, fps: Column, stride: int) -> Column:
     """The processed frame shown at time t."""
     return (F.floor(F.floor(t * fps) / stride) * stride).cast("int")
+
+
+def runs_shared(a: Column, b: Column) -> Column:
+    """Frames that two lists of inclusive runs (start, end) share."""
+    shared = lambda x, y: F.greatest(F.lit(0), F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]) + 1).cast("long")
+    return F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + F.aggregate(b, F.lit(0).cast("long"), lambda s, y: s + shared(x, y)))
+
+
+def runs_of(frames: Column) -> Column:
+    """An array of frames in any order as inclusive runs (start, end)."""
+    f = F.array_sort(F.array_distinct(frames))
+    at = lambda i: F.get(f, i)
+    begins = F.filter(F.sequence(F.lit(0), F.size(f) - 1), lambda i: (i == 0) | (at(i) != at(i - 1) + 1))
+    ends = F.filter(F.sequence(F.lit(0), F.size(f) - 1), lambda i: (i == F.size(f) - 1) | (at(i) + 1 != at(i + 1)))
+    return F.when(F.size(f) > 0, F.zip_with(begins, ends, lambda b, e: F.struct(at(b).alias("start"), at(e).alias("end"))))

@@ -172,18 +172,22 @@ def gap_split(obs: DataFrame, fps: float, width: float, tail: int = 6, least: in
 
 def components(edges: DataFrame) -> DataFrame:
     """(clip_id, node, component): least node reachable in a clip.  Labels spread with shortcuts until nothing changes;
-    each round's table is checkpointed where the session has a checkpoint folder."""
+    each round's table is checkpointed where the session has a checkpoint folder, else kept in the cache until the next is there."""
     both = edges.select("clip_id", "a", "b").unionByName(edges.select("clip_id", F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     keep: Callable[[DataFrame], DataFrame] = (lambda df: df.checkpoint()) if edges.sparkSession.sparkContext.getCheckpointDir() else (lambda df: df.persist())
     both = keep(both)
     labels = keep(both.groupBy("clip_id", F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component")))
+    former = labels
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), ["clip_id", "b"]).groupBy("clip_id", F.col("a").alias("node")).agg(F.min("component").alias("near"))
         step = labels.join(near, ["clip_id", "node"]).select("clip_id", "node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         roots = labels.select("clip_id", F.col("node").alias("component"), F.col("component").alias("up"))
         new = keep(step.join(roots, ["clip_id", "component"], "left").select("clip_id", "node", "old", F.least("component", F.coalesce("up", "component")).alias("component")))
-        labels = new.select("clip_id", "node", "component")
-        if new.filter("old <> component").isEmpty():
+        same = new.filter("old <> component").isEmpty()
+        former.unpersist()
+        former, labels = new, new.select("clip_id", "node", "component")
+        if same:
+            both.unpersist()
             return labels
 
 
@@ -206,52 +210,80 @@ class _Groups:
             self.members[a] += self.members.pop(b)
 
 
-def _meets(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> int:
-    """Frames that two segments' spans share."""
-    return sum(max(0, min(x2, y2) - max(x1, y1) + 1) for x1, x2 in a for y1, y2 in b)
+def _shared(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> int:
+    """Frames that two sorted lists of inclusive runs share."""
+    i = j = total = 0
+    while i < len(a) and j < len(b):
+        total += max(0, min(a[i][1], b[j][1]) - max(a[i][0], b[j][0]) + 1)
+        if a[i][1] < b[j][1]:
+            i += 1
+        else:
+            j += 1
+    return total
+
+
+def _runs(value) -> list[tuple[int, int]]:
+    return sorted((int(r["start"]), int(r["end"])) for r in value)
+
+
+def _span(first: str, last: str):
+    """A whole span as a list of one run."""
+    return F.array(F.struct(F.col(first).alias("start"), F.col(last).alias("end")))
 
 
 def link(segments: DataFrame, candidates: DataFrame, duplicates: DataFrame | None = None, strong: float = 1.60, strong_faces: int = 3) -> DataFrame:
     """Constrained linking per component of candidates.  Duplicates are joined first without a check; then pairs, best
-    score first (ties to larger ids): not if any members share frames, nor if the groups' decided classes or leanings
-    differ, unless the pair is a strong face match of segments with enough faces.
-    segments: clip_id, sid, first_f, last_f, cls (decided or null), lean (or null), n_face; candidates: clip_id, sid_a, sid_b, how, score.
-    Returns clip_id, sid, identity_sid (least sid of the group)."""
+    score first (ties to larger ids): not if the groups share a frame, nor if their decided classes or leanings
+    differ, unless the pair is a strong face match of segments with enough faces.  Groups may lie in each other's holes.
+    segments: clip_id, sid, runs (array of inclusive start, end; or first_f, last_f, if the whole span counts), cls (decided or
+    null), lean (or null), n_face; candidates: clip_id, sid_a, sid_b, how, score.  Returns clip_id, sid, identity_sid (least sid of the group)."""
+    segments = segments if "runs" in segments.columns else segments.withColumn("runs", _span("first_f", "last_f"))
     pairs_ = candidates.filter("how <> 'near_miss'").select("clip_id", "sid_a", "sid_b", "how", "score")
     if duplicates is not None:
         pairs_ = pairs_.unionByName(duplicates.select("clip_id", "sid_a", "sid_b", F.lit("duplicate").alias("how"), F.lit(1e9).alias("score")))
     comp = components(pairs_.select("clip_id", F.col("sid_a").alias("a"), F.col("sid_b").alias("b")))
-    left = segments.join(comp.withColumnRenamed("node", "sid"), ["clip_id", "sid"]).select("clip_id", "component", "sid", "first_f", "last_f", "cls", "lean", "n_face")
+    left = segments.join(comp.withColumnRenamed("node", "sid"), ["clip_id", "sid"]).select("clip_id", "component", "sid", "runs", "cls", "lean", "n_face")
     right = pairs_.join(comp.withColumnRenamed("node", "sid_a"), ["clip_id", "sid_a"]).select(F.col("clip_id").alias("clip"), F.col("component").alias("part"), "sid_a", "sid_b", "how", "score")
 
     def run(key, seg: pd.DataFrame, cand: pd.DataFrame) -> pd.DataFrame:
-        info = {r.sid: r for r in seg.itertuples()}
-        groups = _Groups(info)
+        groups = _Groups(seg["sid"].tolist())
+        faces = dict(zip(seg["sid"], seg["n_face"], strict=True))
+        held = {r.sid: {"runs": _runs(r.runs), "cls": {r.cls} if isinstance(r.cls, str) else set(), "lean": {r.lean} if isinstance(r.lean, str) else set()} for r in seg.itertuples()}
         for r in cand.sort_values(["score", "sid_a", "sid_b"], ascending=False).itertuples():
-            a, b = groups.root(r.sid_a), groups.root(r.sid_b)
+            a, b = sorted((groups.root(r.sid_a), groups.root(r.sid_b)))
             if a == b:
                 continue
+            x, y = held[a], held[b]
             if r.how != "duplicate":
-                ma, mb = groups.members[a], groups.members[b]
-                if any(_meets([(info[x].first_f, info[x].last_f)], [(info[y].first_f, info[y].last_f)]) for x in ma for y in mb):
+                if _shared(x["runs"], y["runs"]):
                     continue
-                differ = False
-                for what in ("cls", "lean"):
-                    ka, kb = ({v for x in m if isinstance(v := getattr(info[x], what), str)} for m in (ma, mb))
-                    differ |= bool(ka and kb and ka != kb)
-                if differ and not (r.how == "face" and r.score >= strong and info[r.sid_a].n_face >= strong_faces and info[r.sid_b].n_face >= strong_faces):
+                differ = any(x[what] and y[what] and x[what] != y[what] for what in ("cls", "lean"))
+                if differ and not (r.how == "face" and r.score >= strong and min(faces[r.sid_a], faces[r.sid_b]) >= strong_faces):
                     continue
             groups.union(a, b)
-        return pd.DataFrame({"clip_id": key[0], "sid": list(info), "identity_sid": [groups.root(s) for s in info]})
+            held[a] = {"runs": _joined(x["runs"] + y["runs"]), "cls": x["cls"] | y["cls"], "lean": x["lean"] | y["lean"]}
+            del held[b]
+        return pd.DataFrame({"clip_id": key[0], "sid": seg["sid"], "identity_sid": [groups.root(s) for s in seg["sid"]]})
 
     linked = left.groupBy("clip_id", "component").cogroup(right.groupBy("clip", "part")).applyInPandas(run, "clip_id int, sid int, identity_sid int")
     alone = segments.join(linked, ["clip_id", "sid"], "left_anti").select("clip_id", "sid", F.col("sid").alias("identity_sid"))
     return linked.unionByName(alone)
 
 
+def _joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same frames as sorted runs that do not meet."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(runs):
+        if out and s <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
 def relink(tracks: DataFrame, candidates: DataFrame) -> DataFrame:
     """Merges by similarity, best first, only while all merged spans stay disjoint: `link` without classes or faces."""
-    plain = tracks.select("clip_id", F.col("tid").alias("sid"), "first_f", "last_f", F.lit(None).cast("string").alias("cls"), F.lit(None).cast("string").alias("lean"), F.lit(0).alias("n_face"))
+    plain = tracks.select("clip_id", F.col("tid").alias("sid"), _span("first_f", "last_f").alias("runs"), F.lit(None).cast("string").alias("cls"), F.lit(None).cast("string").alias("lean"), F.lit(0).alias("n_face"))
     return link(plain, candidates.withColumn("how", F.lit("body"))).select("clip_id", F.col("sid").alias("tid"), F.col("identity_sid").alias("identity"))
 
 
@@ -269,8 +301,9 @@ def relink_candidates(tracks: DataFrame, least: float, max_gap: int) -> DataFram
 
 def handoff(groups: DataFrame, fps: float, short_s: float = 2.0, least_iou: float = 0.3, slack: int = 3) -> DataFrame:
     """Short groups without any leaning are handed to a longer one that ends where they begin or begins where they end;
-    repeated, best overlap first, until none is left.  groups: clip_id, identity, first_f, last_f, frames, lean, first box
-    (a1..a4) and last box (b1..b4); heights and overlap are those of the two boxes that touch.
+    repeated, best overlap first, until none is left.  No member of one may share more than `slack` frames with a member of the
+    other.  groups: clip_id, identity, first_f, last_f, frames, lean, first box (a1..a4) and last box (b1..b4), and runs (or else
+    the whole span counts); heights and overlap are those of the two boxes that touch.
 
     A merged group's ends are the ends of two of its members, so two groups can only ever be joined where a short member
     without leaning touches another member in time and place.  Those pairs come from two joins on buckets of frames, and
@@ -288,10 +321,11 @@ def handoff(groups: DataFrame, fps: float, short_s: float = 2.0, least_iou: floa
         return met.filter(ratio.between(0.39, 2.51) & (geo.iou(geo.box("g_"), geo.box("p_")) >= 0.99 * least_iou)).select("clip_id", F.col("g_id").alias("a"), F.col("p_id").alias("b"))
 
     comp = components(touching(("first_f", "a"), ("last_f", "b"), slack, gap).unionByName(touching(("last_f", "b"), ("first_f", "a"), gap, slack)))
-    rows = groups.join(comp.withColumnRenamed("node", "identity"), ["clip_id", "identity"], "left").withColumn("component", F.coalesce("component", "identity"))
+    held = groups if "runs" in groups.columns else groups.withColumn("runs", _span("first_f", "last_f"))
+    rows = held.join(comp.withColumnRenamed("node", "identity"), ["clip_id", "identity"], "left").withColumn("component", F.coalesce("component", "identity"))
 
     def settle(df: pd.DataFrame) -> pd.DataFrame:
-        live = {r.identity: {"spans": [(r.first_f, r.last_f)], "frames": r.frames, "lean": r.lean if isinstance(r.lean, str) else None, "first": (r.first_f, (r.a1, r.a2, r.a3, r.a4)), "last": (r.last_f, (r.b1, r.b2, r.b3, r.b4))} for r in df.sort_values("identity").itertuples()}
+        live = {r.identity: {"members": [_runs(r.runs)], "frames": r.frames, "lean": r.lean if isinstance(r.lean, str) else None, "first": (r.first_f, (r.a1, r.a2, r.a3, r.a4)), "last": (r.last_f, (r.b1, r.b2, r.b3, r.b4))} for r in df.sort_values("identity").itertuples()}
         into = {k: k for k in live}
 
         def score(x, y):
@@ -306,18 +340,24 @@ def handoff(groups: DataFrame, fps: float, short_s: float = 2.0, least_iou: floa
                 return None
             ratio = (b[3] - b[1]) / max(1e-6, a[3] - a[1])
             iou = float(iou_matrix(np.array([a], float), np.array([b], float))[0, 0])
-            return iou if 0.4 <= ratio <= 2.5 and iou >= least_iou and _meets(x["spans"], y["spans"]) <= slack else None
+            apart = 0.4 <= ratio <= 2.5 and iou >= least_iou and all(_shared(m, n) <= slack for m in x["members"] for n in y["members"])
+            return iou if apart else None
 
-        while True:
-            found = [(s, i, j) for i, x in live.items() for j, y in live.items() if i != j and (s := score(x, y)) is not None]
-            if not found:
-                break
-            _, i, j = max(found)
+        scores = {(i, j): s for i, x in live.items() for j, y in live.items() if i != j and (s := score(x, y)) is not None}
+        while scores:
+            _, i, j = max((s, i, j) for (i, j), s in scores.items())
             x, y = live.pop(i), live[j]
-            y["spans"] += x["spans"]
+            y["members"] += x["members"]
             y["frames"] += x["frames"]
+            y["lean"] = y["lean"] or x["lean"]
             y["first"], y["last"] = min(x["first"], y["first"]), max(x["last"], y["last"])
             into = {k: j if v == i else v for k, v in into.items()}
+            # only pairs of the merged group change
+            scores = {k: s for k, s in scores.items() if not {i, j} & set(k)}
+            for other, z in live.items():
+                for k, pair in (((j, other), (y, z)), ((other, j), (z, y))):
+                    if other != j and (s := score(*pair)) is not None:
+                        scores[k] = s
         return pd.DataFrame({"clip_id": df["clip_id"].iloc[0], "identity": list(into), "merged": list(into.values())})
 
     return rows.groupBy("clip_id", "component").applyInPandas(settle, "clip_id int, identity int, merged int")

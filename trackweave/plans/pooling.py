@@ -102,16 +102,21 @@ def _(spark, d):
     return _round(pl.similar_pairs(_vecs(spark, d).select("clip_id", "tid", "vec"), 0.3), "cos")
 
 
-_SEG = f"""{O}, {_VECS}, vel as (select *, (x1+x2)/2 cx, (y1+y2)/2 cy, first_value((x1+x2)/2) over w ax, first_value((y1+y2)/2) over w ay, first_value(f) over w af from obs window w as (partition by clip_id, tid, f // 25 order by f rows between 4 preceding and current row)),
-  seg as (select clip_id, tid, f // 25 k, (tid * 10 + f // 25)::int sid, min(f) first_f, max(f) last_f, arg_min(cx, f) cx1, arg_min(cy, f) cy1, arg_max(cx, f) cx2, arg_max(cy, f) cy2, arg_max(y2 - y1, f) h2, arg_max((cx - ax) / greatest(1, f - af), f) vx, arg_max((cy - ay) / greatest(1, f - af), f) vy, case tid % 3 when 0 then null when 1 then 'a' else 'b' end cls, tid % 5 n_face from vel group by 1, 2, 3, 4),
-  s as (select seg.*, vec from seg join (select distinct on (clip_id, tid % 40) clip_id c2, tid % 40 slot, vec from v order by clip_id, tid % 40, tid) e on e.c2 = seg.clip_id and e.slot = seg.tid % 40),
-  p as (select a.clip_id, a.sid sid_a, b.sid sid_b, list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: z[1]::double * z[2]::double)) cos, b.first_f - a.last_f gap, a.n_face nfa, b.n_face nfb, a.cx2 + a.vx * (b.first_f - a.last_f) - b.cx1 dx, a.cy2 + a.vy * (b.first_f - a.last_f) - b.cy1 dy, a.h2 ah, a.cls ac, b.cls bc from s a join s b on a.clip_id = b.clip_id and a.last_f < b.first_f),
-  how as (select *, case when cos >= 0.45 and nfa >= 2 and nfb >= 2 then 'face' when cos >= 0.85 and gap / 25.0 <= 3 and sqrt(dx * dx + dy * dy) <= 1.5 * ah + 0.1 * 1300 * gap / 25.0 and (ac is null or bc is null or ac = bc) then 'body' when cos >= 0.75 and gap / 25.0 <= 3 then 'near_miss' end how from p)
-  select clip_id, sid_a, sid_b, how, round(case when how = 'face' then cos + 1 else cos end, 6) score from how where how is not null"""
+_DOT = lambda a, b: f"list_sum(list_transform(list_zip({a}, {b}), lambda z: z[1]::double * z[2]::double))"
+_SEG = f"""{O}, {_VECS}, vel as (select *, (tid * 10 + f // 25)::int sid, (x1+x2)/2 cx, (y1+y2)/2 cy, first_value((x1+x2)/2) over w ax, first_value((y1+y2)/2) over w ay, first_value(f) over w af from obs window w as (partition by clip_id, tid, f // 25 order by f rows between 4 preceding and current row)),
+  seg as (select clip_id, tid, sid, min(f) first_f, max(f) last_f, arg_min(cx, f) cx1, arg_min(cy, f) cy1, arg_max(cx, f) cx2, arg_max(cy, f) cy2, arg_max(y2 - y1, f) h2, arg_max((cx - ax) / greatest(1, f - af), f) vx, arg_max((cy - ay) / greatest(1, f - af), f) vy, case tid % 3 when 0 then null when 1 then 'a' else 'b' end cls, tid % 5 n_face from vel group by 1, 2, 3),
+  slots as (select distinct on (clip_id, tid % 40) clip_id c2, tid % 40 slot, vec from v order by clip_id, tid % 40, tid),
+  s as (select seg.*, case when tid % 7 > 0 then face.vec end fv, case when tid % 11 > 0 then body.vec end bv from seg left join slots face on face.c2 = clip_id and face.slot = tid % 40 left join slots body on body.c2 = clip_id and body.slot = (tid * 3 + 1) % 40),
+  p as (select a.clip_id, a.sid sid_a, b.sid sid_b, {_DOT("a.fv", "b.fv")} fs, {_DOT("a.bv", "b.bv")} bs, least(a.n_face, b.n_face) faces, a.cls ac, b.cls bc, case when a.first_f <= b.first_f then a else b end x, case when a.first_f <= b.first_f then b else a end y from s a join s b on a.clip_id = b.clip_id and a.sid < b.sid
+    where not exists (select 1 from vel i join vel j using (clip_id, f) where i.clip_id = a.clip_id and i.sid = a.sid and j.sid = b.sid)),
+  g as (select *, greatest(0, y.first_f - x.last_f) gap from p),
+  how as (select *, case when fs >= 0.45 and faces >= 2 then 'face' when bs >= 0.85 and gap / 25.0 <= 3 and sqrt((x.cx2 + x.vx * gap - y.cx1) ** 2 + (x.cy2 + x.vy * gap - y.cy1) ** 2) <= 1.5 * x.h2 + 0.1 * 1300 * gap / 25.0 and (ac is null or bc is null or ac = bc) then 'body' when bs >= 0.75 and gap / 25.0 <= 3 then 'near_miss' end how from g)
+  select clip_id, sid_a, sid_b, how, round(case when how = 'face' then fs + 1 else bs end, 6) score from how where how is not null"""
 
 
 def segments(spark, d):
-    """Tracks cut every 25 frames, with box ends, velocity, class and a borrowed vector: input of the linking operators."""
+    """Tracks cut every 25 frames, with their runs, box ends, velocity, class and two borrowed vectors: input of the linking
+    operators.  Tracks have holes, so that some segments lie in the holes of others."""
     from pyspark.sql import Window
 
     obs = relation(spark, d, "obs").withColumn("k", F.floor(F.col("f") / 25))
@@ -120,10 +125,15 @@ def segments(spark, d):
     dt = F.greatest(F.lit(1), F.col("f") - F.first("f").over(w))
     obs = obs.withColumn("vx", (F.col("cx") - F.first("cx").over(w)) / dt).withColumn("vy", (F.col("cy") - F.first("cy").over(w)) / dt).withColumn("h", F.col("y2") - F.col("y1"))
     at = lambda c, last: (F.max_by if last else F.min_by)(c, "f")
-    seg = obs.groupBy("clip_id", "tid", "k").agg(F.min("f").alias("first_f"), F.max("f").alias("last_f"), F.count(F.lit(1)).alias("n"), at("cx", 0).alias("cx1"), at("cy", 0).alias("cy1"), at("cx", 1).alias("cx2"), at("cy", 1).alias("cy2"), at("h", 1).alias("h2"), at("h", 0).alias("h1"), at("vx", 1).alias("vx"), at("vy", 1).alias("vy"), F.min_by(F.struct("x1", "y1", "x2", "y2"), "f").alias("box1"), F.max_by(F.struct("x1", "y1", "x2", "y2"), "f").alias("box2"))
-    seg = seg.withColumn("sid", (F.col("tid") * 10 + F.col("k")).cast("int")).withColumn("cls", F.when(F.col("tid") % 3 == 1, "a").when(F.col("tid") % 3 == 2, "b")).withColumn("n_face", F.col("tid") % 5).withColumn("slot", F.col("tid") % 40)
-    vec = _vecs(spark, d).withColumn("slot", F.col("tid") % 40).groupBy("clip_id", "slot").agg(F.min_by("vec", "tid").alias("vec"))
-    return seg.join(vec, ["clip_id", "slot"])
+    seg = obs.groupBy("clip_id", "tid", "k").agg(F.min("f").alias("first_f"), F.max("f").alias("last_f"), F.count(F.lit(1)).alias("n"), F.collect_list("f").alias("fs"), at("cx", 0).alias("cx1"), at("cy", 0).alias("cy1"), at("cx", 1).alias("cx2"), at("cy", 1).alias("cy2"), at("h", 1).alias("h2"), at("h", 0).alias("h1"), at("vx", 1).alias("vx"), at("vy", 1).alias("vy"), F.min_by(F.struct("x1", "y1", "x2", "y2"), "f").alias("box1"), F.max_by(F.struct("x1", "y1", "x2", "y2"), "f").alias("box2"))
+    seg = seg.withColumn("runs", sc.runs_of(F.col("fs"))).drop("fs")
+    seg = seg.withColumn("sid", (F.col("tid") * 10 + F.col("k")).cast("int")).withColumn("cls", F.when(F.col("tid") % 3 == 1, "a").when(F.col("tid") % 3 == 2, "b")).withColumn("n_face", F.col("tid") % 5)
+    slots = _vecs(spark, d).groupBy("clip_id", (F.col("tid") % 40).alias("slot")).agg(F.min_by("vec", "tid").alias("vec"))
+    of = lambda slot, name: slots.select(F.col("clip_id").alias("of"), F.col("slot").alias(slot), F.col("vec").alias(name))
+    for slot, name, held in ((F.col("tid") % 40, "face_vec", F.col("tid") % 7 > 0), ((F.col("tid") * 3 + 1) % 40, "body_vec", F.col("tid") % 11 > 0)):
+        v = of(f"{name}_slot", name)
+        seg = seg.withColumn("slot", slot).join(v, (F.col("clip_id") == F.col("of")) & (F.col("slot") == F.col(f"{name}_slot")), "left").drop("of", "slot", f"{name}_slot").withColumn(name, F.when(held, F.col(name)))
+    return seg
 
 
 @query("j12_link_candidates", _SEG)
