@@ -113,6 +113,13 @@ def covered_share(persons: DataFrame, veil: DataFrame, least: float = 0.5) -> Da
     return df.groupBy("clip_id", "tid").agg(F.count(F.lit(1)).alias("frames"), F.avg(F.when(F.col("share") >= least, 1.0).otherwise(0.0)).alias("veiled"))
 
 
+def veiled_summary(shares: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per clip and label (clip_id, tid, label): persons, mean veiled share, how many are veiled in less than half of their
+    frames, in half or more, and never."""
+    known = shares.join(labels, ["clip_id", "tid"])
+    return known.groupBy("clip_id", "label").agg(F.count(F.lit(1)).alias("persons"), F.avg("veiled").alias("mean_veiled"), F.count_if(F.col("veiled") < 0.5).alias("below_half"), F.count_if(F.col("veiled") >= 0.5).alias("half_or_more"), F.count_if(F.col("veiled") == 0).alias("never"))
+
+
 def pixel_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
     """Per clip and frame: intersection and union of everything masked in either run; a missing frame counts as empty."""
     ua, ub = union(a, ["clip_id", "f"]), union(b, ["clip_id", "f"])

@@ -6,7 +6,7 @@ costs nothing beyond its frame's own pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -72,12 +72,41 @@ def duplicate_hosts(obs: DataFrame, evidence: DataFrame, mean_cover: float = 0.9
     return df.filter((F.col("mean_cover") >= mean_cover) & F.col("host_locked") & (F.col("host_evidence") >= times * F.greatest(F.lit(1.0), F.col("own_evidence")))).select("clip_id", "tid", "host", "mean_cover")
 
 
-def duplicate_of(hosted: DataFrame, views: DataFrame) -> DataFrame:
-    """The host of more than half of a track's views (the most frequent one, lowest id of equals)."""
+def insides(obs: DataFrame, inter: DataFrame) -> DataFrame:
+    """Per view the other track of its frame that it lies inside most, by mask or by box: clip_id, f, tid, host, frac, box_frac.
+
+    obs: clip_id, f, tid, box, area (of the mask); inter: clip_id, f, tid, host, inter, cells that two masks share.  Only
+    hosts whose box meets the view's count; of equal ones the lowest id."""
+    p = pairs(obs, obs).filter("a_tid <> b_tid").select(*FRAME, F.col("a_tid").alias("tid"), F.col("b_tid").alias("host"), geo.coverage(geo.box("a_"), geo.box("b_")).alias("box_frac"))
+    both = p.join(inter, [*FRAME, "tid", "host"], "left").join(obs.select(*FRAME, "tid", "area"), [*FRAME, "tid"])
+    frac = F.coalesce("inter", F.lit(0)) / F.greatest(F.lit(1), F.col("area"))
+    most = F.max_by(F.struct("host", "frac", "box_frac"), F.struct(F.greatest("frac", "box_frac").alias("m"), (-F.col("host")).alias("t")))
+    best = both.withColumn("frac", frac).groupBy(*FRAME, "tid").agg(most.alias("b"))
+    return best.select(*FRAME, "tid", "b.*")
+
+
+def duplicate_of(views: DataFrame, inside: DataFrame, by_mask: float = 0.5, by_box: float = 0.85) -> DataFrame:
+    """The track in which more than half of a track's views lie, all its views counting: by mask (at least `by_mask` of the view's
+    mask), or else by box (`by_box` of its box).  The most frequent one, lowest id of equals: clip_id, tid, dup_of, how, votes, views."""
     n = views.groupBy("clip_id", "tid").agg(F.count(F.lit(1)).alias("views"))
-    c = hosted.groupBy("clip_id", "tid", "host").agg(F.count(F.lit(1)).alias("votes"))
-    top = c.groupBy("clip_id", "tid").agg(F.max_by(F.struct("host", "votes"), F.struct("votes", (-F.col("host")).alias("t"))).alias("b"))
-    return top.join(n, ["clip_id", "tid"]).filter(F.col("b.votes") * 2 > F.col("views")).select("clip_id", "tid", F.col("b.host").alias("dup_of"), F.col("b.votes").alias("votes"), "views")
+    lists = inside.select("clip_id", "tid", "host", F.explode(F.array_compact(F.array(F.when(F.col("frac") >= by_mask, "mask"), F.when(F.col("box_frac") >= by_box, "box")))).alias("how"))
+    c = lists.groupBy("clip_id", "tid", "how", "host").agg(F.count(F.lit(1)).alias("votes"))
+    top = c.groupBy("clip_id", "tid", "how").agg(F.max_by(F.struct("host", "votes"), F.struct("votes", (-F.col("host")).alias("t"))).alias("b"))
+    most = top.join(n, ["clip_id", "tid"]).filter(F.col("b.votes") * 2 > F.col("views"))
+    first = most.groupBy("clip_id", "tid").agg(F.max_by(F.struct("b.host", "how", "b.votes", "views"), "how").alias("d"))  # "mask" goes before "box"
+    return first.select("clip_id", "tid", F.col("d.host").alias("dup_of"), "d.how", "d.votes", "d.views")
+
+
+def canonical_identities(objects: DataFrame, control: DataFrame, least: float = 0.5) -> DataFrame:
+    """Identity of every labelled object: the control track that it overlaps by `least` in most of its frames (lowest id of
+    equals), or an identity of its own, numbered after the control tracks of its clip by id.
+    Both: clip_id, f, tid, box.  Returns clip_id, tid, identity."""
+    met = best_match(objects, control, least).groupBy("clip_id", "tid", "match").agg(F.count(F.lit(1)).alias("frames"))
+    host = met.groupBy("clip_id", "tid").agg(F.max_by("match", F.struct("frames", (-F.col("match")).alias("t"))).alias("host"))
+    last = control.groupBy("clip_id").agg(F.max("tid").alias("last"))
+    own = objects.select("clip_id", "tid").distinct().join(host, ["clip_id", "tid"], "left").join(last, "clip_id", "left")
+    place = F.row_number().over(Window.partitionBy("clip_id", F.col("host").isNull()).orderBy("tid"))
+    return own.select("clip_id", "tid", F.coalesce("host", F.coalesce("last", F.lit(0)) + place).cast("long").alias("identity"))
 
 
 def label_coverage(layers: DataFrame, labels: dict[str, Column]) -> DataFrame:
@@ -95,12 +124,29 @@ def verdicts(coverage: DataFrame, target: str, other: str, min_share: float = 0.
     return coverage.withColumn("verdict", v)
 
 
-def verdict_rates(verdict: DataFrame) -> DataFrame:
-    """Per clip: identities, escapes (flicker or none) and conflicts as counts and rates; rates are null without identities."""
+def explained(verdict: DataFrame, extra: list[str], min_share: float = 0.5) -> DataFrame:
+    """Adds `explained_by`: for escapes (flicker or none) the extra labels that cover them by `min_share`, comma-joined, or null."""
+    names = F.array_join(F.array_compact(F.array(*[F.when(F.col(f"share_{x}") >= min_share, x) for x in sorted(extra)])), ",")
+    return verdict.withColumn("explained_by", F.when(F.col("verdict").isin("flicker", "none"), F.nullif(names, F.lit(""))))
+
+
+def verdict_rates(verdict: DataFrame, target: DataFrame, other: DataFrame, conflict_iou: float = 0.5) -> DataFrame:
+    """Per clip: identities, escapes (flicker or none) and their rate; observations of the target label, those that an observation
+    of the other label overlaps by `conflict_iou` in the same frame, and their rate.  Rates are null without anything to count."""
     one = lambda *v: F.sum(F.when(F.col("verdict").isin(*v), 1).otherwise(0))
-    out = verdict.groupBy("clip_id").agg(F.count(F.lit(1)).alias("identities"), one("flicker", "none").alias("escapes"), one("conflict").alias("conflicts"), F.percentile("seen", F.lit(0.5)).alias("median_seen"))
-    n = F.nullif(F.col("identities"), F.lit(0))
-    return out.select("*", (F.col("escapes") / n).alias("escape_rate"), (F.col("conflicts") / n).alias("conflict_rate"))
+    ids = verdict.groupBy("clip_id").agg(F.count(F.lit(1)).alias("identities"), one("flicker", "none").alias("escapes"), one("conflict").alias("conflicts"), F.percentile("seen", F.lit(0.5)).alias("median_seen"))
+    obs = covered(target, other, conflict_iou).groupBy("clip_id").agg(F.count(F.lit(1)).alias("target_obs"), F.count_if("covered").alias("conflict_obs"))
+    out = ids.join(obs, "clip_id", "full_outer").fillna(0, ["identities", "escapes", "conflicts", "target_obs", "conflict_obs"])
+    rate = lambda x, y: F.col(x) / F.nullif(F.col(y), F.lit(0))
+    return out.select("*", rate("escapes", "identities").alias("escape_rate"), rate("conflict_obs", "target_obs").alias("conflict_rate"))
+
+
+def label_summary(obs: DataFrame, n_frames: DataFrame) -> DataFrame:
+    """Per clip and label: tracks, observations, observations a frame of the clip, median span.
+    obs: clip_id, label, tid, f; n_frames: clip_id, n_frames."""
+    tracks = obs.groupBy("clip_id", "label", "tid").agg(F.count(F.lit(1)).alias("n"), (F.max("f") - F.min("f") + 1).alias("span"))
+    s = tracks.groupBy("clip_id", "label").agg(F.count(F.lit(1)).alias("tracks"), F.sum("n").alias("obs"), F.percentile("span", F.lit(0.5)).alias("median_span"))
+    return s.join(n_frames, "clip_id").select("clip_id", "label", "tracks", "obs", (F.col("obs") / F.greatest(F.lit(1), F.col("n_frames"))).alias("obs_per_frame"), "median_span")
 
 
 def share_histogram(coverage: DataFrame, column: str) -> DataFrame:

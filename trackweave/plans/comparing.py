@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import association as asc
 from ..operators import comparing as cm
+from ..operators import greedy as gr
 from ..operators import pairs as pr
 from ..operators import sequences as seq
 from . import sqltext as q
@@ -15,23 +16,31 @@ from .registry import query
 from .sequences import _ENDS, _FRAG, _LAG, _SWAPS
 
 O, B, LB = ctes("obs"), ctes("run_b", "obs"), ctes("run_b", "obs", "layers")  # noqa: E741
-_MATCH = f"{_CROSS}, m as (select clip_id, f, tid tid_a, other tid_b from p where iou >= 0.5 qualify row_number() over (partition by clip_id, f, tid order by iou desc, other) = 1)"
+_ARGMAX = f"{_CROSS}, m as (select clip_id, f, tid tid_a, other tid_b from p where iou >= 0.5 qualify row_number() over (partition by clip_id, f, tid order by iou desc, other) = 1)"
+_ONE = f"{_CROSS}, near_ as (select clip_id, f, tid tid_a, other tid_b, iou from p where iou >= 0.5)"
+_MATCH = f"{_ONE}, m as ({q.greedy_pairs('near_')})"
+_BACK = f"{_ONE}, flipped as (select clip_id, f, tid_b tid_a, tid_a tid_b, iou from near_), m as ({q.greedy_pairs('flipped')})"
 _GT = "gt as (select clip_id, tid, case when has_a then 'a' else 'b' end as label from layers where (has_a or has_b) and tid % 4 <> 0 qualify row_number() over (partition by clip_id, tid order by f) = 1)"
 
 
-def _matches(spark, d):
+def _best(spark, d):
     m = pr.best_match(relation(spark, d, "obs"), relation(spark, d, "run_b"))
     return m.select("clip_id", "f", F.col("tid").alias("tid_a"), F.col("match").alias("tid_b"))
 
 
+def _matches(spark, d, a="obs", b="run_b"):
+    """One to one in each frame, greatest overlap first."""
+    return gr.greedy_match(relation(spark, d, a), relation(spark, d, b))
+
+
 def _labels(spark, d):
     lay = relation(spark, d, "layers").filter("(has_a or has_b) and tid % 4 <> 0").withColumn("label", F.when(F.col("has_a"), "a").otherwise("b"))
     return lay.groupBy("clip_id", "tid").agg(F.min_by("label", "f").alias("label"))
 
 
-@query("j19_carry_labels", f"{LB}, {_MATCH}, {_GT} select m.clip_id, m.tid_b tid, min(gt.label) as label, count(*) votes from m join gt on gt.clip_id = m.clip_id and gt.tid = m.tid_a group by 1, 2 having count(distinct gt.label) = 1")
+@query("j19_carry_labels", f"{LB}, {_ARGMAX}, {_GT} select m.clip_id, m.tid_b tid, min(gt.label) as label, count(*) votes from m join gt on gt.clip_id = m.clip_id and gt.tid = m.tid_a group by 1, 2 having count(distinct gt.label) = 1")
 def _(spark, d):
-    m = _matches(spark, d).select("clip_id", F.col("tid_b").alias("tid"), F.col("tid_a").alias("match"))
+    m = _best(spark, d).select("clip_id", F.col("tid_b").alias("tid"), F.col("tid_a").alias("match"))
     return cm.carry_labels(m, _labels(spark, d))
 
 
@@ -113,9 +122,10 @@ def _(spark, d):
     return cm.splits(cm.supported_pairs(_matches(spark, d))).withColumn("parts", F.array_join(F.col("parts").cast("array<string>"), ","))
 
 
-@query("a21_merges", f"{B}, {_PAIRS} select clip_id, tid_b, array_to_string(list_sort(list(distinct tid_a)), ',') parts from pairs group by 1, 2 having count(distinct tid_a) > 1")
+@query("a21_merges", f"{B}, {_PAIRS.replace(_MATCH, _BACK)} select clip_id, tid_b, array_to_string(list_sort(list(distinct tid_a)), ',') parts from pairs group by 1, 2 having count(distinct tid_a) > 1")
 def _(spark, d):
-    return cm.merges(cm.supported_pairs(_matches(spark, d))).withColumn("parts", F.array_join(F.col("parts").cast("array<string>"), ","))
+    """Seen from the run whose tracks are cut in two: two of its tracks are one of the other run's."""
+    return cm.merges(cm.supported_pairs(_matches(spark, d, "run_b", "obs"))).withColumn("parts", F.array_join(F.col("parts").cast("array<string>"), ","))
 
 
 @query("a21_orphans", f"{B}, {_PAIRS} select distinct clip_id, tid tid_a from obs where (clip_id, tid) not in (select clip_id, tid_a from pairs where frames >= 43)")
@@ -123,17 +133,23 @@ def _(spark, d):
     return cm.orphans(relation(spark, d, "obs"), cm.supported_pairs(_matches(spark, d), 43))
 
 
-_SWITCH = "sw as (select * from (select clip_id, tid_a, f, lag(tid_b) over (partition by clip_id, tid_a order by f) before, tid_b from m) where before <> tid_b)"
+_SWITCH = "split as (select clip_id, tid_a from pairs group by 1, 2 having count(distinct tid_b) > 1), sw as (select * from (select clip_id, tid_a, f, lag(tid_b) over (partition by clip_id, tid_a order by f) before, tid_b from m where (clip_id, tid_a) in (select clip_id, tid_a from split)) where before <> tid_b)"
+
+
+def _switches(spark, d):
+    """Of split tracks only, but over all their matches."""
+    m = _matches(spark, d)
+    return cm.switches(m, cm.splits(cm.supported_pairs(m)))
 
 
-@query("w12_switches", f"{B}, {_MATCH}, {_SWITCH} select * from sw")
+@query("w12_switches", f"{B}, {_PAIRS}, {_SWITCH} select * from sw")
 def _(spark, d):
-    return cm.switches(_matches(spark, d))
+    return _switches(spark, d)
 
 
-@query("a22_switch_lags", f"{B}, {_MATCH}, {_SWITCH} select lag, count(*) switches from (select f - (select max(b) from (select unnest([24, 43, 62, 81]) b) where b <= f) as lag from sw) group by 1")
+@query("a22_switch_lags", f"{B}, {_PAIRS}, {_SWITCH} select lag, count(*) switches from (select f - (select max(b) from (select unnest([24, 43, 62, 81]) b) where b <= f) as lag from sw) group by 1")
 def _(spark, d):
-    return cm.switch_lags(cm.switches(_matches(spark, d)), cm.boundaries(100, 24, 5))
+    return cm.switch_lags(_switches(spark, d), cm.boundaries(100, 24, 5))
 
 
 @query("j16_unmatched_recent", f"{B}, l as (select *, least(coalesce(lead(f) over (partition by clip_id, tid order by f) - 1, 2147483647), f + 4) until from obs) select clip_id, f, tid from run_b d where not exists (select 1 from l o where o.clip_id = d.clip_id and d.f between o.f and o.until and {q.iou('d.', 'o.')} > 0.9)")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
+from ..operators import masks as mk
 from ..operators import pairs as pr
 from . import sqltext as q
 from .fixtures import ctes, relation
+from .masks import _masks
 from .registry import query
 
 O, L, B = ctes("obs"), ctes("layers"), ctes("run_b", "obs")  # noqa: E741
@@ -17,9 +19,9 @@ _CROSS = f"p as (select a.clip_id, a.f, a.tid, b.tid other, {q.iou('a.', 'b.')}
 
 
 @query("p01_p04_pair_geometry", f"""{O} select a.clip_id, a.f, a.tid, b.tid other, {q.iou('a.', 'b.')} iou, {q.cover('a.', 'b.')} cover, {q.dist('a.', 'b.')} dist, {q.near('a.', 'b.')} near
-  from obs a join obs b on a.clip_id = b.clip_id and a.f = b.f and a.tid < b.tid where b.tid - a.tid <= 16""")
+  from obs a join obs b on a.clip_id = b.clip_id and a.f = b.f and a.tid < b.tid """)
 def _(spark, d):
-    return _pair_geometry(relation(spark, d, "obs")).filter("other - tid <= 16")
+    return _pair_geometry(relation(spark, d, "obs"))
 
 
 @query("p01_p04_pair_geometry_all", f"""{O} select a.clip_id, a.f, a.tid, b.tid other, {q.iou('a.', 'b.')} iou, {q.cover('a.', 'b.')} cover, {q.dist('a.', 'b.')} dist, {q.near('a.', 'b.')} near
@@ -82,12 +84,26 @@ def _(spark, d):
     return pr.duplicate_hosts(obs, evidence, 0.02, 0.5).withColumn("mean_cover", F.round("mean_cover", 6))
 
 
-@query("a26_duplicate_of", f"""{O}, {_SELF}, h as (select clip_id, f, tid, other as host, cover from p where cover >= 0.1 qualify row_number() over (partition by clip_id, f, tid order by cover desc, other) = 1),
-  v as (select clip_id, tid, count(*) n from h group by 1, 2), c as (select clip_id, tid, host, count(*) votes from h group by 1, 2, 3)
-  select clip_id, tid, host dup_of, votes, n as views from c join v using (clip_id, tid) qualify row_number() over (partition by clip_id, tid order by votes desc, host) = 1 and votes * 2 > n""")
+_MASKS = "c as (select clip_id, f, tid, r * 64 + k as cell from obs, range(floor(y1/40)::bigint, ceil(y2/40)::bigint) rr(r), range(floor(x1/40)::bigint, ceil(x2/40)::bigint) cc(k)), mi as (select a.clip_id, a.f, a.tid, b.tid other, count(*) inter from c a join c b using (clip_id, f, cell) where a.tid <> b.tid group by all), ma as (select clip_id, f, tid, count(*) area from c group by all)"
+
+
+@query("a26_duplicate_of", f"""{O}, {_SELF}, {_MASKS}, x as (select p.clip_id, p.f, p.tid, p.other as host, cover, coalesce(inter, 0) / greatest(1, area) frac from p join ma using (clip_id, f, tid) left join mi using (clip_id, f, tid, other)),
+  best as (select * from x qualify row_number() over (partition by clip_id, f, tid order by greatest(frac, cover) desc, host) = 1),
+  l as (select clip_id, tid, host, 'mask' how from best where frac >= 0.25 union all select clip_id, tid, host, 'box' from best where cover >= 0.15),
+  n as (select clip_id, tid, count(*) as n_views from obs group by 1, 2), v as (select clip_id, tid, how, host, count(*) votes from l group by all),
+  m as (select * from v qualify row_number() over (partition by clip_id, tid, how order by votes desc, host) = 1)
+  select clip_id, tid, host dup_of, how, votes, n_views as views from m join n using (clip_id, tid) where votes * 2 > n_views qualify row_number() over (partition by clip_id, tid order by how desc) = 1""")
 def _(spark, d):
-    hosted = pr.hosts(relation(spark, d, "obs"), 0.1)
-    return pr.duplicate_of(hosted, hosted)
+    return _duplicates(spark, d)
+
+
+def _duplicates(spark, d):
+    """Mask and box shares are low, as the fixture's tracks lie beside each other."""
+    masks = _masks(spark, d)
+    sized = relation(spark, d, "obs").join(masks.select("clip_id", "f", "tid", mk.area(F.col("intervals")).alias("area")), ["clip_id", "f", "tid"])
+    rows = mk.exploded(masks, "clip_id", "f", "tid")
+    inter = mk.overlaps(rows, rows.withColumnRenamed("tid", "host"), ["clip_id", "f"], ["tid"], ["host"], where=F.col("tid") != F.col("host"))
+    return pr.duplicate_of(sized, pr.insides(sized, inter), 0.25, 0.15)
 
 
 _COV = "cov as (select clip_id, tid, count(*) seen, sum(a)::bigint frames_a, sum(b)::bigint frames_b, sum(a) / count(*) share_a, sum(b) / count(*) share_b from (select clip_id, tid, f, max(has_a::int) a, max(has_b::int) b from layers group by 1, 2, 3) group by 1, 2)"
@@ -104,9 +120,32 @@ def _(spark, d):
     return pr.verdicts(_coverage(spark, d), "a", "b", 0.65)
 
 
-@query("a12_verdict_rates", f"{L}, {_COV}, {_VER}, s as (select clip_id, count(*) identities, count(*) filter (verdict in ('flicker', 'none')) escapes, count(*) filter (verdict = 'conflict') conflicts, quantile_cont(seen, 0.5) median_seen from ver group by 1) select *, escapes / identities escape_rate, conflicts / identities conflict_rate from s")
+_LB = ctes("layers", "run_b")
+
+
+@query("a12_verdict_rates", f"""{_LB}, {_COV}, {_VER}, t as (select * from layers where has_a), o as (select * from run_b where tid % 3 = 0), hit as (select distinct a.clip_id, a.f, a.tid from t a join o b on a.clip_id = b.clip_id and a.f = b.f where {q.iou('a.', 'b.')} >= 0.5),
+  i as (select clip_id, count(*) identities, count(*) filter (verdict in ('flicker', 'none')) escapes, count(*) filter (verdict = 'conflict') conflicts, quantile_cont(seen, 0.5) median_seen from ver group by 1),
+  n as (select clip_id, count(*) target_obs from t group by 1), c as (select clip_id, count(*) conflict_obs from hit group by 1)
+  select clip_id, coalesce(identities, 0) identities, coalesce(escapes, 0) escapes, coalesce(conflicts, 0) conflicts, median_seen, coalesce(target_obs, 0) target_obs, coalesce(conflict_obs, 0) conflict_obs, escapes / nullif(identities, 0) escape_rate, coalesce(conflict_obs, 0) / nullif(target_obs, 0) conflict_rate from i full join n using (clip_id) left join c using (clip_id)""")
+def _(spark, d):
+    return pr.verdict_rates(pr.verdicts(_coverage(spark, d), "a", "b", 0.65), relation(spark, d, "layers").filter("has_a"), relation(spark, d, "run_b").filter("tid % 3 = 0"))
+
+
+@query("a12_label_summary", f"""{L}, p as (select clip_id, tid, f, 'a' as label from layers where has_a union all select clip_id, tid, f, 'b' from layers where has_b), t as (select clip_id, label, tid, count(*) n, max(f) - min(f) + 1 span from p group by all), nf as (select clip_id, max(f) + 1 n_frames from obs group by 1)
+  select clip_id, label, count(*) tracks, sum(n)::bigint obs, sum(n) / greatest(1, any_value(n_frames)) obs_per_frame, quantile_cont(span, 0.5) median_span from t join nf using (clip_id) group by all""")
+def _(spark, d):
+    lay = relation(spark, d, "layers")
+    of = lambda x: lay.filter(f"has_{x}").select("clip_id", "tid", "f", F.lit(x).alias("label"))
+    return pr.label_summary(of("a").unionByName(of("b")), relation(spark, d, "obs").groupBy("clip_id").agg((F.max("f") + 1).alias("n_frames")))
+
+
+_COVX = "covx as (select clip_id, tid, count(*) seen, sum(a) / count(*) share_a, sum(b) / count(*) share_b, sum(x) / count(*) share_x, sum(y) / count(*) share_y from (select clip_id, tid, f, max(has_a::int) a, max(has_b::int) b, max((eid % 3 > 0)::int) x, max((eid % 2 > 0)::int) y from layers group by 1, 2, 3) group by 1, 2)"
+
+
+@query("a11_explained_escapes", f"""{L}, {_COVX}, {_VER.replace("from cov", "from covx").replace("0.65", "0.6")} select clip_id, tid, verdict, case when verdict in ('flicker', 'none') then nullif(concat_ws(',', case when share_x >= 0.65 then 'x' end, case when share_y >= 0.65 then 'y' end), '') end explained_by from ver""")
 def _(spark, d):
-    return pr.verdict_rates(pr.verdicts(_coverage(spark, d), "a", "b", 0.65))
+    c = pr.label_coverage(relation(spark, d, "layers"), {"a": F.col("has_a"), "b": F.col("has_b"), "x": F.col("eid") % 3 > 0, "y": F.col("eid") % 2 > 0})
+    return pr.explained(pr.verdicts(c, "a", "b", 0.6), ["x", "y"], 0.65).select("clip_id", "tid", "verdict", "explained_by")
 
 
 @query("a13_share_histogram", f"{L}, {_COV} select clip_id, count(*) filter (share_b = 0) zero, count(*) filter (share_b > 0 and share_b < 0.25) q1, count(*) filter (share_b >= 0.25 and share_b < 0.5) q2, count(*) filter (share_b >= 0.5 and share_b < 0.75) q3, count(*) filter (share_b >= 0.75) q4 from cov group by 1")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from ..functions import scalars as sc
 from ..operators import intervals as iv
+from ..operators import pairs as pr
 from ..operators import sequences as seq
 from ..sources import tracks as tr
+from . import sqltext as q
 from .fixtures import ctes, relation
 from .registry import query
 
@@ -104,9 +106,9 @@ def _(spark, d):
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("g08_tiles", f"{O} select distinct clip_id, f, ox::int ox, oy::int oy from obs, (select unnest([0, 400, 800, 860]) ox), (select unnest([0, 360]) oy) where f < 20")
+@query("g08_tiles", f"{O} select distinct clip_id, f, ox::int ox, oy::int oy from obs, (select unnest([0, 400, 800, 860]) ox), (select unnest([0, 360]) oy)")
 def _(spark, d):
-    return tr.tiles(1300, 800, 440, 40, relation(spark, d, "obs").filter("f < 20").select("clip_id", "f").distinct())
+    return tr.tiles(1300, 800, 440, 40, relation(spark, d, "obs").select("clip_id", "f").distinct())
 
 
 @query("g08_tiles_all", f"{O} select distinct clip_id, f, ox::int ox, oy::int oy from obs, (select unnest([0, 400, 800, 860]) ox), (select unnest([0, 360]) oy)")
@@ -149,11 +151,12 @@ def _(spark, d):
     return iv.lookup(obs, intervals, ["clip_id", "tid"], "f", ("first_f", "last_f"), ["first_f"]).select("clip_id", "tid", "f", "identity")
 
 
-@query("l05_canonical_identity", f"{O}, t as (select distinct clip_id, tid from obs), h as (select a.clip_id, a.tid, arg_min(b.tid, b.tid) as host from t a join t b on a.clip_id = b.clip_id and b.tid = a.tid - 8 and a.tid % 3 = 0 group by 1, 2) select clip_id, tid, coalesce(host, 1000000 + tid) identity from t left join h using (clip_id, tid)")
+@query("l05_canonical_identity", f"""{ctes("obs", "run_b")}, o as (select * from run_b), c as (select * from obs where tid % 3 > 0), m as (select a.clip_id, a.f, a.tid, b.tid host from o a join c b on a.clip_id = b.clip_id and a.f = b.f where {q.iou("a.", "b.")} >= 0.5 qualify row_number() over (partition by a.clip_id, a.f, a.tid order by {q.iou("a.", "b.")} desc, b.tid) = 1),
+  h as (select clip_id, tid, host from m group by 1, 2, 3 qualify row_number() over (partition by clip_id, tid order by count(*) desc, host) = 1), l as (select clip_id, max(tid) as last from c group by 1),
+  t as (select distinct clip_id, tid from o) select clip_id, tid, coalesce(host, coalesce(last, 0) + row_number() over (partition by clip_id, host is null order by tid))::bigint identity from t left join h using (clip_id, tid) left join l using (clip_id)""")
 def _(spark, d):
-    t = relation(spark, d, "obs").select("clip_id", "tid").distinct()
-    hosts = t.filter("tid % 3 = 0").join(t.select("clip_id", F.col("tid").alias("host")), "clip_id").filter("host = tid - 8")
-    return t.join(hosts, ["clip_id", "tid"], "left").select("clip_id", "tid", F.coalesce("host", F.lit(1_000_000) + F.col("tid")).alias("identity"))
+    """Two thirds of the tracks are control tracks; the objects are those of another run."""
+    return pr.canonical_identities(relation(spark, d, "run_b"), relation(spark, d, "obs").filter("tid % 3 > 0"))
 
 
 @query("t07_frame_cap", f"{O} select clip_id, tid, f from obs where f < 37")

@@ -38,19 +38,28 @@ def _(spark, d):
     return mk.mask_iou(_masks(spark, d, "obs", "tid_a"), _masks(spark, d, "run_b", "tid_b"), ["clip_id", "f"], ["tid_a"], ["tid_b"])
 
 
-@query("j10_boundary_iou", f"{B}, {_CA}, {_CB}, x as (select * from ca where f between 45 and 54), y as (select * from cb where f between 45 and 54), i as (select a.clip_id, a.tid tid_a, b.tid tid_b, count(*) inter from x a join y b using (clip_id, f, cell) group by all), na as (select clip_id, tid tid_a, count(*) area_a from x group by all), nb as (select clip_id, tid tid_b, count(*) area_b from y group by all) select clip_id, tid_a, tid_b, inter, area_a, area_b, inter / (area_a + area_b - inter) iou from i join na using (clip_id, tid_a) join nb using (clip_id, tid_b)")
-def _(spark, d):
-    near = "f between 45 and 54"
-    return mk.boundary_iou(_masks(spark, d, "obs", "tid_a").filter(near), _masks(spark, d, "run_b", "tid_b").filter(near))
+_BOUNDARY = f"""{B}, {_CA}, {_CB}, n as (select clip_id, max(f) + 1 n from obs group by 1), bd as (select clip_id, k::int boundary, unnest(range((k + 1) * 25, (k + 1) * 25 + 5)) f from n, range(0, 1000) t(k) where (k + 1) * 25 + 5 < n),
+  x as (select * from ca join bd using (clip_id, f)), y as (select * from cb join bd using (clip_id, f)), i as (select a.clip_id, a.boundary, a.tid tid_a, b.tid tid_b, count(*) inter from x a join y b using (clip_id, f, cell) group by all),
+  na as (select clip_id, boundary, tid tid_a, count(*) area_a from x group by all), nb as (select clip_id, boundary, tid tid_b, count(*) area_b from y group by all)
+  select clip_id, boundary, tid_a, tid_b, inter, area_a, area_b, inter / (area_a + area_b - inter) iou from i join na using (clip_id, boundary, tid_a) join nb using (clip_id, boundary, tid_b)"""
 
 
-@query("j10_boundary_iou_all")
-def _(spark, d):
+def _boundary(spark, d):
     """Over every overlap of a schedule of chunks of 30 frames that share 5."""
     at = ch.boundaries(ch.schedule(relation(spark, d, "obs").groupBy("clip_id").agg((F.max("f") + 1).alias("n_frames")), 30, 5))
     return mk.boundary_iou(_masks(spark, d, "obs", "tid_a").join(at, ["clip_id", "f"]), _masks(spark, d, "run_b", "tid_b").join(at, ["clip_id", "f"]), "boundary")
 
 
+@query("j10_boundary_iou", _BOUNDARY)
+def _(spark, d):
+    return _boundary(spark, d)
+
+
+@query("j10_boundary_iou_all", _BOUNDARY)
+def _(spark, d):
+    return _boundary(spark, d)
+
+
 @query("w08_temporal_union", f"{O}, {_CA}, s as (select distinct clip_id, cell, g from ca, range(greatest(0, f - 2), least(99, f + 2) + 1) t(g)) select clip_id, g::int f, count(*) area from s group by 1, 2")
 def _(spark, d):
     return mk.temporal_union(_masks(spark, d), 2, 100)
@@ -61,6 +70,16 @@ def _(spark, d):
     return mk.covered_share(_masks(spark, d), _masks(spark, d, "run_b").filter("tid % 2 = 0"))
 
 
+_VEILED = f"{B}, {_CA}, {_CB}, u as (select distinct clip_id, f, cell, true hit from cb where tid % 2 = 0), p as (select clip_id, f, tid, count(hit) / count(*) share from ca left join u using (clip_id, f, cell) group by 1, 2, 3), w as (select clip_id, tid, avg(case when share >= 0.5 then 1.0 else 0.0 end)::double veiled from p group by 1, 2)"
+
+
+@query("a14_veiled_summary", f"{_VEILED} select clip_id, case when tid % 2 = 0 then 'a' else 'b' end as label, count(*) persons, round(avg(veiled), 9) mean_veiled, count(*) filter (veiled < 0.5) below_half, count(*) filter (veiled >= 0.5) half_or_more, count(*) filter (veiled = 0) never from w group by 1, 2")
+def _(spark, d):
+    shares = mk.covered_share(_masks(spark, d), _masks(spark, d, "run_b").filter("tid % 2 = 0"))
+    labels = relation(spark, d, "obs").select("clip_id", "tid", F.when(F.col("tid") % 2 == 0, "a").otherwise("b").alias("label")).distinct()
+    return mk.veiled_summary(shares, labels).withColumn("mean_veiled", F.round("mean_veiled", 9))
+
+
 @query("r14_union_masks", f"{O}, {_CA}, u as (select distinct clip_id, f, cell from ca), g as (select *, cell - row_number() over (partition by clip_id, f order by cell) g from u) select clip_id, f, min(cell)::int s, (max(cell) + 1)::int e from g group by clip_id, f, g.g")
 def _(spark, d):
     return mk.union(_masks(spark, d), ["clip_id", "f"])

@@ -154,12 +154,12 @@ def _(spark, d):
     return c.select("clip_id", "sid_a", "sid_b", "score", F.row_number().over(Window.partitionBy("clip_id").orderBy(F.desc("score"), F.desc("sid_a"), F.desc("sid_b"))).cast("long").alias("place"))
 
 
-_DIST = "dd as (select clip_id, tid, f, (eid % 60)::double age, (3 + eid % 5)::double sd from obs where f % 10 = 0), g as (select clip_id, tid, f, a, exp(-(a - age) * (a - age) / (2 * sd * sd)) e from dd, range(0, 101) t(a)), p as (select clip_id, tid, f, a, e / sum(e) over (partition by clip_id, tid, f) p from g)"
+_DIST = "dd as (select clip_id, tid, f, (eid % 60)::double age, (3 + eid % 5)::double sd from obs), g as (select clip_id, tid, f, a, exp(-(a - age) * (a - age) / (2 * sd * sd)) e from dd, range(0, 101) t(a)), p as (select clip_id, tid, f, a, e / sum(e) over (partition by clip_id, tid, f) p from g)"
 
 
 @query("p25_p26_age_distribution", f"{O}, {_DIST}, m as (select clip_id, tid, f, sum(p * a) mean, sum(p * a * a) sq from p group by 1, 2, 3) select clip_id, tid, f, round(mean, 6) mean, round(sqrt(greatest(1.0, sq - mean * mean)), 6) std from m")
 def _(spark, d):
-    return _age_distribution(relation(spark, d, "obs").filter("f % 10 = 0"))
+    return _age_distribution(relation(spark, d, "obs"))
 
 
 _STATS = "m as (select clip_id, tid, f, sum(p * a) mean, sum(p * a * a) sq from p group by 1, 2, 3) select clip_id, tid, f, round(mean, 6) mean, round(sqrt(greatest(1.0, sq - mean * mean)), 6) std from m"

@@ -31,3 +31,11 @@ def near(a: str, b: str) -> str:
 
 def lag_box(window: str) -> str:
     return ", ".join(f"lag({c}) over {window} p{c}" for c in ("f", "x1", "y1", "x2", "y2"))
+
+
+def greedy_pairs(source: str, a: str = "tid_a", b: str = "tid_b", by: str = "iou") -> str:
+    """(clip_id, f, tid_a, tid_b, iou): pairs of each frame of `source` taken one to one, best first, ties to the larger ids."""
+    pair = f"{{'tid_a': {a}, 'tid_b': {b}, 'iou': {by}}}"
+    start = "{'a': []::int[], 'b': []::int[], 'kept': []::struct(tid_a int, tid_b int, iou double)[]}"
+    step = "case when list_contains(acc.a, x.tid_a) or list_contains(acc.b, x.tid_b) then acc else {'a': list_append(acc.a, x.tid_a), 'b': list_append(acc.b, x.tid_b), 'kept': list_append(acc.kept, x)} end"
+    return f"select clip_id, f, unnest(kept, recursive := true) from (select clip_id, f, list_reduce(list({pair} order by {by} desc, {a} desc, {b} desc), lambda acc, x: {step}, {start}).kept kept from {source} group by clip_id, f)"

@@ -140,9 +140,9 @@ def _(spark, d):
     return df.withColumn("place", F.row_number().over(Window.partitionBy("clip_id").orderBy("is_dropped", "uncertain", F.desc("n_frames"), "tid")).cast("long"))
 
 
-@query("p23_compatible_classes", f"{V}, {_A05} select a.clip_id, a.tid, b.tid other, (a.label is null or b.label is null or a.label = b.label) compatible from a05 a join a05 b on a.clip_id = b.clip_id and a.tid < b.tid and b.tid - a.tid <= 24")
+@query("p23_compatible_classes", f"{V}, {_A05} select a.clip_id, a.tid, b.tid other, (a.label is null or b.label is null or a.label = b.label) compatible from a05 a join a05 b on a.clip_id = b.clip_id and a.tid < b.tid")
 def _(spark, d):
-    return _compatible_classes(vt.decide(relation(spark, d, "votes"))).filter("other - tid <= 24")
+    return _compatible_classes(vt.decide(relation(spark, d, "votes")))
 
 
 @query("p23_compatible_classes_all", f"{V}, {_A05} select a.clip_id, a.tid, b.tid other, (a.label is null or b.label is null or a.label = b.label) compatible from a05 a join a05 b on a.clip_id = b.clip_id and a.tid < b.tid")
