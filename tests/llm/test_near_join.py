@@ -137,3 +137,24 @@ def test_very_long_text_and_many_repeats_of_one_row(spark):
     long = [f"w{rng.randint(0, 10**6)}" for _ in range(150_000)]
     texts = [" ".join(long), " ".join([*long[:-3], "x", "y"]), *["same five words in here"] * 300]
     compare(spark, [1, 2, *[3] * 300], texts)
+
+
+def test_keep_one_with_null_and_repeated_ids_and_clashing_columns(spark):
+    text = lambda k, change="": " ".join(f"t{k}w{i}" for i in range(100)).replace(f"t{k}w50", change or f"t{k}w50")
+    rows = [(7, text(1)), (3, text(1, "x")), (None, text(1, "y")), (None, text(2)), (None, text(2, "x")), (5, text(3)), (5, text(3)), (5, text(4)), (None, text(5)), (9, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, 1, 2, "a") for i, t in rows], "doc_id long, text string, kept_id int, row_0 int, class_id string")
+    kept = nj.keep_one(spark, docs)
+    assert kept.schema == docs.schema
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert [i for i, t in got if t and "t1w" in t] == [3]
+    assert len([1 for i, t in got if t and "t2w" in t]) == 1 and len([1 for i, t in got if t and "t3w" in t]) == 1
+    assert (5, text(4)) in got and (None, text(5)) in got and [i for i, t in got if not t] == [8]
+    assert len(got) == 6
+
+
+def test_rows_without_ids_are_not_joined_with_each_other(spark):
+    """Ids that are null or the same do not make rows meet: what is read again grows with the rows."""
+    for ids in ([None] * 300, [4] * 300):
+        docs = spark.createDataFrame([(i, " ".join(f"w{k // 2}x{j}" for j in range(60)) + f" end{k}") for k, i in enumerate(ids)], "doc_id long, text string")
+        rows = nj.near_classes(spark, docs, small=2, depth=2).collect()
+        assert len(rows) == 300 and all(r.n_links == 1 for r in rows)

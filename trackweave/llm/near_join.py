@@ -249,7 +249,7 @@ def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, runs: int | None = None, depth: int = DEPTH, small: int = SMALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, n_links, n_copies."""
-    plain = documents(docs, id_col, text_col)
+    plain = documents(docs, id_col, text_col).withColumn("tkey", F.xxhash64("text"))
     seeds = _SEEDS[: runs or runs_for(depth=depth)]
 
     # 1. one pass over the texts; those with equal sets are one, numbered in a written table
@@ -258,11 +258,13 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
             sets = list(shingle_sets(batch.column("text").to_pylist(), k))
             ids = [set_ids(t) for t in sets]
             keys = [chosen(t, seeds, threshold).view(np.int64) for t in sets]
-            columns = [batch.column("doc_id"), *(pa.array([x[j] for x in ids], pa.int64()) for j in (0, 1)), pa.array([len(t) for t in sets], pa.int64()), pa.array([parity_sketch(t).tobytes() if len(t) else b"" for t in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, names=["doc_id", "sid", "sid2", "n", "sketch", "keys"])
+            columns = [batch.column("doc_id"), batch.column("tkey"), *(pa.array([x[j] for x in ids], pa.int64()) for j in (0, 1)), pa.array([len(t) for t in sets], pa.int64()), pa.array([parity_sketch(t).tobytes() if len(t) else b"" for t in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["doc_id", "tkey", "sid", "sid2", "n", "sketch", "keys"])
 
-    rows = written(spark, plain.mapInArrow(first_pass, "doc_id long, sid long, sid2 long, n long, sketch binary, keys array<long>"), "near-rows")
-    sets = rows.groupBy("sid", "sid2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("n", "sketch", "keys")))
+    rows = written(spark, plain.mapInArrow(first_pass, "doc_id long, tkey long, sid long, sid2 long, n long, sketch binary, keys array<long>"), "near-rows")
+    # one row stands for a set; its text's hash beside its id finds it again, also where ids are null or repeated
+    text_of = F.min_by(F.struct("doc_id", "tkey"), F.struct(F.col("doc_id").isNull(), "doc_id", "tkey"))
+    sets = rows.groupBy("sid", "sid2").agg(F.min("doc_id").alias("least"), text_of.alias("text_of"), F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("n", "sketch", "keys")))
     sets = written(spark, sets.withColumn("no", F.monotonically_increasing_id()), "near-sets")
 
     def of_sets(wanted: DataFrame, make: Callable[[int, np.ndarray, dict], list[tuple]], extra: list[str], schema: str) -> DataFrame:
@@ -282,8 +284,8 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
                         out += make(no, tokens, {c: cols[c][i] for c in extra})
                 yield _record(out, names, kinds)
 
-        own = wanted.join(sets.select("no", "least", "sid", "sid2"), "no")
-        return own.join(plain, own["least"].eqNullSafe(plain["doc_id"])).select("no", "sid", "sid2", *extra, "text").mapInArrow(run, schema)
+        own = wanted.join(sets.select("no", "text_of.*", "sid", "sid2").withColumnsRenamed({"doc_id": "of_id", "tkey": "of_text"}), "no")
+        return own.join(plain, own["of_id"].eqNullSafe(plain["doc_id"]) & (own["of_text"] == plain["tkey"])).select("no", "sid", "sid2", *extra, "text").mapInArrow(run, schema)
 
     # 2. buckets, level by level; only those that are too large are split again
     nodes, closed, scratch = sets.select("no", F.explode("keys").alias("bucket")), [], []
@@ -356,14 +358,21 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
     classed = sets.select("no", "sid", "sid2", "least", "copies").join(labels.withColumnRenamed("node", "no"), "no", "left").join(links, "no", "left").select("sid", "sid2", "least", "copies", F.coalesce("label", "no").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     heads = classed.groupBy("label").agg(F.min("least").alias("class_id"))
     per_set = classed.join(heads, "label").select("sid", "sid2", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"))
-    return rows.select("doc_id", "sid", "sid2").join(per_set, ["sid", "sid2"]).select("doc_id", "class_id", "n_links", "n_copies")
+    out = written(spark, rows.select("doc_id", "sid", "sid2").join(per_set, ["sid", "sid2"]).select("doc_id", "class_id", "n_links", "n_copies"), "near-classes")
+    for used in (rows, sets, found, labels):
+        drop(used)
+    return out
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs`, all columns unchanged, whose id is the least of their class; ids are taken to be unique."""
-    classes = near_classes(spark, docs, id_col=id_col, **options)
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of `docs` of each class, all columns unchanged, whatever their names: that with the least id (null ids only where
+    there is no other; of repeated ids one).  The rows are copied once to the shared folder, numbered."""
+    number = next(x for x in (f"row_{k}" for k in range(len(docs.columns) + 1)) if x.lower() not in {c.lower() for c in docs.columns})
+    numbered = written(spark, docs.withColumn(number, F.monotonically_increasing_id()), "near-numbered")
+    classes = near_classes(spark, numbered, id_col=number, **options).select(F.col("doc_id").alias("no"), "class_id")
+    ids = numbered.select(F.col(number).alias("no"), F.col(id_col).cast("long").alias("id"))
+    kept = classes.join(ids, "no").groupBy("class_id").agg(F.min_by("no", F.struct(F.col("id").isNull(), "id", "no")).alias("kept"))
+    return numbered.join(kept, numbered[number] == kept["kept"], "left_semi").drop(number)
 
 
 def _record(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
@@ -386,7 +395,9 @@ def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
         now = new
         if new.filter("old <> label").isEmpty():
             drop(both)
-            return new.select("node", "label")
+            out = new.select("node", "label")
+            out.scratch_path = new.scratch_path
+            return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
