@@ -8,7 +8,7 @@ Scale
 * One shuffle of the text.  The sampled splitter keys are 48 characters, a 64-bit hash and a salt, so what the
   driver receives while sampling is bounded whatever the texts' length.
 * All rows go through the same sort.  A text held by more than `group_rows` rows (more, if over 65,536 times that many
-  rows are given) is salted by id, so that ranges may cut its rows into several runs and no task gets them all.
+  rows are given) is salted by its rows' places, so that ranges may cut its rows into several runs and no task gets them all.
   There are at most 65,536 such texts; each of their runs gives its largest id and its length, these are added up by
   full text, and come back to the rows as a table of at most 65,536 rows of fixed width.
 
@@ -40,7 +40,7 @@ def _runs(rows: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("h", F.xxhash64("norm"))
     least = max(group_rows, rows.count() // MOST_HOT)
     hot = rows.groupBy("h").count().filter(F.col("count") > least).select("h", F.ceil(F.col("count") / least).alias("salts"))
-    rows = rows.join(F.broadcast(hot), "h", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("key"), "salts"), F.lit(0)))
+    rows = rows.join(F.broadcast(hot), "h", "left").withColumn("salt", F.coalesce(F.pmod(F.monotonically_increasing_id(), "salts"), F.lit(0)))
     by_text = ["prefix", "h", "salt", "salts", "norm"]
     latest = F.col("key").desc_nulls_last()
     run = Window.partitionBy(*by_text).orderBy(latest)
