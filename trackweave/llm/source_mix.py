@@ -53,7 +53,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int =
     own = [F.struct(*docs.columns).alias("row")] if carry else []
     rows = docs.select(*own, F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text_col).alias("tie"))
     salts = max(SALTS, -(-docs.count() // SALT_ROWS))
-    salt = F.coalesce(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long") % salts, F.lit(0))
+    salt = F.coalesce(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long") % salts, F.pmod("tie", F.lit(salts)), F.lit(0))
     rows = rows.withColumn("name", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn("salt", salt)
     counts = rows.groupBy("name", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
