@@ -242,7 +242,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_la
     packed = written(docs.sparkSession, plain.mapInArrow(pack, "doc_id long, x binary").join(known, "doc_id", "left"), "quality-features")
     labelled = packed.filter("y is not null")
     chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    found = labelled.join(F.broadcast(chosen), "doc_id").toArrow()  # at most max_labelled ids
+    one = labelled.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("x", "y")).alias("v"))  # of repeated ids one row
+    found = one.select("doc_id", "v.*").toArrow()  # at most max_labelled rows
     ids = found["doc_id"].to_pylist()
     order = np.lexsort((np.array(ids, np.int64), np.array([zlib.crc32(str(x).encode()) for x in ids], np.int64)))
     y, x = np.array(found["y"].to_pylist(), float)[order], tuple(v[order] for v in _unpacked(found["x"]))
