@@ -161,11 +161,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, radius: int = RADIUS,
     rows = written(spark, fingerprints(docs, k, id_col, text_col), "simhash-rows")
     nodes = written(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     found = links(nodes, radius, small)
-    labels = connected(spark, found).withColumnRenamed("node", "fp")
+    groups = connected(spark, found)
+    labels = groups.withColumnRenamed("node", "fp")
     heads = labels.join(nodes, "fp").groupBy("label").agg(F.min("least").alias("head"))
     linked = labels.join(heads, "label").select("fp", "head")
     each = written(spark, nodes.join(linked, "fp", "left").select("fp", F.coalesce("head", "least").alias("component_id")), "simhash-components")
-    for used in (found, nodes):
+    for used in (found, nodes, groups):
         drop(used)
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(each, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
