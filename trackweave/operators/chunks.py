@@ -47,3 +47,9 @@ def local_frames(frames: DataFrame, start: int) -> DataFrame:
 def strided(f: Column, stride: int) -> Column:
     """The nearest processed frame at or before f."""
     return (F.floor(f / stride) * stride).cast("int")
+
+
+def mask_segments(masks: DataFrame, fps: float, seconds: float = 60.0) -> DataFrame:
+    """The files that a clip's masks are written to, one for each stretch of `seconds`: clip_id, segment, from_f, to_f, frames."""
+    segment = F.floor(F.col("f") / F.lit(round(fps * seconds))).cast("long")
+    return masks.groupBy("clip_id", segment.alias("segment")).agg(F.min("f").alias("from_f"), F.max("f").alias("to_f"), F.count_distinct("f").alias("frames"))

@@ -69,15 +69,51 @@ def union_area(masks: DataFrame, keys: list[str]) -> DataFrame:
     return union(masks, keys).groupBy(*keys).agg(F.sum(F.col("e") - F.col("s")).cast("long").alias("area"))
 
 
-def overlaps(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], width: int = 64, where: Column | None = None) -> DataFrame:
-    """Shared cells of every meeting pair of masks; both sides are rows (keys, ids, s, e) of disjoint intervals.  `where` says
-    which pairs of ids may meet."""
+def meets(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], width: int = 64, where: Column | None = None) -> DataFrame:
+    """What every two intervals share, once: (keys, ids, s, e); both sides are rows (keys, ids, s, e) of disjoint intervals.
+    `where` says which pairs of ids may meet."""
     deal = lambda df, s, e: df.withColumn("_b", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor((F.col(e) - 1) / width))))
     left = deal(a.withColumnsRenamed({"s": "as", "e": "ae"}), "as", "ae")
     right = deal(b.withColumnsRenamed({"s": "bs", "e": "be"}), "bs", "be")
     met = left.join(right, [*keys, "_b"]).filter((F.col("as") < F.col("be")) & (F.col("bs") < F.col("ae")) & (F.col("_b") == F.floor(F.greatest("as", "bs") / width)))
     met = met if where is None else met.filter(where)
-    return met.groupBy(*keys, *a_ids, *b_ids).agg(F.sum(F.least("ae", "be") - F.greatest("as", "bs")).cast("long").alias("inter"))
+    return met.select(*keys, *a_ids, *b_ids, F.greatest("as", "bs").alias("s"), F.least("ae", "be").alias("e"))
+
+
+def overlaps(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], width: int = 64, where: Column | None = None) -> DataFrame:
+    """Shared cells of every meeting pair of masks; arguments as in `meets`."""
+    return meets(a, b, keys, a_ids, b_ids, width, where).groupBy(*keys, *a_ids, *b_ids).agg(F.sum(F.col("e") - F.col("s")).cast("long").alias("inter"))
+
+
+def intersections(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], where: Column | None = None) -> DataFrame:
+    """The mask that every meeting pair of masks shares: (keys, ids, intervals).  a and b: keys, ids, intervals."""
+    rows = meets(exploded(a, *keys, *a_ids), exploded(b, *keys, *b_ids), keys, a_ids, b_ids, where=where)
+    return rows.groupBy(*keys, *a_ids, *b_ids).agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("intervals"))
+
+
+def holds(intervals: Column, cell: Column) -> Column:
+    """Whether a mask holds a cell."""
+    return F.exists(intervals, lambda x: (x["s"] <= cell) & (cell < x["e"]))
+
+
+def accepted_parts(parts: DataFrame, masks: DataFrame, cell: float, columns: int, least_height: float = 24.0, least_score: float = 0.6) -> DataFrame:
+    """Detected parts (faces, say) that belong to a track: the centre lies in the track's mask, the part is high and sure enough; of
+    a track's parts in a frame the best, of equal ones the leftmost.  parts: clip_id, f, tid, box, score; masks: clip_id, f,
+    tid, intervals over a grid of `columns` cells of `cell` pixels.  Returns the part's row."""
+    cx, cy = geo.center(geo.box())
+    inside = (F.floor(F.floor(cy) / cell) * columns + F.floor(F.floor(cx) / cell)).cast("int")
+    sure = parts.filter((geo.height(geo.box()) >= least_height) & (F.col("score") >= least_score)).withColumn("_cell", F.when((cx >= 0) & (cy >= 0) & (cx < columns * cell), inside))
+    met = sure.join(masks.select("clip_id", "f", "tid", "intervals"), ["clip_id", "f", "tid"]).filter(holds(F.col("intervals"), F.col("_cell")))
+    row = F.struct("x1", "y1", "x2", "y2", "score")
+    best = met.groupBy("clip_id", "f", "tid").agg(F.max_by(row, F.struct("score", (-F.col("x1")).alias("l"), (-F.col("y1")).alias("t"))).alias("p"))
+    return best.select("clip_id", "f", "tid", "p.*")
+
+
+def union_size(intervals: Column) -> Column:
+    """Cells that a list of intervals, in any order and overlapping, covers."""
+    start = F.struct(F.lit(-1).cast("long").alias("reach"), F.lit(0).cast("long").alias("total"))
+    step = lambda acc, x: F.struct(F.greatest(acc["reach"], x["e"].cast("long")).alias("reach"), (acc["total"] + F.greatest(F.lit(0), x["e"] - F.greatest(acc["reach"], x["s"].cast("long")))).alias("total"))
+    return F.aggregate(F.array_sort(intervals), start, step, lambda acc: acc["total"])
 
 
 def mask_iou(a: DataFrame, b: DataFrame, keys: list[str], a_ids: list[str], b_ids: list[str], where: Column | None = None) -> DataFrame:

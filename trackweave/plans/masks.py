@@ -116,3 +116,24 @@ def _(spark, d):
     return back.select("clip_id", "f", "tid", mk.area(mk.from_runs(F.col("counts"))).alias("area"))
 
 
+@query("p06_mask_intersect", f"{B}, {_CA}, {_CB}, i as (select a.clip_id, a.f, a.tid tid_a, b.tid tid_b, cell from ca a join cb b using (clip_id, f, cell)), g as (select *, cell - row_number() over (partition by clip_id, f, tid_a, tid_b order by cell) g from i) select clip_id, f, tid_a, tid_b, min(cell)::int s, (max(cell) + 1)::int e from g group by clip_id, f, tid_a, tid_b, g.g")
+def _(spark, d):
+    both = mk.intersections(_masks(spark, d, "obs", "tid_a"), _masks(spark, d, "run_b", "tid_b"), ["clip_id", "f"], ["tid_a"], ["tid_b"])
+    return mk.exploded(both, "clip_id", "f", "tid_a", "tid_b")
+
+
+_PARTS = "parts as (select clip_id, f, tid, x1 + k * 30 x1, y1 + (eid % 4) * 40 y1, x1 + k * 30 + 20 x2, y1 + (eid % 4) * 40 + 15 + eid % 20 y2, (40 + (eid * (k + 1)) % 60) / 100.0::double score from obs, range(0, 3) t(k))"
+
+
+@query("p06_accepted_parts", f"{O}, {_CA}, {_PARTS}, ok as (select p.* from parts p join ca c on c.clip_id = p.clip_id and c.f = p.f and c.tid = p.tid and c.cell = floor(floor((y1 + y2) / 2) / 40)::bigint * 64 + floor(floor((x1 + x2) / 2) / 40)::bigint where y2 - y1 >= 24 and score >= 0.6 and x1 + x2 >= 0 and x1 + x2 < 2 * 64 * 40) select * from ok qualify row_number() over (partition by clip_id, f, tid order by score desc, x1, y1) = 1")
+def _(spark, d):
+    """Three parts a box, some of them beside it."""
+    o = relation(spark, d, "obs").withColumn("k", F.explode(F.array(*map(F.lit, range(3)))))
+    top, left = F.col("y1") + (F.col("eid") % 4) * 40, F.col("x1") + F.col("k") * 30
+    parts = o.select("clip_id", "f", "tid", left.alias("x1"), top.alias("y1"), (left + 20).alias("x2"), (top + 15 + F.col("eid") % 20).alias("y2"), ((40 + (F.col("eid") * (F.col("k") + 1)) % 60) / F.lit(100.0)).alias("score"))
+    return mk.accepted_parts(parts, _masks(spark, d), CELL, COLUMNS)
+
+
+@query("m07_mask_segments", f"{O} select clip_id, f // 50 segment, min(f) from_f, max(f) to_f, count(distinct f) frames from obs group by 1, 2")
+def _(spark, d):
+    return ch.mask_segments(relation(spark, d, "obs"), 25.0, 2.0)

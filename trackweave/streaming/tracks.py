@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import masks as mk
+
 OBS = "clip_id int, tid int, f int, ts timestamp, score double"
 
 
@@ -108,3 +110,47 @@ def locked_profiles(attrs: DataFrame, lock_evidence: float = 8.0, lock_share: fl
         yield pd.DataFrame([(*key, alpha, beta, side)], columns=["clip_id", "tid", "alpha", "beta", "side"])
 
     return attrs.groupBy("clip_id", "tid").applyInPandasWithState(step, PROFILE, "alpha double, beta double, side int", "update", GroupStateTimeout.NoTimeout)
+
+
+WINDOWS = "clip_id int, tid int, wins array<int>, fs array<int>, qualities array<double>"
+
+
+def kept_windows(views: DataFrame, min_gap: int = 5, keep: int = 20) -> DataFrame:
+    """The best view of each window of min_gap frames, of a stream, with at most `keep` windows of a track as its state: a
+    new window drives out the worst one if it is better; a view replaces its window's if it is better.  Each micro-batch
+    gives the state of the tracks it touched.  views: clip_id, tid, f, quality.
+
+    What stays equals `sequences.best_windows` of the whole track, unless a window that was driven out, or not let in, would later
+    have got a view good enough to stay: that view then begins the window anew, and its earlier frames are forgotten."""
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        wins = {w: (q, f) for w, f, q in zip(*state.get, strict=True)} if state.exists else {}
+        rows = pd.concat(list(batches)).sort_values("f", kind="stable")
+        for f, q in zip(rows["f"].tolist(), rows["quality"].tolist(), strict=True):
+            w = f // min_gap
+            if w in wins:
+                if q > wins[w][0]:
+                    wins[w] = (q, f)
+            elif len(wins) < keep or q > min(wins.values())[0]:
+                wins[w] = (q, f)
+                if len(wins) > keep:
+                    del wins[min(wins, key=lambda k: (wins[k][0], -wins[k][1]))]
+        columns = [list(c) for c in zip(*((w, f, q) for w, (q, f) in sorted(wins.items())), strict=True)]
+        state.update(tuple(columns))
+        yield pd.DataFrame({"clip_id": [key[0]], "tid": [key[1]], "wins": [columns[0]], "fs": [columns[1]], "qualities": [columns[2]]})
+
+    return views.groupBy("clip_id", "tid").applyInPandasWithState(step, WINDOWS, "wins array<int>, fs array<int>, qualities array<double>", "update", GroupStateTimeout.NoTimeout)
+
+
+def look_ahead_union(masks: DataFrame, reach: int, frame_ms: int = 40) -> DataFrame:
+    """Per clip and frame how many cells the masks at most `reach` frames away cover: clip_id, f, area.  masks: clip_id, f, intervals.
+
+    A stream gives a frame once nothing before frame f + reach can come any more: every mask is sent to the frames it
+    reaches, whose time is f * frame_ms, and the watermark follows the latest frame by twice the reach.  Rows that come later
+    than that are late.  The state holds the masks of at most 2 * reach + 1 frames."""
+    target = F.explode(F.sequence(F.greatest(F.lit(0), F.col("f") - reach), F.col("f") + reach))
+    sent = masks.select("clip_id", "intervals", target.alias("g")).withColumn("at", F.timestamp_millis(F.col("g").cast("long") * frame_ms))
+    if masks.isStreaming:
+        sent = sent.withWatermark("at", f"{(2 * reach + 1) * frame_ms} milliseconds")
+    frames = sent.groupBy("clip_id", F.window("at", f"{frame_ms} milliseconds").alias("w")).agg(F.flatten(F.collect_list("intervals")).alias("every"))
+    return frames.select("clip_id", (F.unix_millis("w.start") / frame_ms).cast("int").alias("f"), mk.union_size(F.col("every")).alias("area"))
