@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..operators import chunks as ch
 from ..operators import masks as mk
+from ..session import shared_folder
+from ..sources import bundle
 from .fixtures import ctes, relation
 from .registry import query
 
@@ -137,3 +141,11 @@ def _(spark, d):
 @query("m07_mask_segments", f"{O} select clip_id, f // 50 segment, min(f) from_f, max(f) to_f, count(distinct f) frames from obs group by 1, 2")
 def _(spark, d):
     return ch.mask_segments(relation(spark, d, "obs"), 25.0, 2.0)
+
+
+@query("s23_bundle_files", f"{O}, {_CA} select clip_id, f, tid, count(*) area from ca group by 1, 2, 3")
+def _(spark, d):
+    """The same through files: written as a bundle of two seconds a file, and read again."""
+    path = f"{shared_folder(spark)}/bundle-{uuid.uuid4().hex}"
+    bundle.write_bundle(_masks(spark, d).select("clip_id", "f", "tid", mk.to_runs(F.col("intervals"), CELLS).alias("counts")), path, seconds=2.0)
+    return bundle.read_bundle(spark, path).select("clip_id", "f", "tid", mk.area(mk.from_runs(F.col("counts"))).alias("area"))

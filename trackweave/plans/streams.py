@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+from ..streaming import pieces as pc
 from ..streaming import tracks as st
 from .fixtures import ctes, relation
+from .identity import OVERLAP, STEP, chunked_masks
+from .masks import CELLS, _masks
 from .registry import query
 
 O = ctes("obs")  # noqa: E741
@@ -35,3 +41,32 @@ _LIVES = "l as (select *, coalesce(f - lag(f) over (partition by clip_id, tid or
 @query("st1_lost_tracks", f"{O}, {_LIVES} select clip_id, tid, min(f) first_f, max(f) last_f, count(*) n from s group by clip_id, tid, life")
 def _(spark, d):
     return st.lost_tracks(relation(spark, d, "obs"), 6)
+
+
+def drained(stream, schema: str | None = None, mode: str = "append"):
+    """What a stream gives of all that is there now: run to its end, each micro-batch into a table, with its number as `batch`."""
+    spark = stream.sparkSession
+    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    keep = lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{path}/rows")
+    stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.withColumn("batch", F.lit(0).cast("long")).schema).parquet(f"{path}/rows")
+
+
+def replayed(spark, df, files: int = 8):
+    """A table as a stream of files, a few at a time, that come in order of `order`."""
+    path = f"{shared_folder(spark)}/input-{uuid.uuid4().hex}"
+    df.repartitionByRange(files, "order").drop("order").write.parquet(path)
+    return spark.readStream.schema(df.drop("order").schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+@query("st8_append_stitch")
+def _(spark, d):
+    """Pieces in order of their number; the same ids as j11_m05_stitch."""
+    pieces = pc.as_pieces(chunked_masks(spark, d), STEP, OVERLAP, CELLS)
+    return drained(pc.stitch_pieces(replayed(spark, pieces.withColumn("order", F.col("chunk"))))).drop("batch")
+
+
+@query("st5_look_ahead_union", f"{O}, ca as (select clip_id, f, r * 64 + c as cell from obs, range(floor(y1/40)::bigint, ceil(y2/40)::bigint) rr(r), range(floor(x1/40)::bigint, ceil(x2/40)::bigint) cc(c)), s as (select distinct clip_id, cell, g from ca, range(greatest(0, f - 2), f + 3) t(g)) select clip_id, g::int f, count(*) area from s group by 1, 2")
+def _(spark, d):
+    """The batch side: w08's rule without an end of the clip, as a stream does not know it."""
+    return st.look_ahead_union(_masks(spark, d), 2)

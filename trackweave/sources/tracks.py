@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -104,6 +105,39 @@ def manifest_from_names(names: DataFrame) -> DataFrame:
     return df.filter("age is not null and label in (0, 1)")
 
 
+def manifest_from_folds(rows: DataFrame, files: DataFrame, groups: dict[str, tuple[int, int]], labels: dict[str, int], patterns: list[str]) -> DataFrame:
+    """Rows of fold files (tab-separated, read with their header; all text): `age` is one of `groups` or a number, `label` one of
+    `labels`.  A row's path is the first of `patterns`, filled with its columns, that is among `files` (path); rows without a
+    path, and rows that say neither a label nor an age, are dropped.  path, age, age_lo, age_hi, label; nulls for what is unknown."""
+    fill = lambda pattern: F.concat(*[F.col(x[1:-1]) if x.startswith("{") else F.lit(x) for x in re.split(r"(\{\w+\})", pattern) if x])
+    lookup = lambda pairs, key: F.try_element_at(F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv]), key)
+    exact = F.col("age").try_cast("int")
+    low, high = (F.coalesce(lookup({k: v[j] for k, v in groups.items()}, F.col("age")), exact) for j in (0, 1))
+    named = rows.withColumn("row", F.monotonically_increasing_id()).select("row", low.alias("age_lo"), high.alias("age_hi"), lookup(labels, F.col("label")).alias("label"), F.posexplode(F.array(*map(fill, patterns))).alias("at", "path"))
+    found = named.join(files.select("path").distinct(), "path", "left_semi").filter("age_lo is not null or label is not null")
+    best = found.groupBy("row").agg(F.min_by(F.struct("path", "age_lo", "age_hi", "label"), "at").alias("b"))
+    return best.select("b.path", F.lit(None).cast("int").alias("age"), "b.age_lo", "b.age_hi", "b.label")
+
+
+def manifest_from_attributes(lines: DataFrame, files: DataFrame, attribute: str, folder: str) -> DataFrame:
+    """A list of attributes: line 0 is a count, line 1 the names, every other line a file and 1 or -1 for each name.  The label is 0
+    where the attribute is 1, else 1; short lines and files that are not there are dropped.  lines: line, value."""
+    names = (lines.filter("line = 1").select("value").first() or [""])[0].split()
+    if attribute not in names:
+        raise ValueError(f"no attribute {attribute}")
+    p = F.split(F.trim("value"), r"\s+")
+    rows = lines.filter(F.col("line") > 1).filter(F.size(p) > names.index(attribute) + 1)
+    rows = rows.select(F.concat(F.lit(f"{folder}/"), F.get(p, F.lit(0))).alias("path"), F.when(F.get(p, F.lit(names.index(attribute) + 1)) == "1", 0).otherwise(1).alias("label"))
+    unknown = [F.lit(None).cast("int").alias(c) for c in ("age", "age_lo", "age_hi")]
+    return rows.join(files.select("path").distinct(), "path", "left_semi").select("path", *unknown, "label")
+
+
+def all_manifests(spark: SparkSession, folder: str, own: str = "all.csv") -> DataFrame:
+    """The lines (value) of all CSV files of a folder but that which they are put together in."""
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return spark.read.text(f"{folder}/*.csv").filter(name != own).select("value")
+
+
 def age_group(age: Column, edges: tuple[int, ...] = (13, 20, 30, 45, 65)) -> Column:
     """Name of the group an age lies in: `-12`, `13-19`, ..., `65-`."""
     lows, highs = ("", *map(str, edges)), (*(str(e - 1) for e in edges), "")
