@@ -42,7 +42,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, drop, table, written
@@ -249,6 +249,11 @@ def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, runs: int | None = None, depth: int = DEPTH, small: int = SMALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, n_links, n_copies."""
+    return _classed(spark, docs, threshold, k, runs, depth, small, block, id_col, text_col).drop("tkey", "label")
+
+
+def _classed(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, runs: int | None = None, depth: int = DEPTH, small: int = SMALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As `near_classes`, with the hash of the text as `tkey` and a number of the class as `label`."""
     plain = documents(docs, id_col, text_col).withColumn("tkey", F.xxhash64("text"))
     seeds = _SEEDS[: runs or runs_for(depth=depth)]
 
@@ -357,22 +362,27 @@ def near_classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
     links = found.groupBy("no").agg(F.sum("links").alias("n_links"))
     classed = sets.select("no", "sid", "sid2", "least", "copies").join(labels.withColumnRenamed("node", "no"), "no", "left").join(links, "no", "left").select("sid", "sid2", "least", "copies", F.coalesce("label", "no").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     heads = classed.groupBy("label").agg(F.min("least").alias("class_id"))
-    per_set = classed.join(heads, "label").select("sid", "sid2", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"))
-    out = written(spark, rows.select("doc_id", "sid", "sid2").join(per_set, ["sid", "sid2"]).select("doc_id", "class_id", "n_links", "n_copies"), "near-classes")
+    per_set = classed.join(heads, "label").select("sid", "sid2", "label", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"))
+    out = written(spark, rows.select("doc_id", "tkey", "sid", "sid2").join(per_set, ["sid", "sid2"]).select("doc_id", "tkey", "label", "class_id", "n_links", "n_copies"), "near-classes")
     for used in (rows, sets, found, labels):
         drop(used)
     return out
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of `docs` of each class, all columns unchanged, whatever their names: that with the least id (null ids only where
-    there is no other; of repeated ids one).  The rows are copied once to the shared folder, numbered."""
-    number = next(x for x in (f"row_{k}" for k in range(len(docs.columns) + 1)) if x.lower() not in {c.lower() for c in docs.columns})
-    numbered = written(spark, docs.withColumn(number, F.monotonically_increasing_id()), "near-numbered")
-    classes = near_classes(spark, numbered, id_col=number, **options).select(F.col("doc_id").alias("no"), "class_id")
-    ids = numbered.select(F.col(number).alias("no"), F.col(id_col).cast("long").alias("id"))
-    kept = classes.join(ids, "no").groupBy("class_id").agg(F.min_by("no", F.struct(F.col("id").isNull(), "id", "no")).alias("kept"))
-    return numbered.join(kept, numbered[number] == kept["kept"], "left_semi").drop(number)
+    there is no other; of rows that repeat an id the one whose text has the least hash; of rows that repeat both, one).
+    Rows are told apart by id and text, as `near_classes` does; where some repeat both, one more shuffle takes them out."""
+    rows = _classed(spark, docs, id_col=id_col, text_col=text_col, **options)
+    row = F.struct("doc_id", "tkey")
+    kept = rows.groupBy("label").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("r"))
+    kept = kept.select(F.col("r.doc_id").alias("kept_of_id"), F.col("r.tkey").alias("kept_of_text"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tkey"))
+    stays = whole.join(kept, whole["id"].eqNullSafe(kept["kept_of_id"]) & (whole["tkey"] == kept["kept_of_text"]), "left_semi")
+    if not rows.groupBy("doc_id", "tkey").count().filter("count > 1").isEmpty():
+        first = Window.partitionBy("id", "tkey").orderBy(F.xxhash64("row"))
+        stays = stays.withColumn("place", F.row_number().over(first)).filter("place = 1")
+    return stays.select("row.*")
 
 
 def _record(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
