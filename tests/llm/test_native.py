@@ -55,6 +55,16 @@ def test_hot_text_is_cut_into_runs(spark):
     assert sorted(r.doc_id for r in exact_dedup.keep_largest(df, group_rows=200).collect()) == [2999, 5001]
 
 
+def test_hot_text_without_ids_is_cut_into_runs(spark):
+    rows = [(None, "Hot" if k % 3 else "hot") for k in range(3000)] + [(7, "cold")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = exact_dedup.exact_dedup(df, group_rows=200)
+    assert [(r.keep_id, r.group_size) for r in got.filter("kept").orderBy("group_size").collect()] == [(7, 1), (None, 3000)]
+    assert got.count() == 3001 and sorted(str(r.doc_id) for r in exact_dedup.keep_largest(df, group_rows=200).collect()) == ["7", "None"]
+    runs, _ = exact_dedup._runs(df.select(df.doc_id.alias("key"), exact_dedup.normalise(df.text).alias("norm")), 200)
+    assert runs.filter("salts is not null").groupBy("salt").count().agg({"count": "max"}).first()[0] < 400
+
+
 # source mix
 
 
