@@ -15,6 +15,10 @@ from trackweave.llm import bpe, exact_dedup, near_join, quality, source_mix
 from trackweave.llm.common import table, written
 
 
+#: Bytes of encoded pieces that a worker remembers: less than the operator's own default, as workers stay from stage to stage.
+KEEP = 20_000_000
+
+
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained quality classifier rejects go."""
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -37,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the bytes they decode to, and the ids."""
-    return bpe.encode_documents(docs, public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN, keep_ids=True)
+    return bpe.encode_documents(docs, public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN, keep_ids=True, keep=KEEP)
 
 
 STAGES = [

@@ -96,7 +96,8 @@ def _cut(text: str) -> list[str]:
 class Codec:
     """Encoder and decoder over one rank file; one DuckDB with one thread."""
 
-    def __init__(self, vocabulary: bytes, pattern: str):
+    def __init__(self, vocabulary: bytes, pattern: str, keep: int = KEEP):
+        self.keep = keep
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
         self.pattern = regex.compile(pattern)
         self.bytes_ = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
@@ -193,7 +194,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        if self.size > KEEP:
+        if self.size > self.keep:
             self.before, self.packed, self.size = self.packed, ({}, {}), 0
         cut = [_cut(t) for t in texts]
         needed: tuple[set[str], set[str]] = ({c[0] for c in cut}, set())
@@ -230,11 +231,11 @@ class Codec:
 _CODECS: dict[bytes, Codec] = {}
 
 
-def codec(vocabulary: bytes, pattern: str) -> Codec:
+def codec(vocabulary: bytes, pattern: str, keep: int = KEEP) -> Codec:
     """The worker's codec for this vocabulary, kept between batches and tasks."""
-    key = hashlib.sha256(vocabulary + pattern.encode()).digest()
+    key = hashlib.sha256(vocabulary + pattern.encode() + b"%d" % keep).digest()
     if key not in _CODECS:
-        _CODECS[key] = Codec(vocabulary, pattern)
+        _CODECS[key] = Codec(vocabulary, pattern, keep)
     return _CODECS[key]
 
 
@@ -250,13 +251,14 @@ def _slices(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]
         yield at, len(texts)
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and the ids themselves if `keep_ids`."""
+def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, keep: int = KEEP) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and the ids themselves if `keep_ids`; a worker remembers pieces
+    of about twice `keep` bytes."""
     with open(vocabulary_path, "rb") as f:
         vocabulary = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(vocabulary, pattern)
+        own = codec(vocabulary, pattern, keep)
         for batch in (whole.slice(at, 2048) for whole in batches for at in range(0, whole.num_rows, 2048)):
             texts = batch.column("text").to_pylist()
             for a, b in _slices(texts):

@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, drop, table, written
+from .common import documents, drop, give_back, table, written
 from .words import BASES, SLICE, hash_words, mix, slices, windows
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -265,6 +265,7 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
             keys = [chosen(t, seeds, threshold).view(np.int64) for t in sets]
             columns = [batch.column("doc_id"), batch.column("tkey"), *(pa.array([x[j] for x in ids], pa.int64()) for j in (0, 1)), pa.array([len(t) for t in sets], pa.int64()), pa.array([parity_sketch(t).tobytes() if len(t) else b"" for t in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.record_batch(columns, names=["doc_id", "tkey", "sid", "sid2", "n", "sketch", "keys"])
+        give_back()
 
     rows = written(spark, plain.mapInArrow(first_pass, "doc_id long, tkey long, sid long, sid2 long, n long, sketch binary, keys array<long>"), "near-rows")
     # one row stands for a set; its text's hash beside its id finds it again, also where ids are null or repeated
@@ -288,6 +289,7 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
                         seen.add(no)
                         out += make(no, tokens, {c: cols[c][i] for c in extra})
                 yield _record(out, names, kinds)
+            give_back()
 
         own = wanted.join(sets.select("no", "text_of.*", "sid", "sid2").withColumnsRenamed({"doc_id": "of_id", "tkey": "of_text"}), "no")
         return own.join(plain, own["of_id"].eqNullSafe(plain["doc_id"]) & (own["of_text"] == plain["tkey"])).select("no", "sid", "sid2", *extra, "text").mapInArrow(run, schema)
@@ -330,6 +332,7 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
                 take += group["rows"][np.union1d(i, j)].tolist()
             if take:
                 yield from t.take(pa.array(take)).combine_chunks().to_batches()
+        give_back()
 
     by_group = lambda df: df.repartition("group").sortWithinPartitions("group")
     wanted = written(spark, by_group(grouped).mapInArrow(filtered, grouped.schema), "near-wanted")
@@ -352,6 +355,7 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
                     label = _components(len(no), i, j)
                     out += [(int(no[x]), int(no[label[x]]), int(degree[x])) for x in np.flatnonzero(degree)]
             yield _record(out, ["no", "hub", "links"], [pa.int64()] * 3)
+        give_back()
 
     found = written(spark, full.mapInArrow(linked, "no long, hub long, links long"), "near-links")
     for used in (*scratch, known, wanted):
