@@ -104,8 +104,7 @@ def distribution_stats(p: Column) -> Column:
 def gaussian_target(age: Column, std: Column) -> Column:
     """Normalised weights over ages 0..100."""
     w = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda a: F.exp(-(a - age) * (a - age) / (2 * std * std)))
-    total = F.aggregate(w, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(w, lambda x: x / total)
+    return F.aggregate(w, F.lit(0.0), lambda s, x: s + x, lambda total: F.transform(w, lambda x: x / total))  # the sum is taken once
 
 
 def colour_slot(name: Column, n: int) -> Column:
