@@ -5,7 +5,9 @@ import time
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,3 +77,50 @@ def test_both_forms_of_the_rule_agree(codec, monkeypatch):
 def test_very_long_text_of_words(codec):
     rng = random.Random(5)
     check(codec, [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(200_000))])
+
+
+SPACES = [chr(c) for c in range(0x110000) if regex.match(r"\s", chr(c)) or chr(c).isspace()]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from([*" " * 12, *"ab'sé日🙂.1ༀ‐", *SPACES]), max_size=30), min_size=1, max_size=6))
+def test_cuts_beside_every_white_space(codec, texts):
+    check(codec, texts)
+    whole = pa.array(["front ", *texts, "", " back"])
+    assert codec.encode(whole.slice(1, len(texts))) == codec.encode(texts)
+
+
+def test_white_space_is_known_by_its_bytes():
+    for space in SPACES:
+        pieces, starts = bpe._pieces(pa.array([f"front a{space} b {space}c d back"]))
+        assert pieces.to_pylist() == ["front", f" a{space} b {space}c", " d", " back"] and starts.tolist() == [0, 4]
+
+
+def test_a_word_is_contracted_once_whatever_stands_beside_it(codec, monkeypatch):
+    given_ = []
+    words = codec._words
+    monkeypatch.setattr(codec, "_words", lambda new: given_.extend(new) or words(new))
+    codec.forget()
+    check(codec, ["so zyxwvutsrq, so", "(zyxwvutsrq) zyxwvutsrq. so"])
+    check(codec, ["so zyxwvutsrq! zyxwvutsrq: so"])
+    assert given_.count(" zyxwvutsrq") == 1 and given_.count("zyxwvutsrq") == 1
+
+
+def test_distinct_pieces_are_matched_as_one_text(codec, monkeypatch):
+    calls = []
+
+    class Counting:
+        def findall(self, text):
+            calls.append(text)
+            return pattern.findall(text)
+
+    pattern = codec.pattern
+    codec.forget()
+    monkeypatch.setattr(codec, "pattern", Counting())
+    check(codec, [" ".join(f"w{k}x{k}," for k in range(5000)), "a few more"])
+    assert len(calls) <= 5
+
+
+def test_a_pattern_that_spans_cuts_is_refused():
+    with pytest.raises(ValueError, match="span a cut"):
+        bpe.Codec(RAW, r"\S+ \S+|\s+|\S+").encode(["one two three four five"])

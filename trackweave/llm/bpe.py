@@ -1,17 +1,18 @@
 """Byte-level BPE encoding and decoding with DuckDB recursive queries inside each Spark partition.
 
-A partition's texts are cut into pre-tokens.  The distinct ones that are not single tokens go to an
-in-process DuckDB as token rows; a recursive query joins neighbouring tokens with the merge table, takes
+A partition's texts are cut into pieces, whose distinct ones are cut into pre-tokens.  The distinct pre-tokens that are
+not single tokens go to an in-process DuckDB as token rows; a recursive query joins neighbouring tokens with the merge table, takes
 each word's leftmost pair of minimum rank, contracts it, and repeats until no word changes.  A document's
-ids are those of its pre-tokens in order.  Decoding joins (document, position, id) rows with the
-vocabulary and aggregates the pieces in order of position.
+ids are those of its pre-tokens in order.  Decoding joins (position, id) rows with the vocabulary,
+and the pieces in order of position are the documents' bytes.
 
 Scale
 * No shuffle: rows stay in the partition that read them.  The vocabulary (about 1 MB) travels with the
-  task.  Encoded pieces are remembered per Python worker in two generations of about `KEEP` bytes; what was used
+  task.  Encoded pre-tokens are remembered per Python worker in two generations of about `KEEP` bytes; what was used
   lately stays, and memory is bounded.
-* Texts are cut at single spaces between non-space characters first.  No pre-token of the pattern spans
-  such a place or looks past it, so equal pieces are matched against the pattern once.
+* Texts are cut before single spaces between non-space characters first.  No pre-token of the pattern spans
+  such a place or looks past it, so equal pieces of a slice are matched against the pattern once, most of them as one
+  text.  Only distinct pieces are handled in Python; their places in the texts are found and filled in Arrow and numpy.
 * A word is contracted pair by pair in the order of ranks.  In words over `LONG` bytes a round contracts at once all
   pairs that this order would contract as they stand, and words are cut where no token spans the place, so that long
   words take few rounds.  A very long text is cut at spaces like any other; what remains is one long word.
@@ -24,26 +25,23 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Iterator
+from itertools import pairwise
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, give_back, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Bytes remembered in a generation, of which `ENTRY` for each piece beside its text; longest word contracted as one list;
+#: Bytes remembered in a generation, of which `ENTRY` for each pre-token beside its text; longest word contracted as one list;
 #: words, and tokens of long words, in a query at once; rounds of a query on long words.
 KEEP, ENTRY, LONG, AT_ONCE, ROWS, ROUNDS = 60_000_000, 200, 96, 30_000, 200_000, 4
 MOST = 2**31 - 1
-#: A single space between two characters that are not white space.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_WIDE = re.compile(r"\s | \s|^ | $")
 
 # pos counts from 1 in the list; a pair's rank is the id of what it makes, so the least (id, pos) is the leftmost of the least rank
 _SHORT = """
@@ -82,15 +80,42 @@ with recursive step(round, word, pos, id, base) as (
 select word, pos, id, last from (select *, max(round) over (partition by word) as last from step) where round = last order by pos
 """
 
-_DECODE = "select doc, array_to_string(list(piece order by pos), '') as decoded from tokens join vocabulary using (id) group by doc"
+_DECODE = "select piece from tokens left join vocabulary using (id) order by pos"
 
 
-def _cut(text: str) -> list[str]:
-    """A text cut at single spaces between characters that are not white space."""
-    words = text.split()
-    if words and " ".join(words) == text:
-        return words
-    return _CUT.split(text) if _WIDE.search(text) else text.split(" ")
+def _wide(lead: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether characters that begin with these bytes of UTF-8 may be white space; some that are not count too."""
+    ascii_ = (lead == 0x20) | ((lead >= 0x09) & (lead <= 0x0D)) | ((lead >= 0x1C) & (lead <= 0x1F))
+    return ascii_ | (lead == 0xC2) | ((lead == 0xE1) & (second == 0x9A)) | ((lead == 0xE2) & (second <= 0x81)) | ((lead == 0xE3) & (second == 0x80))
+
+
+def _ends(items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """0 and where each string or binary ends, and the bytes of all, in one row."""
+    items = items.cast(pa.large_binary())
+    ends = np.frombuffer(items.buffers()[1] or bytes(8), np.int64)[items.offset : items.offset + len(items) + 1]
+    return ends - ends[0], np.frombuffer(items.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+
+
+def _stretches(ends: np.ndarray, data: np.ndarray) -> list[bytes]:
+    """The bytes between neighbouring ends."""
+    return [data[a:b].tobytes() for a, b in pairwise(ends.tolist())]
+
+
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All texts cut before single spaces between characters that are not white space, as one array of pieces, and where
+    each text's pieces begin in it.  A place beside a character that may be white space is left whole, which is always
+    right."""
+    ends, data = _ends(texts)
+    at = np.flatnonzero(data == 0x20)
+    at = at[(at > 2) & (at < len(data) - 2)]  # near either end of all nothing is cut, so that neighbours can be looked at
+    one, two, three = data[at - 1], data[at - 2], data[at - 3]
+    before = np.where(one < 0x80, _wide(one, one), (two == 0xC2) | ((three > 0xC2) & _wide(three, two)))
+    at = at[~(before | _wide(data[at + 1], data[at + 2]))]
+    text = np.searchsorted(ends, at, "right") - 1
+    at = at[(at > ends[text]) & (at + 1 < ends[text + 1])]  # a text's first or last character has no neighbour
+    bounds = np.insert(at, np.searchsorted(at, ends), ends)
+    starts = np.searchsorted(at, ends) + np.arange(len(ends))
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)), starts
 
 
 class Codec:
@@ -99,6 +124,8 @@ class Codec:
     def __init__(self, vocabulary: bytes, pattern: str, keep: int = KEEP):
         self.keep = keep
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
+        #: Packed ids of the words that are a token.
+        self.whole = {w: rank.to_bytes(4, "little") for t, rank in self.ranks.items() if (w := t.decode(errors="replace")).encode() == t}
         self.pattern = regex.compile(pattern)
         self.bytes_ = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.forget()
@@ -108,13 +135,13 @@ class Codec:
         self.longest = max(map(len, tokens), default=0)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         self._load("merges", {"pair": left << 32 | right, "made": made.astype(np.int32)})
-        self._load("vocabulary", {"id": pa.array(self.ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in tokens]})
+        self._load("vocabulary", {"id": pa.array(self.ranks.values(), pa.int32()), "piece": pa.array(tokens, pa.binary())})
 
     def forget(self) -> None:
-        """Lets go of what was remembered: packed ids of pieces at a text's start and of those after a space, used lately,
-        and the same of the time before; `size` is an estimate of the former's bytes."""
-        self.packed: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.before: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        """Lets go of what was remembered: packed ids of pre-tokens used lately, and the same of the time before; `size` is
+        an estimate of the former's bytes."""
+        self.packed: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.size, self.prefixes = 0, set()
 
     def _load(self, name: str, columns: dict) -> None:
@@ -122,27 +149,26 @@ class Codec:
         self.db.execute(f"create or replace table {name} as select * from given" + (" order by id" if name == "vocabulary" else ""))
         self.db.unregister("given")
 
-    def _words(self, words: Iterable[str]) -> dict[str, bytes]:
+    def _words(self, words: set[str]) -> dict[str, bytes]:
         """Packed ids of distinct pre-tokens."""
-        out, short = {}, []
-        for w in words:
-            data = w.encode()
-            if (whole := self.ranks.get(data)) is not None:
-                out[w] = whole.to_bytes(4, "little")
-            elif len(data) > LONG:
-                out[w] = self._long(data)
-            else:
-                short.append((w, data))
-        it = iter(short)
-        while part := list(islice(it, AT_ONCE)):
-            ends = np.cumsum([0, *(len(x[1]) for x in part)]).astype(np.int32)
-            ids = self.bytes_[np.frombuffer(b"".join([x[1] for x in part]), np.uint8)]
-            self.db.register("seed", pa.table({"word": np.arange(len(part), dtype=np.int32), "ids": pa.ListArray.from_arrays(ends, ids)}))
+        out = {w: self.whole[w] for w in words & self.whole.keys()}
+        rest = list(words - self.whole.keys())
+        for at in range(0, len(rest), AT_ONCE):
+            part = rest[at : at + AT_ONCE]
+            ends, data = _ends(pa.array(part, pa.large_string()))
+            if len(long := np.flatnonzero(np.diff(ends) > LONG)):
+                out.update((part[k], self._long(data[ends[k] : ends[k + 1]].tobytes())) for k in long.tolist())
+                part = np.delete(np.array(part, object), long).tolist()
+                if not part:
+                    continue
+                ends, data = _ends(pa.array(part, pa.large_string()))
+            seed = pa.table({"word": np.arange(len(part), dtype=np.int32), "ids": pa.ListArray.from_arrays(ends.astype(np.int32), self.bytes_[data])})
+            self.db.register("seed", seed)
             found = self.db.sql(_SHORT).to_arrow_table()
             self.db.unregister("seed")
             flat = found["ids"].combine_chunks()
             values, ends = flat.flatten().to_numpy().astype("<u4").tobytes(), (4 * (flat.offsets.to_numpy() - flat.offsets[0].as_py())).tolist()
-            out.update(zip([part[k][0] for k in found["word"].to_pylist()], [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], strict=True))
+            out.update(zip(map(part.__getitem__, found["word"].to_numpy().tolist()), [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], strict=True))
         return out
 
     def _spanned(self, data: bytes, pos: list[int], base: np.ndarray) -> np.ndarray:
@@ -192,40 +218,62 @@ class Codec:
             base = base[np.append(stays[1:], len(ids)) - 1]
             ids, pos, live = ids[stays], pos[stays], more[stays]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
+    def _split(self, pieces: pa.Array, alone: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Pre-tokens of distinct pieces, those that stand alone last, and how many each piece has.  The others begin with
+        a space and end without one, so that side by side they are a text that is cut between them."""
+        own = [self.pattern.findall(p) for p in pieces.filter(pa.array(alone)).to_pylist()]
+        joined = pieces.filter(pa.array(~alone))
+        words = self.pattern.findall(pc.binary_join(pa.ListArray.from_arrays([0, len(joined)], joined), pa.scalar("", pa.large_string()))[0].as_py())
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        marks = np.cumsum(pc.utf8_length(joined).to_numpy())
+        last = np.searchsorted(ends, marks)
+        if len(marks) and (last[-1] != len(words) - 1 or (ends[last] != marks).any()):
+            raise ValueError("the pattern must match every character of a text, and no match may span a cut")
+        counts = np.zeros(len(pieces), np.int64)
+        counts[~alone], counts[alone] = np.diff(last, prepend=-1), [len(x) for x in own]
+        for x in own:
+            words += x
+        return words, counts
+
+    def _remembered(self, words: list[str]) -> None:
+        """Sees to it that `packed` holds all these pre-tokens."""
         if self.size > self.keep:
-            self.before, self.packed, self.size = self.packed, ({}, {}), 0
-        cut = [_cut(t) for t in texts]
-        needed: tuple[set[str], set[str]] = ({c[0] for c in cut}, set())
-        for c in cut:
-            needed[1].update(islice(c, 1, None))
-        split: list[dict[str, list[str]]] = [{}, {}]
-        for k, (recent, older) in enumerate(zip(self.packed, self.before, strict=True)):
-            for p in needed[k]:
-                if p not in recent:
-                    if (known := older.get(p)) is not None:
-                        recent[p] = known
-                        self.size += ENTRY + len(p) + len(known)
-                    else:
-                        split[k][p] = self.pattern.findall(" " * k + p)
-        ids = self._words({w for part in split for words in part.values() for w in words})
-        for k in (0, 1):
-            made = {p: b"".join([ids[w] for w in words]) for p, words in split[k].items()}
-            self.packed[k].update(made)
-            self.size += sum(map(len, made)) + sum(map(len, made.values())) + ENTRY * len(made)
-        first, rest = self.packed
-        return [b"".join([first[c[0]], *map(rest.__getitem__, islice(c, 1, None))]) for c in cut]
+            self.before, self.packed, self.size = self.packed, {}, 0
+        missing = set(words) - self.packed.keys()
+        made = {w: known for w in missing if (known := self.before.get(w)) is not None}
+        made |= self._words(missing - made.keys())
+        self.packed |= made
+        self.size += sum(map(len, made)) + sum(map(len, made.values())) + ENTRY * len(made)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        if not len(texts):
+            return []
+        pieces, starts = _pieces(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        coded = pieces.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        alone = np.zeros(len(coded.dictionary), bool)
+        alone[codes[starts[:-1]]] = alone[codes[starts[1:] - 1]] = True  # each text's first and last
+        words, counts = self._split(coded.dictionary, alone)
+        self._remembered(words)
+        packed = [self.packed[w] for w in words]
+        ends = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)))
+        order = np.concatenate([np.flatnonzero(~alone), np.flatnonzero(alone)])  # of the pieces whose words stand in a row
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts[order])])]
+        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(order), [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(packed))])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        filled = ids.take(pa.array(place[codes]))
+        ends, data = _ends(filled)
+        return _stretches(ends[starts], data)
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
         """The bytes that each text's ids stand for."""
-        counts = [len(x) // 4 for x in coded]
-        doc = np.repeat(np.arange(len(coded), dtype=np.int32), counts)
-        tokens = pa.table({"doc": doc, "pos": np.arange(len(doc), dtype=np.int32), "id": np.frombuffer(b"".join(coded), "<u4").astype(np.int32)})
-        self.db.register("tokens", tokens)
-        out = dict(self.db.execute(_DECODE).fetchall())
+        ids = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
+        self.db.register("tokens", pa.table({"pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
+        ends, data = _ends(self.db.sql(_DECODE).to_arrow_table()["piece"].combine_chunks())
         self.db.unregister("tokens")
-        return [out.get(k, "").encode("latin-1") for k in range(len(coded))]
+        return _stretches(ends[np.cumsum([0, *map(len, coded)]) // 4], data)
 
 
 _CODECS: dict[bytes, Codec] = {}
@@ -239,11 +287,11 @@ def codec(vocabulary: bytes, pattern: str, keep: int = KEEP) -> Codec:
     return _CODECS[key]
 
 
-def _slices(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` characters."""
     at = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        size += n
         if size >= most:
             yield at, i + 1
             at, size = i + 1, 0
@@ -252,7 +300,7 @@ def _slices(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]
 
 
 def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, keep: int = KEEP) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and the ids themselves if `keep_ids`; a worker remembers pieces
+    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and the ids themselves if `keep_ids`; a worker remembers pre-tokens
     of about twice `keep` bytes."""
     with open(vocabulary_path, "rb") as f:
         vocabulary = f.read()
@@ -260,9 +308,9 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, id_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern, keep)
         for batch in (whole.slice(at, 2048) for whole in batches for at in range(0, whole.num_rows, 2048)):
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("text")
             for a, b in _slices(texts):
-                coded = own.encode(texts[a:b])
+                coded = own.encode(texts.slice(a, b - a))
                 decoded = own.decode(coded)
                 sha = lambda items: pa.array([hashlib.sha256(x).hexdigest() for x in items], pa.string())
                 columns = [batch.column("doc_id")[a:b], pa.array([len(x) // 4 for x in coded], pa.int64()), sha(coded), sha(decoded)]
