@@ -287,7 +287,7 @@ def codec(vocabulary: bytes, pattern: str, keep: int = KEEP) -> Codec:
     return _CODECS[key]
 
 
-def _slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` characters."""
     at = size = 0
     for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
