@@ -54,3 +54,15 @@ def test_uri_append_and_wrong_ids(spark, tmp_path):
         bundle.write_bundle(spark.createDataFrame([(3, 0, 70_000, [1])], bundle.SCHEMA), where, mode="append")
     assert bundle.read_bundle(spark, where).count() == 2 and not list(tmp_path.rglob("_temporary/*"))
     assert bundle.read_bundle(spark, f"{tmp_path}/b").filter("clip_id = 2").count() == 1
+
+
+def test_wide_frames(spark, tmp_path):
+    rows = [(1, 0, 5, [2, 3]), (1, 1, 5, [1, 70_000]), (1, 1, 70_000, [0, 4]), (1, 2, 65_535, [9])]
+    df = spark.createDataFrame(rows, bundle.SCHEMA)
+    bundle.write_bundle(df, str(tmp_path / "b"), wide=True)
+    assert sorted(f.name for f in (tmp_path / "b").glob("clip_id=1/*")) == ["00000000-00000000.bin", "00000001-00000001.wide.bin", "00000002-00000002.bin"]
+    assert sorted(map(tuple, bundle.read_bundle(spark, str(tmp_path / "b")).collect())) == rows
+    records = mk.encode_bundle(df)
+    assert sorted((r.f, r.wide) for r in records.collect()) == [(0, False), (1, True), (2, False)]
+    assert sorted(map(tuple, mk.decode_bundle(records).collect())) == rows
+    assert bytes(records.filter("f = 0").first().record) == mk.pack_frame(0, [(5, [2, 3])])

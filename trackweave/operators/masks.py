@@ -179,26 +179,35 @@ def worst_frames(frames: DataFrame, n: int = 8) -> DataFrame:
 
 
 # The binary bundle: per frame u32 frame, u16 objects; per object u16 id, u32 number of stored runs, u16 runs.  A run longer than
-# 65,534 is stored as 65,535 pieces, each continued by the next value.
+# 65,534 is stored as 65,535 pieces, each continued by the next value.  A wide frame, for ids or numbers of objects beyond 16
+# bits, has u32 for both.
+NARROW, WIDE = ("<IH", "<HI"), ("<II", "<II")
 
 
-def pack_frame(f: int, objects: list[tuple[int, list[int]]]) -> bytes:
-    out = [struct.pack("<IH", f, len(objects))]
+def needs_wide(objects: list[tuple[int, list[int]]]) -> bool:
+    return len(objects) > 0xFFFF or any(ident > 0xFFFF for ident, _ in objects)
+
+
+def pack_frame(f: int, objects: list[tuple[int, list[int]]], wide: bool = False) -> bytes:
+    head, each = WIDE if wide else NARROW
+    out = [struct.pack(head, f, len(objects))]
     for ident, runs in objects:
         stored = []
         for r in runs:
             stored += [MAX_RUN] * (r // MAX_RUN) + [r % MAX_RUN]
-        out.append(struct.pack(f"<HI{len(stored)}H", ident, len(stored), *stored))
+        out.append(struct.pack(f"{each}{len(stored)}H", ident, len(stored), *stored))
     return b"".join(out)
 
 
-def unpack_frame(data: bytes) -> tuple[int, list[tuple[int, list[int]]]]:
-    f, n = struct.unpack_from("<IH", data)
-    at, objects = 6, []
+def unpack_frame(data: bytes, wide: bool = False) -> tuple[int, list[tuple[int, list[int]]]]:
+    head, each = WIDE if wide else NARROW
+    size = struct.calcsize(each)
+    f, n = struct.unpack_from(head, data)
+    at, objects = struct.calcsize(head), []
     for _ in range(n):
-        ident, count = struct.unpack_from("<HI", data, at)
-        stored = struct.unpack_from(f"<{count}H", data, at + 6)
-        at += 6 + 2 * count
+        ident, count = struct.unpack_from(each, data, at)
+        stored = struct.unpack_from(f"<{count}H", data, at + size)
+        at += size + 2 * count
         runs, held = [], 0
         for v in stored:
             held += v
@@ -210,20 +219,22 @@ def unpack_frame(data: bytes) -> tuple[int, list[tuple[int, list[int]]]]:
 
 
 def encode_bundle(masks: DataFrame) -> DataFrame:
-    """(clip_id, f, tid, counts) to one binary record per frame; objects in order of id."""
+    """(clip_id, f, tid, counts) to one binary record per frame, and whether that is a wide one; objects in order of id."""
     frames = masks.groupBy("clip_id", "f").agg(F.array_sort(F.collect_list(F.struct("tid", "counts"))).alias("objects"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"clip_id": b["clip_id"], "f": b["f"], "record": [pack_frame(f, [(o["tid"], list(o["counts"])) for o in objects]) for f, objects in zip(b["f"], b["objects"], strict=True)]})
+            frame = [[(o["tid"], list(o["counts"])) for o in objects] for objects in b["objects"]]
+            wide = [needs_wide(objects) for objects in frame]
+            yield pd.DataFrame({"clip_id": b["clip_id"], "f": b["f"], "record": [pack_frame(f, objects, w) for f, objects, w in zip(b["f"], frame, wide, strict=True)], "wide": wide})
 
-    return frames.mapInPandas(run, "clip_id int, f int, record binary")
+    return frames.mapInPandas(run, "clip_id int, f int, record binary, wide boolean")
 
 
 def decode_bundle(records: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(clip, f, tid, runs) for clip, record in zip(b["clip_id"], b["record"], strict=True) for f, objects in [unpack_frame(bytes(record))] for tid, runs in objects]
+            rows = [(clip, f, tid, runs) for clip, record, wide in zip(b["clip_id"], b["record"], b["wide"], strict=True) for f, objects in [unpack_frame(bytes(record), wide)] for tid, runs in objects]
             yield pd.DataFrame(rows, columns=["clip_id", "f", "tid", "counts"])
 
     return records.mapInPandas(run, "clip_id int, f int, tid int, counts array<int>")

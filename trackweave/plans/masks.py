@@ -147,5 +147,5 @@ def _(spark, d):
 def _(spark, d):
     """The same through files: written as a bundle of two seconds a file, and read again."""
     path = f"{shared_folder(spark)}/bundle-{uuid.uuid4().hex}"
-    bundle.write_bundle(_masks(spark, d).select("clip_id", "f", "tid", mk.to_runs(F.col("intervals"), CELLS).alias("counts")), path, seconds=2.0)
+    bundle.write_bundle(_masks(spark, d).select("clip_id", "f", "tid", mk.to_runs(F.col("intervals"), CELLS).alias("counts")), path, seconds=2.0, wide=True)
     return bundle.read_bundle(spark, path).select("clip_id", "f", "tid", mk.area(mk.from_runs(F.col("counts"))).alias("area"))

@@ -3,7 +3,8 @@
 A bundle is a folder of gzip files, each with the frames of one stretch of a clip:
 clip_id=<clip>/<first frame>-<last frame>.bin.  The layout inside is that of `masks.pack_frame`.  Every file is a partition
 when read; when written, a task streams its rows frame by frame into files of its own, and they take their names only once
-all tasks are done, so a broken run leaves no half bundle.
+all tasks are done, so a broken run leaves no half bundle.  Frames with ids or numbers of objects beyond 16 bits are refused, or,
+with the option `wide`, go to files of their own (<first frame>-<last frame>.wide.bin) with 32 bits for both.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from ..operators.masks import MAX_RUN, pack_frame
+from ..operators.masks import MAX_RUN, NARROW, WIDE, needs_wide, pack_frame
 
 SCHEMA = "clip_id int, f int, tid int, counts array<int>"
-_NAME = re.compile(r"clip_id=(-?\d+)/(\d+)-(\d+)\.bin$")
+_NAME = re.compile(r"clip_id=(-?\d+)/(\d+)-(\d+)(\.wide)?\.bin$")
 _TEMPORARY = "_temporary"
 #: Rows that a reader hands over at a time.
 BATCH = 4096
@@ -38,6 +39,7 @@ def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
 class _File(InputPartition):
     clip: int
     path: str
+    wide: bool
 
 
 @dataclass
@@ -53,18 +55,20 @@ class _Reader(DataSourceReader):
         filesystem, root = _filesystem(self.path)
         found = filesystem.get_file_info(fs.FileSelector(root, recursive=True))
         named = [(m, x.path) for x in found if x.type == fs.FileType.File and f"/{_TEMPORARY}/" not in x.path and (m := _NAME.search(x.path))]
-        return [_File(int(m[1]), path) for m, path in sorted(named, key=lambda x: x[1])]
+        return [_File(int(m[1]), path, bool(m[4])) for m, path in sorted(named, key=lambda x: x[1])]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         if partition is None:  # an empty bundle
             return
         filesystem, _ = _filesystem(self.path)
+        head_, each = WIDE if partition.wide else NARROW
+        size, n_head = struct.calcsize(each), struct.calcsize(head_)
         with filesystem.open_input_stream(partition.path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as file:
             rows: list[tuple[int, int, list[int]]] = []
-            while head := file.read(6):
-                f, n = struct.unpack("<IH", head)
+            while head := file.read(n_head):
+                f, n = struct.unpack(head_, head)
                 for _ in range(n):
-                    tid, count = struct.unpack("<HI", file.read(6))
+                    tid, count = struct.unpack(each, file.read(size))
                     rows.append((f, tid, _joined(struct.unpack(f"<{count}H", file.read(2 * count)))))
                 if len(rows) >= BATCH:
                     yield _batch(partition.clip, rows)
@@ -88,8 +92,8 @@ def _batch(clip: int, rows: list[tuple[int, int, list[int]]]) -> pa.RecordBatch:
 
 
 class _Writer(DataSourceWriter):
-    def __init__(self, path: str, frames: int, overwrite: bool):
-        self.path, self.frames, self.overwrite = path, frames, overwrite
+    def __init__(self, path: str, frames: int, overwrite: bool, wide: bool):
+        self.path, self.frames, self.overwrite, self.wide = path, frames, overwrite, wide
         self.run = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
@@ -103,16 +107,18 @@ class _Writer(DataSourceWriter):
             if open_ is not None:
                 open_.close()
                 raw.close()
-                files.append((temporary, f"clip_id={now[0]}/{first:08d}-{last:08d}.bin"))
+                files.append((temporary, f"clip_id={now[0]}/{first:08d}-{last:08d}{'.wide' if now[2] else ''}.bin"))
 
         for (clip, f), objects in _by_frame(iterator):
-            if now != (clip, f // self.frames):
+            if (wide := needs_wide(objects)) and not self.wide:
+                raise ValueError(f"ids and numbers of objects of a bundle have 16 bits, not {max(len(objects), *(t for t, _ in objects))}")
+            if now != (clip, f // self.frames, wide):
                 close()
-                now, first, temporary = (clip, f // self.frames), f, f"{folder}/{uuid.uuid4().hex}"
+                now, first, temporary = (clip, f // self.frames, wide), f, f"{folder}/{uuid.uuid4().hex}"
                 raw = filesystem.open_output_stream(temporary, compression=None)
                 open_ = gzip.GzipFile(fileobj=raw, mode="wb", mtime=0)
             last = f
-            open_.write(pack_frame(f, objects))
+            open_.write(pack_frame(f, objects, wide))
         close()
         return _Written(files)
 
@@ -138,8 +144,8 @@ def _by_frame(rows: Iterator[Row]) -> Iterator[tuple[tuple[int, int], list[tuple
     """((clip, frame), its objects) of sorted rows."""
     key, held = None, []
     for r in rows:
-        if not 0 <= r.tid <= 0xFFFF:
-            raise ValueError(f"ids of a bundle have 16 bits, not {r.tid}")
+        if r.tid < 0:
+            raise ValueError(f"ids of a bundle are not negative, as {r.tid} is")
         if key != (r.clip_id, r.f):
             if held:
                 yield key, held
@@ -150,7 +156,7 @@ def _by_frame(rows: Iterator[Row]) -> Iterator[tuple[tuple[int, int], list[tuple
 
 
 class MaskBundle(DataSource):
-    """Options: `path`; when written, `frames`, the frames of a file."""
+    """Options: `path`; when written, `frames`, the frames of a file, and `wide`, whether frames beyond 16 bits are written."""
 
     @classmethod
     def name(cls) -> str:
@@ -163,7 +169,7 @@ class MaskBundle(DataSource):
         return _Reader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return _Writer(self.options["path"], int(self.options.get("frames", 1500)), overwrite)
+        return _Writer(self.options["path"], int(self.options.get("frames", 1500)), overwrite, self.options.get("wide", "false").lower() == "true")
 
 
 def read_bundle(spark: SparkSession, path: str) -> DataFrame:
@@ -172,9 +178,10 @@ def read_bundle(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("mask_bundle").option("path", path).load()
 
 
-def write_bundle(masks: DataFrame, path: str, fps: float = 25.0, seconds: float = 60.0, mode: str = "overwrite") -> None:
-    """Writes masks (clip_id, f, tid, counts) in files of `seconds` each; objects of a frame in order of id."""
+def write_bundle(masks: DataFrame, path: str, fps: float = 25.0, seconds: float = 60.0, mode: str = "overwrite", wide: bool = False) -> None:
+    """Writes masks (clip_id, f, tid, counts) in files of `seconds` each; objects of a frame in order of id.  `wide`: frames with
+    ids or numbers of objects beyond 16 bits are written in the wide layout instead of refused."""
     frames = max(1, round(fps * seconds))
     masks.sparkSession.dataSource.register(MaskBundle)
     dealt = masks.select("clip_id", "f", "tid", "counts").repartition("clip_id", F.floor(F.col("f") / frames)).sortWithinPartitions("clip_id", "f", "tid")
-    dealt.write.format("mask_bundle").option("path", path).option("frames", frames).mode(mode).save()
+    dealt.write.format("mask_bundle").option("path", path).option("frames", frames).option("wide", str(wide).lower()).mode(mode).save()
