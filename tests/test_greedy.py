@@ -2,12 +2,16 @@
 
 import math
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from trackweave.operators import greedy as gr
 from trackweave.operators import identity as idn
+from trackweave.operators import pairs as pr
 from trackweave.operators import pooling as pl
 
 BOX = ("x1", "y1", "x2", "y2")
@@ -289,3 +293,57 @@ def test_chunked_and_stitched_equals_whole(spark):
     for r in rows:
         tracks.setdefault((r.clip_id, r.global_id), set()).add(r.track)
     assert rows and all(len(v) == 1 for k, v in tracks.items() if k[1] is not None)
+
+
+def test_suppression_and_clusters_hold_no_matrix(spark):
+    """The same choices as with all overlaps at hand, and memory in proportion to a frame's rows."""
+    rng = random.Random(5)
+    rows = [(1, 0, k, "ab"[k % 2], rng.randint(1, 9) / 10, float(x), float(y), float(x + rng.randint(20, 60)), float(y + rng.randint(20, 60))) for k in range(300) for x, y in [(rng.randint(0, 400), rng.randint(0, 200))]]
+    order = sorted(rows, key=lambda r: (-r[4], r[2]))
+    iou = lambda a, b: float(gr.iou_matrix(np.array([a[5:]]), np.array([b[5:]]))[0, 0])
+    kept, heads, best = [], [], {}
+    for r in order:
+        if all(iou(r, k) < 0.3 for k in kept):
+            kept.append(r)
+        h = max(heads, key=lambda x: iou(r, x), default=None)
+        if h is None or iou(r, h) < 0.5:
+            heads.append(r)
+            h = r
+        best[h[2], r[3]] = max(r[4], best.get((h[2], r[3]), 0))
+    df = spark.createDataFrame(rows, "clip_id int, f int, tid int, label string, score double, x1 double, y1 double, x2 double, y2 double")
+    assert {r.tid for r in gr.nms(df.drop("label"), 0.3).collect()} == {r[2] for r in kept}
+    got = gr.cluster_labels(df.withColumn("det", F.col("tid").cast("long")).drop("tid"), 0.5).collect()
+    assert {(r.cluster, r.label): r.score for r in got} == best
+
+    tracemalloc.start()
+    many = np.random.default_rng(1).uniform(0, 1000, (6000, 2))
+    wide = pd.DataFrame({"clip_id": 1, "f": 0, "det": np.arange(6000), "tid": np.arange(6000), "label": "a", "score": 0.5, "x1": many[:, 0], "y1": many[:, 1], "x2": many[:, 0] + 90, "y2": many[:, 1] + 90})
+    for run in (lambda d: gr.nms(d, 0.3), lambda d: gr.cluster_labels(d)):
+        run(_Local(wide))
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+
+
+class _Local:
+    """Stands for a data frame whose only group is run here."""
+
+    schema = None
+
+    def __init__(self, rows):
+        self.rows = rows
+
+    def groupBy(self, *keys):  # noqa: N802
+        return self
+
+    def applyInPandas(self, run, schema):  # noqa: N802
+        return run(self.rows)
+
+
+def test_hosts_of_equal_cover_in_any_order(spark):
+    """Ten times 0.1 is less than 1 in doubles: they are equal hosts, and the lower id counts."""
+    box = lambda f, t, x1, x2: (1, f, t, float(x1), 0.0, float(x2), 10.0)
+    rows = [box(f, 1, 0, 10) for f in range(10)] + [box(f, 2, -9, 1) for f in range(10)] + [box(0, 3, 0, 19)]
+    df = spark.createDataFrame(rows, "clip_id int, f int, tid int, x1 double, y1 double, x2 double, y2 double")
+    evidence = spark.createDataFrame([(1, t, 1.0, True) for t in (1, 2, 3)], "clip_id int, tid int, evidence double, locked boolean")
+    got = {r.tid: (r.host, r.mean_cover) for r in pr.duplicate_hosts(df, evidence, 0.0, 0.0).collect()}
+    assert got[1] == (2, pytest.approx(0.1))
