@@ -4,8 +4,10 @@ import random
 
 import numpy as np
 
+from trackweave.functions import geometry as geo
 from trackweave.functions import spans
 from trackweave.operators import masks as mk
+from trackweave.operators import pairs as pr
 
 
 def plan(df):
@@ -65,7 +67,28 @@ def test_blocks_of_any_size(monkeypatch):
     e, u = s + rng.integers(1, 90, len(s)), t + rng.integers(1, 90, len(t))
     a, b = spans.Rows(m, s, e, 37), spans.Rows(k, t, u, 23)
     want = {(int(i), int(j)): n for i in range(37) for j in range(23) if (n := sum(max(0, min(e[2 * i + x], u[2 * j + y]) - max(s[2 * i + x], t[2 * j + y])) for x in (0, 1) for y in (0, 1)))}
-    for block, most in ((4, 40), (512, 1 << 22)):
+    for block, most, kept in ((4, 40, 0), (512, 1 << 22, 0), (4, 40, 1 << 25), (512, 40, 1 << 25)):
+        monkeypatch.setattr(spans, "KEPT", kept)
         monkeypatch.setattr(spans, "BLOCK", block)
         monkeypatch.setattr(spans, "CELLS", most)
         assert {(i, j): n for p, q, v in spans.shared_blocks(a, b) for i, j, n in zip(p.tolist(), q.tolist(), v.tolist(), strict=True)} == want
+
+
+def test_hosts_by_mask_and_box(spark):
+    """The same as with all pairs joined, and no join."""
+    rng = random.Random(8)
+    rows = []
+    for f in range(2):
+        for t in rng.sample(range(100), 60):
+            x, y = rng.randint(0, 200), rng.randint(0, 100)
+            rows.append((1, f, t, float(x), float(y), float(x + rng.randint(10, 90)), float(y + rng.randint(10, 90))))
+    obs = spark.createDataFrame(rows, "clip_id int, f int, tid int, x1 double, y1 double, x2 double, y2 double")
+    views = obs.withColumn("intervals", mk.rectangle_intervals(geo.box(), 40.0, 64))
+    masks = views.select("clip_id", "f", "tid", "intervals")
+    e = mk.exploded(masks, "clip_id", "f", "tid")
+    inter = mk.overlaps(e, e.withColumnRenamed("tid", "host"), ["clip_id", "f"], ["tid"], ["host"])
+    sized = views.withColumn("area", mk.area(views["intervals"]))
+    key = lambda df: sorted((r.f, r.tid, r.host, round(r.frac, 9), round(r.box_frac, 9)) for r in df.collect())
+    got = mk.insides(views)
+    assert key(got) == key(pr.insides(sized, inter)) and len(key(got)) > 90
+    assert "Join" not in plan(got)
