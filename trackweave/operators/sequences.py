@@ -6,10 +6,16 @@ Ties go to the lower frame, then to the lower id, unless an operator says otherw
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
+from ..functions import spans as sp
 from .intervals import overlapping
 
 TRACK = ("clip_id", "tid")
@@ -174,12 +180,34 @@ def vote_flip(votes: DataFrame, least: int = 6, side: int = 3, purity: float = 0
     return v.groupBy(*TRACK).agg(F.max_by(F.struct("i", "before_f", "f"), F.struct("purity", (-F.col("i")).alias("first"))).alias("b"), F.max("purity").alias("purity")).select(*TRACK, F.col("b.i").cast("long").alias("i"), F.col("b.before_f").alias("a"), F.col("b.f").alias("b"), "purity")
 
 
+#: Groups that a clip's tracks are dealt into where all of them meet.
+PARTS = 8
+
+
 def run_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Frames that two tracks of a clip share, from their runs; only pairs that share any."""
-    a = left.select("clip_id", F.col("tid").alias("tid_a"), F.col("first_f").alias("a1"), F.col("last_f").alias("a2"))
-    b = right.select("clip_id", F.col("tid").alias("tid_b"), F.col("first_f").alias("b1"), F.col("last_f").alias("b2"))
-    shared = F.least("a2", "b2") - F.greatest("a1", "b1") + 1
-    return overlapping(a, b, ["clip_id"], ("a1", "a2"), ("b1", "b2")).filter("tid_a < tid_b").groupBy("clip_id", "tid_a", "tid_b").agg(F.sum(shared).alias("frames"))
+    """Frames that two tracks of a clip share, from their runs; only pairs that share any.  A group holds part of a clip's left tracks
+    and all right ones, and multiplies blocks of them: runs are shuffled, pairs are not."""
+    part = F.pmod(F.xxhash64("tid"), F.lit(PARTS)).cast("int")
+    a = left.select("clip_id", part.alias("_part"), F.col("tid").alias("tid_a"), "first_f", "last_f")
+    b = right.select("clip_id", F.explode(F.array(*map(F.lit, range(PARTS)))).alias("_part"), F.col("tid").alias("tid_b"), "first_f", "last_f")
+    both = a.withColumn("tid_b", F.lit(None).cast(dict(b.dtypes)["tid_b"])).unionByName(b.withColumn("tid_a", F.lit(None).cast(dict(a.dtypes)["tid_a"])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches)).combine_chunks()
+        (ids_a, x), (ids_b, y) = (_tracks(t.filter(pc.is_valid(t[c])), c) for c in ("tid_a", "tid_b"))
+        for i, j, frames in sp.shared_blocks(x, y):
+            k = np.flatnonzero(ids_a[i] < ids_b[j])
+            if len(k):
+                yield pa.RecordBatch.from_pydict({"clip_id": pa.repeat(t["clip_id"][0], len(k)), "tid_a": pa.array(ids_a[i[k]], t["tid_a"].type), "tid_b": pa.array(ids_b[j[k]], t["tid_b"].type), "frames": pa.array(frames[k])})
+
+    kinds = dict(both.dtypes)
+    return both.groupBy("clip_id", "_part").applyInArrow(run, f"clip_id {kinds['clip_id']}, tid_a {kinds['tid_a']}, tid_b {kinds['tid_b']}, frames long")
+
+
+def _tracks(side: pa.Table, tid: str) -> tuple[np.ndarray, sp.Rows]:
+    """Different tracks and their runs as intervals."""
+    ids, of = np.unique(side[tid].to_numpy(), return_inverse=True)
+    return ids, sp.Rows(of, side["first_f"].to_numpy(), side["last_f"].to_numpy().astype(np.int64) + 1, len(ids))
 
 
 def fragments(obs: DataFrame, window: int = 60) -> DataFrame:
