@@ -8,6 +8,8 @@ from trackweave.functions import geometry as geo
 from trackweave.functions import spans
 from trackweave.operators import masks as mk
 from trackweave.operators import pairs as pr
+from trackweave.operators import sequences as seq
+from trackweave.streaming import pieces
 
 
 def plan(df):
@@ -92,3 +94,30 @@ def test_hosts_by_mask_and_box(spark):
     got = mk.insides(views)
     assert key(got) == key(pr.insides(sized, inter)) and len(key(got)) > 90
     assert "Join" not in plan(got)
+
+
+def test_piece_pairs_take_blocks(spark):
+    """Overlaps of a piece's tracks with the tail of the piece before are what single comparisons give."""
+    rng = random.Random(6)
+    flat = lambda: [x for k in range(rng.randint(0, 4)) for x in (100 * k + rng.randint(0, 40), 100 * k + rng.randint(41, 90))]
+    heads, tails = [flat() for _ in range(25)], [flat() for _ in range(20)]
+    one = lambda v: np.asarray(v, np.int64).reshape(-1, 2)
+    want = set()
+    for b, h in enumerate(heads):
+        for a, t in enumerate(tails):
+            n = spans.shared(one(h), one(t))
+            if n and n / (spans.size(one(h)) + spans.size(one(t)) - n) >= 0.4:
+                want.add((round(n / (spans.size(one(h)) + spans.size(one(t)) - n), 9), b + 100, a))
+    got = pieces._pairs(heads, tails, [k + 100 for k in range(25)], list(range(20)), 0.4)
+    assert {(round(v, 9), b, a) for v, b, a in got} == want and len(got) == len(want) > 5
+
+
+def test_run_overlap_of_all_tracks(spark):
+    """The same as by frames, with tracks that only one side has, and no join."""
+    rng = random.Random(4)
+    rows = lambda tids: [(c, t, s, s + rng.randint(0, 9)) for c in (1, 2) for t in tids for s in (rng.randint(0, 20), 40 + rng.randint(0, 20))]
+    left, right = rows(range(0, 30)), rows(range(10, 45))
+    frames = lambda side, c, t: {f for k, n, s, e in side if (k, n) == (c, t) for f in range(s, e + 1)}
+    want = {(c, a, b): n for c in (1, 2) for a in range(30) for b in range(10, 45) if a < b and (n := len(frames(left, c, a) & frames(right, c, b)))}
+    found = seq.run_overlap(*(spark.createDataFrame(x, "clip_id int, tid int, first_f int, last_f int") for x in (left, right)))
+    assert {(r.clip_id, r.tid_a, r.tid_b): r.frames for r in found.collect()} == want and "Join" not in plan(found)

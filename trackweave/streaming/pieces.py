@@ -41,8 +41,22 @@ def as_pieces(rows: DataFrame, step: int, overlap: int, cells: int) -> DataFrame
     return one.select("clip_id", "chunk", F.col("t.oid").alias("tids"), F.col("t.own").alias("own"), F.col("t.head").alias("heads"), F.col("t.tail").alias("tails"))
 
 
-def _spans(flat) -> np.ndarray:
-    return np.asarray(flat, np.int64).reshape(-1, 2)
+def _rows(flat: list[list[int]]) -> spans.Rows:
+    """Flat lists of ends of intervals, one a mask."""
+    ends = np.fromiter((x for one in flat for x in one), np.int64).reshape(-1, 2)
+    return spans.Rows(np.repeat(np.arange(len(flat)), [len(one) // 2 for one in flat]), ends[:, 0], ends[:, 1], len(flat))
+
+
+def _pairs(heads: list[list[int]], tails: list[list[int]], after: list[int], before: list[int], least: float) -> list[tuple[float, int, int]]:
+    """(IoU, track, track before) of those whose masks overlap by `least`."""
+    x, y = _rows(heads), _rows(tails)
+    size_x, size_y = (np.bincount(r.mask, weights=r.e - r.s, minlength=r.n).astype(np.int64) for r in (x, y))
+    out = []
+    for i, j, inter in spans.shared_blocks(x, y):
+        iou = inter / (size_x[i] + size_y[j] - inter)
+        k = np.flatnonzero(iou >= least)
+        out += zip(iou[k].tolist(), [after[n] for n in i[k]], [before[n] for n in j[k]], strict=True)
+    return out
 
 
 def stitch_pieces(pieces: DataFrame, least: float = 0.5) -> DataFrame:
@@ -61,14 +75,9 @@ def stitch_pieces(pieces: DataFrame, least: float = 0.5) -> DataFrame:
         out = []
         while (following := str(held["chunk"] + 1)) in waiting:
             tracks, chunk = waiting.pop(following), int(following)
-            pairs = []
-            for b, _, head, _ in tracks:
-                for a, _, tail in held["tail"]:
-                    x, y = _spans(head), _spans(tail)
-                    if inter := spans.shared(x, y):
-                        pairs.append((inter / (spans.size(x) + spans.size(y) - inter), b, a))
+            pairs = _pairs([head for _, _, head, _ in tracks], [tail for *_, tail in held["tail"]], [t for t, *_ in tracks], [a for a, *_ in held["tail"]], least)
             before = {a: number for a, number, _ in held["tail"]}
-            found = settle([p for p in pairs if p[0] >= least], {t: own for t, own, _, _ in tracks}, before, chunk)
+            found = settle(pairs, {t: own for t, own, _, _ in tracks}, before, chunk)
             out += [(key[0], chunk, t, found.get(t)) for t, *_ in tracks]
             held["chunk"], held["tail"] = chunk, [(t, found[t], tail) for t, _, _, tail in tracks if t in found]
         state.update((json.dumps(held),))
