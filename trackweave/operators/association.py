@@ -35,6 +35,28 @@ def covered_share(box: np.ndarray, others: np.ndarray) -> float:
     return float((hit.any(axis=0) * np.diff(xs)[:, None] * np.diff(ys)).sum() / size)
 
 
+def _overlapping(boxes: np.ndarray, others: np.ndarray, least: float, rows: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """(box, other) of pairs that overlap by `least`, in order, and their IoU; some rows at a time."""
+    met, iou = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
+    for k in range(0, len(boxes), rows):
+        part = iou_matrix(boxes[k : k + rows], others)
+        at = np.argwhere(part >= least)
+        iou.append(part[at[:, 0], at[:, 1]])
+        met.append(at + [k, 0])
+    return np.concatenate(met), np.concatenate(iou)
+
+
+def largest_share(boxes: np.ndarray, others: np.ndarray, rows: int = 2048) -> np.ndarray:
+    """The largest share of each box that a single other box covers."""
+    out = np.zeros(len(boxes))
+    for k in range(0, len(boxes), rows) if len(others) else ():
+        a = boxes[k : k + rows]
+        side = [np.clip(np.minimum(a[:, x + 2, None], others[:, x + 2]) - np.maximum(a[:, x, None], others[:, x]), 0, None) for x in (0, 1)]
+        out[k : k + rows] = (side[0] * side[1]).max(axis=1)
+    size = np.prod(boxes[:, 2:] - boxes[:, :2], axis=1)
+    return np.where(size > 0, out / np.where(size > 0, size, 1), 0.0)
+
+
 class Associator:
     """Tracks of one clip.  In each frame, in this order:
 
@@ -71,9 +93,9 @@ class Associator:
                 stay[j] = False
         self._keep(stay)
         here = here[stay]
-        iou = iou_matrix(boxes, here)
-        met = np.argwhere((iou >= self.match_iou) & (scores > self.low_score)[:, None])
-        met = met[np.argsort(-iou[met[:, 0], met[:, 1]], kind="stable")]
+        met, iou = _overlapping(boxes, here, self.match_iou)
+        sure = scores[met[:, 0]] > self.low_score
+        met = met[sure][np.argsort(-iou[sure], kind="stable")]
         of_track: dict[int, int] = {}
         used: set[int] = set()
         for d, t in met.tolist():
@@ -85,9 +107,14 @@ class Associator:
             self.speed[t] = (boxes[d] - self.boxes[t]) / max(1, f - self.last[t])
             self.boxes[t], here[t], self.last[t] = boxes[d], boxes[d], f
             out.append((int(self.ids[t]), d))
-        for d in np.argsort(-scores, kind="stable").tolist():
-            if d in used or scores[d] < self.new_score or covered_share(boxes[d], here) >= self.cover:
+        order = np.argsort(-scores, kind="stable")
+        order = order[(scores[order] >= self.new_score) & ~np.isin(order, np.fromiter(used, np.int64, len(used)))]
+        share = largest_share(boxes[order], here)
+        for k, d in enumerate(order.tolist()):
+            # what one track covers by far needs no look at all of them
+            if share[k] > self.cover + 1e-9 or covered_share(boxes[d], here) >= self.cover:
                 continue
+            share[k + 1 :] = np.maximum(share[k + 1 :], largest_share(boxes[order[k + 1 :]], boxes[d : d + 1]))
             here = np.concatenate([here, boxes[d : d + 1]])
             self.ids, self.last = np.append(self.ids, self.begun), np.append(self.last, f)
             self.boxes, self.speed = np.concatenate([self.boxes, boxes[d : d + 1]]), np.concatenate([self.speed, np.zeros((1, 4))])
