@@ -6,6 +6,8 @@ import numpy as np
 
 from trackweave.functions import geometry as geo
 from trackweave.functions import spans
+from trackweave.operators import comparing as cm
+from trackweave.operators import greedy as gr
 from trackweave.operators import masks as mk
 from trackweave.operators import pairs as pr
 from trackweave.operators import sequences as seq
@@ -121,3 +123,30 @@ def test_run_overlap_of_all_tracks(spark):
     want = {(c, a, b): n for c in (1, 2) for a in range(30) for b in range(10, 45) if a < b and (n := len(frames(left, c, a) & frames(right, c, b)))}
     found = seq.run_overlap(*(spark.createDataFrame(x, "clip_id int, tid int, first_f int, last_f int") for x in (left, right)))
     assert {(r.clip_id, r.tid_a, r.tid_b): r.frames for r in found.collect()} == want and "Join" not in plan(found)
+
+
+def test_hosts_and_matches_form_no_join(spark):
+    """Choices among a frame's pairs equal those from all pairs, and its pairs stay in its group."""
+    rng = random.Random(9)
+    made = lambda: [(1, f, t, float(x), float(y), float(x + rng.randint(20, 60)), float(y + rng.randint(20, 60))) for f in range(2) for t in range(700) for x, y in [(rng.randint(0, 900), rng.randint(0, 60))]]
+    a, b = made(), made()
+    x, y = (spark.createDataFrame(r, "clip_id int, f int, tid int, x1 double, y1 double, x2 double, y2 double") for r in (a, b))
+    joined = pr.pairs(x, x).filter("a_tid <> b_tid").toPandas()
+    joined["cover"] = [max(0, min(r.a_x2, r.b_x2) - max(r.a_x1, r.b_x1)) * max(0, min(r.a_y2, r.b_y2) - max(r.a_y1, r.b_y1)) / ((r.a_x2 - r.a_x1) * (r.a_y2 - r.a_y1)) for r in joined.itertuples()]
+    best = joined[joined["cover"] >= 0.5].sort_values(["cover", "b_tid"], ascending=[False, True]).groupby(["f", "a_tid"]).first()
+    found = pr.hosts(x)
+    assert {(r.f, r.tid): (r.host, r.cover) for r in found.collect()} == {k: (int(h), c) for k, h, c in zip(best.index, best["b_tid"], best["cover"], strict=True)}
+    c = pr.pairs(x, y).filter("iou >= 0.5").select("clip_id", "f", "a_tid", "b_tid", "iou").toPandas()
+    want = {(int(r.f), int(r.a_tid), int(r.b_tid), r.iou) for _, g in c.groupby("f") for r in gr.one_to_one(g, "a_tid", "b_tid", "iou").itertuples()}
+    matched = gr.greedy_match(x, y)
+    assert {(r.f, r.tid_a, r.tid_b, r.iou) for r in matched.collect()} == want and len(want) > 200
+    assert "Join" not in plan(found) and "Join" not in plan(matched)
+
+
+def test_switches_work_out_matches_once(spark):
+    rng = random.Random(2)
+    m = spark.createDataFrame([(1, f, a, rng.choice([a, a, a + 50])) for a in range(20) for f in range(12)], "clip_id int, f int, tid_a int, tid_b int")
+    want = cm.switches(m, cm.splits(cm.supported_pairs(m)))
+    got = cm.split_switches(m)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 5
+    assert "Join" not in plan(got)
